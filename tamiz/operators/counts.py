@@ -26,11 +26,10 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule], by: str = "accountable_per
 
 def to_long(wide: DataFrame, rules: Sequence[Rule], by: str = "accountable_period") -> DataFrame:
     """One row per period and rule, generated from the wide row (no rescan, no shuffle)."""
-    rows = F.array(*[
-        F.struct(F.lit(r.dimension).alias("tipo_indicador"), F.lit(r.field).alias("nombre_campo"),
-                 F.col(r.counter).cast("bigint").alias("cantidad_mala"))
-        for r in rules])
-    return wide.select(F.col(by).alias("periodo_contable"), "total_registros", F.inline(rows))
+    rows = ", ".join(
+        f"struct('{r.dimension}' AS tipo_indicador, '{r.field}' AS nombre_campo, `{r.counter}` AS cantidad_mala)"
+        for r in rules)
+    return wide.select(F.col(by).alias("periodo_contable"), "total_registros", F.expr(f"inline(array({rows}))"))
 
 
 def with_pct(long: DataFrame) -> DataFrame:

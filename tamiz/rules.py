@@ -34,7 +34,7 @@ class Rule:
         return f"{self.dimension}__{self.field}"
 
     def bad_rows(self):
-        return F.count_if(F.expr(self.predicate)).alias(self.counter)
+        return F.expr(f"count_if({self.predicate}) AS `{self.counter}`")
 
 
 # ---- predicate builders ---------------------------------------------------------------

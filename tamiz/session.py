@@ -8,6 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# HotSpot never compiles a method over 8,000 bytecodes. Past this limit Spark runs the
+# expressions in small generated methods instead of one that stays interpreted, which a
+# long rule pack over computed columns would otherwise hit.
+JIT_METHOD_LIMIT = "8000"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Session settings the plans rely on; each is a runtime setting with a safe default."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_METHOD_LIMIT)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 

@@ -59,6 +59,7 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_d
 def session(cores: int = 8) -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cores}]").appName("tamiz-check")
              .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

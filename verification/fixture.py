@@ -7,96 +7,76 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.functions.periods import int_div
+from tamiz.session import tune
 from tamiz.sources.movements import movements as conform_movements
 
 AS_OF = date(2001, 11, 4)
 STAMP = datetime(2001, 11, 4, 12, 0, 0)
-MONEY = "decimal(17,4)"
+
+# Column by column; the first matching WHEN wins. ``h`` is the row's hash, ``dsk`` its date key.
+ADAPTER = {
+    "policy_transaction_movement_sk": "CASE WHEN h % 499 <> 0 THEN l_orderkey * 10 + l_linenumber END",
+    "source_system": "CASE WHEN h % 97 = 0 THEN NULL WHEN h % 89 = 0 THEN 'Unknown' "
+                     "WHEN l_returnflag = 'A' THEN 'CO_as400' ELSE 'CO_iaxis' END",
+    "accountable_period": "int(CASE WHEN h % 503 = 0 THEN (dsk div 100) * 10 ELSE dsk div 100 END)",
+    "coverage_code": "CASE WHEN h % 101 = 0 THEN NULL WHEN h % 103 = 0 THEN 'Unknown' "
+                     "WHEN l_suppkey % 50 = 7 THEN '8888' ELSE string(3000 + l_suppkey) END",
+    "branch_sk": "CASE WHEN h % 107 <> 0 THEN l_suppkey END",
+    "product_code": "CASE WHEN h % 53 = 0 THEN 'Unknown' WHEN h % 59 = 0 THEN 'A B1' WHEN h % 61 = 0 THEN 'RC' "
+                    "WHEN h % 67 = 0 THEN '9007310' WHEN h % 71 = 0 THEN NULL WHEN h % 73 = 0 THEN ' 6031 ' "
+                    "WHEN h % 79 = 0 THEN 'X-1' ELSE concat('60', string(brand + 22)) END",
+    "transaction_date_sk": "CASE WHEN h % 109 = 0 THEN NULL WHEN h % 113 = 0 THEN dsk div 100 ELSE dsk END",
+    "policy_effective_date_sk": "CASE WHEN h % 127 = 0 THEN -1L WHEN h % 131 <> 0 THEN dsk END",
+    "policy_expiration_date_sk": "CASE WHEN h % 137 = 0 THEN -1L WHEN h % 139 <> 0 THEN dsk + 10000 END",
+    "inception_date_sk": "CASE WHEN h % 149 = 0 THEN -1L WHEN h % 151 <> 0 THEN dsk END",
+    "transaction_type": "CASE WHEN h % 157 = 0 THEN 'Unknown' WHEN h % 163 = 0 THEN NULL WHEN h % 167 = 0 THEN '123' "
+                        "ELSE string(l_linenumber) END",
+    "transaction_effective_date_sk": "CASE WHEN h % 173 = 0 THEN -1L WHEN h % 179 <> 0 THEN dsk END",
+    "transaction_type_description": "CASE WHEN h % 181 <> 0 THEN p_type END",
+    "current_record_flag": "CASE WHEN h % 191 = 0 THEN NULL WHEN h % 193 = 0 THEN 2 "
+                           "WHEN l_linestatus = 'F' AND l_linenumber = 1 THEN 0 ELSE 1 END",
+    "transaction_delta_billed_premium_amount": "CAST(CASE WHEN h % 197 = 0 THEN NULL WHEN l_tax = 0 THEN 0 "
+                                               "WHEN l_discount >= 0.09D THEN -price ELSE price END AS DECIMAL(17,4))",
+    "transaction_delta_commission_amount": "CAST(CASE WHEN h % 199 <> 0 THEN price * CAST(l_discount AS DECIMAL(4,2)) "
+                                           "END AS DECIMAL(17,4))",
+    "risk_number": "CASE WHEN h % 211 = 0 THEN NULL WHEN h % 223 = 0 THEN 'Unknown' ELSE string(l_linenumber) END",
+    "policy_number": "CASE WHEN h % 227 = 0 THEN NULL WHEN h % 229 = 0 THEN 'Unknown' ELSE string(l_orderkey) END",
+    "transaction_delta_billed_premium_amount_raw": "CAST(CASE WHEN h % 233 <> 0 THEN price END AS DECIMAL(17,4))",
+    "sseguro": "CASE WHEN l_returnflag <> 'A' AND h % 239 <> 0 THEN string(o_custkey) END",
+    "receipt_type": "CASE WHEN l_returnflag = 'A' AND h % 2 = 0 THEN NULL WHEN h % 241 = 0 THEN NULL "
+                    "WHEN h % 251 = 0 THEN 'otro' WHEN l_linenumber % 3 = 0 THEN 'not-unificado' "
+                    "WHEN l_linenumber % 3 = 1 THEN 'unificado-detail' ELSE 'unificado-total' END",
+    "receipt_number": "CASE WHEN h % 257 = 0 THEN 1L WHEN l_linenumber % 3 = 0 OR h % 263 = 0 THEN NULL "
+                      "ELSE l_orderkey END",
+    "transaction_accounting_ts": "timestampadd(DAY, l_linenumber, l_shipdate)",
+    "load_ts": "timestampadd(SECOND, (27 + day(l_shipdate) % 11) * 3600 + (l_partkey % 60) * 60 + l_suppkey % 60, "
+               "l_shipdate)",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(*cases: tuple[Column, object], otherwise: object) -> Column:
-    """First matching case wins."""
-    out = None
-    for condition, value in cases:
-        value = value if isinstance(value, Column) else F.lit(value)
-        out = F.when(condition, value) if out is None else out.when(condition, value)
-    return out.otherwise(otherwise)
-
-
 def from_lines(lines: DataFrame, orders: DataFrame, parts: DataFrame) -> DataFrame:
     """The adapter. Lookups are left joins on keys made unique first, so a query that needs
     no looked-up column loses the join altogether, and a repeated key cannot add rows."""
-    customers = orders.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(F.first("o_custkey").alias("o_custkey"))
+    customers = orders.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(F.expr("first(o_custkey) AS o_custkey"))
     products = parts.groupBy(F.col("p_partkey").alias("l_partkey")).agg(
-        F.first("p_brand").alias("p_brand"), F.first("p_type").alias("p_type"))
-    joined = lines.join(customers, "l_orderkey", "left").join(products, "l_partkey", "left")
-    return joined.select(*adapter_columns())
-
-
-def adapter_columns() -> list[Column]:
-    c = F.col
-    ship = c("l_shipdate")
-    dsk = (F.year(ship) * 10000 + F.month(ship) * 100 + F.dayofmonth(ship)).cast("bigint")
-    h = c("l_partkey") * 31 + c("l_orderkey") * 7 + c("l_linenumber")
-
-    def every(n: int) -> Column:
-        return (h % n) == 0
-
-    null = F.lit(None)
-    text = lambda x: x.cast("string")
-    price = c("l_extendedprice").cast("decimal(15,2)")
-    brand = F.regexp_replace("p_brand", "[^0-9]", "").cast("int")
-    unified = c("l_linenumber") % 3
-    as400 = c("l_returnflag") == "A"
-    load = F.timestamp_add("SECOND", (27 + F.dayofmonth(ship) % 11) * 3600 + (c("l_partkey") % 60) * 60
-                           + c("l_suppkey") % 60, ship)
-    columns = {
-        "policy_transaction_movement_sk": _pick((every(499), null), otherwise=c("l_orderkey") * 10 + c("l_linenumber")),
-        "source_system": _pick((every(97), null), (every(89), "Unknown"), (as400, "CO_as400"), otherwise="CO_iaxis"),
-        "accountable_period": _pick((every(503), int_div(dsk, 100) * 10), otherwise=int_div(dsk, 100)).cast("int"),
-        "coverage_code": _pick((every(101), null), (every(103), "Unknown"), (c("l_suppkey") % 50 == 7, "8888"),
-                               otherwise=text(c("l_suppkey") + 3000)),
-        "branch_sk": _pick((every(107), null), otherwise=c("l_suppkey")),
-        "product_code": _pick((every(53), "Unknown"), (every(59), "A B1"), (every(61), "RC"), (every(67), "9007310"),
-                              (every(71), null), (every(73), " 6031 "), (every(79), "X-1"),
-                              otherwise=F.concat(F.lit("60"), text(brand + 22))),
-        "transaction_date_sk": _pick((every(109), null), (every(113), int_div(dsk, 100)), otherwise=dsk),
-        "policy_effective_date_sk": _pick((every(127), -1), (every(131), null), otherwise=dsk),
-        "policy_expiration_date_sk": _pick((every(137), -1), (every(139), null), otherwise=dsk + 10000),
-        "inception_date_sk": _pick((every(149), -1), (every(151), null), otherwise=dsk),
-        "transaction_type": _pick((every(157), "Unknown"), (every(163), null), (every(167), "123"),
-                                  otherwise=text(c("l_linenumber"))),
-        "transaction_effective_date_sk": _pick((every(173), -1), (every(179), null), otherwise=dsk),
-        "transaction_type_description": _pick((every(181), null), otherwise=c("p_type")),
-        "current_record_flag": _pick((every(191), null), (every(193), 2),
-                                     ((c("l_linestatus") == "F") & (c("l_linenumber") == 1), 0), otherwise=1),
-        "transaction_delta_billed_premium_amount": _pick(
-            (every(197), null), (c("l_tax") == 0, 0), (c("l_discount") >= 0.09, -price), otherwise=price).cast(MONEY),
-        "transaction_delta_commission_amount": _pick(
-            (every(199), null), otherwise=price * c("l_discount").cast("decimal(4,2)")).cast(MONEY),
-        "risk_number": _pick((every(211), null), (every(223), "Unknown"), otherwise=text(c("l_linenumber"))),
-        "policy_number": _pick((every(227), null), (every(229), "Unknown"), otherwise=text(c("l_orderkey"))),
-        "transaction_delta_billed_premium_amount_raw": _pick((every(233), null), otherwise=price).cast(MONEY),
-        "sseguro": _pick((as400 | every(239), null), otherwise=text(c("o_custkey"))),
-        "receipt_type": _pick((as400 & every(2), null), (every(241), null), (every(251), "otro"),
-                              (unified == 0, "not-unificado"), (unified == 1, "unificado-detail"),
-                              otherwise="unificado-total"),
-        "receipt_number": _pick((every(257), 1), ((unified == 0) | every(263), null), otherwise=c("l_orderkey")),
-        "transaction_accounting_ts": F.timestamp_add("DAY", c("l_linenumber"), ship),
-        "load_ts": load,
-    }
-    return [column.alias(name) for name, column in columns.items()]
+        F.expr("first(int(regexp_replace(p_brand, '[^0-9]', ''))) AS brand"), F.expr("first(p_type) AS p_type"))
+    # Computed once per row below the joins; every defect reads them.
+    keyed = lines.selectExpr(
+        "*", "bigint(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)) AS dsk",
+        "l_partkey * 31 + l_orderkey * 7 + l_linenumber AS h", "CAST(l_extendedprice AS DECIMAL(15,2)) AS price")
+    joined = keyed.join(customers, "l_orderkey", "left").join(products, "l_partkey", "left")
+    return joined.selectExpr(*[f"{sql} AS {name}" for name, sql in ADAPTER.items()])
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     raw = from_lines(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), table(spark, sf_dir, "part"))
     return conform_movements(raw)
 
