@@ -23,3 +23,12 @@ def read_movements(spark: SparkSession, path: str) -> DataFrame:
 
 def read_movement_table(spark: SparkSession, table: str) -> DataFrame:
     return movements(spark.table(table))
+
+
+def write_movements(df: DataFrame, path: str) -> None:
+    """Store a fact by period, in the layout ``read_movements`` prunes.
+
+    The rebalance gathers each period before writing, so files are few; a period that is
+    too large is split at run time, a hundred tiny ones are merged.
+    """
+    df.hint("rebalance", "accountable_period").write.partitionBy("accountable_period").parquet(path)

@@ -24,7 +24,7 @@ from tamiz.session import work_path
 from tamiz.sinks.export import export_csv, export_json
 from tamiz.sinks.snapshot import snapshot
 from tamiz.sources.csvs import read_mapping
-from tamiz.sources.movements import read_movements
+from tamiz.sources.movements import read_movements, write_movements
 from tamiz.sources.sqlfile import run_sql_file
 from tamiz.streaming.arrivals import stream_load_arrival, write_arrivals
 from verification.fixture import AS_OF, STAMP, from_lines, movements, table
@@ -90,7 +90,7 @@ def partitioned_fact(m: DataFrame) -> DataFrame:
     """The fact stored by period and read back, then counted by period."""
     spark = m.sparkSession
     path = work_path(spark, "fact")
-    m.write.partitionBy("accountable_period").parquet(path)
+    write_movements(m, path)
     stored = un.in_periods(un.universe(read_movements(spark, path)), PERIODS)
     return (stored.groupBy("accountable_period")
             .agg(F.count(F.lit(1)).alias("registros"),
@@ -129,9 +129,7 @@ def alerts_json(m: DataFrame) -> DataFrame:
 
 def _snapshot(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
     path = work_path(df.sparkSession, name)
-    target = f"snap_{path.rsplit('-', 1)[1]}"
-    snapshot(df, target, schema, path=path)
-    return snapshot(df, target, schema, path=path)
+    return snapshot(df, f"snap_{path.rsplit('-', 1)[1]}", schema, path=path)
 
 
 def refreshed_cube(m: DataFrame) -> DataFrame:
