@@ -32,6 +32,10 @@ def _days_set(mask: Column, up_to: Column | None = None) -> Column:
     return F.coalesce(F.bit_count(mask), F.lit(0))
 
 
+def _real(periods: Sequence[int]) -> list[int]:
+    return [int(p) for p in periods if 100001 <= p <= 999912 and 1 <= p % 100 <= 12]
+
+
 def _ts_bounds(periods: Sequence[int]) -> tuple[datetime, datetime]:
     first, last = min(periods), max(periods)
     after = date(last // 100, last % 100, 28) + timedelta(days=4)
@@ -45,8 +49,12 @@ def product_days(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15
     if periods is None:
         df = df.filter(ts >= F.lit(months_back(as_of, months)))
     else:
-        low, high = _ts_bounds(periods)
-        df = df.filter((ts >= F.lit(low)) & (ts < F.lit(high)) & period_of_ts(ts).isin([int(p) for p in periods]))
+        # Timestamps only ever fall in real months; the plain range is what prunes.
+        periods = _real(periods)
+        df = df.filter(period_of_ts(ts).isin(periods))
+        if periods:
+            low, high = _ts_bounds(periods)
+            df = df.filter((ts >= F.lit(low)) & (ts < F.lit(high)))
     # Characters 7-8 of the printed key: the last two digits of a well-formed one, nothing
     # for a shorter key, so an odd key yields NULL instead of an error.
     day = F.expr("try_cast(substring(cast(transaction_date_sk as string), 7, 2) as int)")
@@ -84,8 +92,10 @@ def availability_month(df: DataFrame, as_of: date, *, months: int = 13,
         floor = period_floor(as_of, months)
         df = df.filter((period >= floor) & (key >= floor * 100))
     else:
-        df = df.filter(period.isin([int(p) for p in periods])
-                       & key.between(min(periods) * 100, max(periods) * 100 + 99))
+        periods = _real(periods)
+        df = df.filter(period.isin(periods))
+        if periods:
+            df = df.filter(key.between(min(periods) * 100, max(periods) * 100 + 99))
     by_period = (df.filter(same_month(key, period)).groupBy(period.alias("periodo_contable"))
                  .agg(F.bit_or(_day_bit(key % 100, 31)).alias("_mask")))
     month_days = days_in_period("periodo_contable")

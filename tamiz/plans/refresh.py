@@ -42,11 +42,12 @@ def refresh_pending(df: DataFrame, path: str, as_of: date, *, months: int = 36,
                     stamp: datetime | None = None) -> list[int]:
     """Compute the pending periods and replace just their partitions; safe to repeat.
 
-    The period list (a few dozen integers) comes to the driver so that the fact is read
-    with a literal list and only those partitions are scanned.
+    The period list (one integer per distinct period) comes to the driver so that the fact
+    is read with a literal list and only those partitions are scanned. Malformed periods
+    are kept: they are what the period format rule reports.
     """
-    real = pending_periods(df, path, as_of, months=months).filter(period_date("periodo_contable").isNotNull())
-    periods = sorted(int(r.periodo_contable) for r in real.collect())
+    pending = pending_periods(df, path, as_of, months=months)
+    periods = sorted(int(r.periodo_contable) for r in pending.collect())
     if periods:
         (quality_cube(df, as_of, periods=periods, stamp=stamp)
          .repartition("periodo_contable")
