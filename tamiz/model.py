@@ -124,11 +124,19 @@ THRESHOLDS = Thresholds()
 STATE_ORDER = {"Crítica": 0, "Advertencia": 1, "Pendiente": 2, "Sin base": 3, "Sin dato": 3, "Normal": 4}
 
 
+def _fits(have: T.DataType, want: T.DataType) -> bool:
+    if isinstance(want, T.TimestampType):
+        return isinstance(have, (T.TimestampType, T.TimestampNTZType))
+    if isinstance(want, T.DecimalType):
+        return isinstance(have, (T.DecimalType, T.DoubleType))
+    return have == want
+
+
 def conform(df: DataFrame, schema: T.StructType, *, missing_as_null: bool = False) -> DataFrame:
     """Select the columns of ``schema`` in order, casting only where the type differs.
 
-    A column that already has its type stays a bare reference, so filters on it still
-    reach the Parquet scan. NTZ timestamps are accepted as they are.
+    A column that fits stays a bare reference, so filters on it still reach the Parquet
+    scan. NTZ timestamps and amounts of another precision are accepted as they are.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
@@ -137,10 +145,7 @@ def conform(df: DataFrame, schema: T.StructType, *, missing_as_null: bool = Fals
             if not missing_as_null:
                 raise ValueError(f"column {f.name!r} is missing")
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] == f.dataType or (
-                isinstance(f.dataType, T.TimestampType) and isinstance(have[f.name], T.TimestampNTZType)) or (
-                isinstance(f.dataType, T.DecimalType) and isinstance(have[f.name], (T.DecimalType, T.DoubleType))
-                and f.name.startswith("transaction_delta")):
+        elif _fits(have[f.name], f.dataType):
             out.append(F.col(f.name))
         else:
             out.append(F.col(f.name).cast(f.dataType).alias(f.name))

@@ -78,13 +78,15 @@ def availability_rule4(df: DataFrame, as_of: date, *, months: int = 36, days: in
         F.lit(1).alias("es_total"))
 
 
-def availability_month(df: DataFrame, as_of: date, *, months: int = 13,
-                       periods: Sequence[int] | None = None) -> DataFrame:
+def availability_month(df: DataFrame, as_of: date, *, months: int = 13, periods: Sequence[int] | None = None,
+                       every_month: bool = False) -> DataFrame:
     """Days of each month with at least one movement of that month, over the required days.
 
     All days are required of a closed month, the elapsed ones of the current month. Zero
-    required days give a NULL percentage. Months without data have no row.
+    required days give a NULL percentage. Months without data have no row unless
+    ``every_month``, which adds the calendar months of the window (or the listed periods).
     """
+    calendar = [period_of(months_back(as_of, back)) for back in range(months, -1, -1)] if periods is None else periods
     period, key = F.col("accountable_period"), F.col("transaction_date_sk")
     # A key of the same month is at least floor*100, and never more than 99999999: the plain
     # range prunes at the scan, the division does not.
@@ -98,6 +100,11 @@ def availability_month(df: DataFrame, as_of: date, *, months: int = 13,
             df = df.filter(key.between(min(periods) * 100, max(periods) * 100 + 99))
     by_period = (df.filter(same_month(key, period)).groupBy(period.alias("periodo_contable"))
                  .agg(F.bit_or(_day_bit(key % 100, 31)).alias("_mask")))
+    if every_month:
+        months_listed = df.sparkSession.createDataFrame([(int(p), None) for p in calendar],
+                                                        "periodo_contable int, _mask bigint")
+        by_period = (by_period.unionByName(months_listed).groupBy("periodo_contable")
+                     .agg(F.bit_or("_mask").alias("_mask")))
     month_days = days_in_period("periodo_contable")
     needed = F.when(F.col("periodo_contable") == period_of(as_of),
                     F.least(F.lit(elapsed_days(as_of)), month_days)).otherwise(month_days)

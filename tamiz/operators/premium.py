@@ -81,21 +81,24 @@ def stacked_totals(series: DataFrame) -> DataFrame:
     return series.groupBy("periodo_contable").agg(F.sum("prima_neta").alias("prima_neta"))
 
 
-def mom_total(by_category: DataFrame, *, signed_base: bool = True) -> DataFrame:
-    """Month-over-month change of the total; the newest month present is the open one.
+def mom_total(by_category: DataFrame, *, signed_base: bool = True, as_of: date | None = None) -> DataFrame:
+    """Month-over-month change of the total.
 
-    The window has no partition key: it runs over one row per month.
+    The newest month present is the open one, or the calendar month of ``as_of`` when
+    given. The window has no partition key: it runs over one row per month.
     """
     monthly = (by_category.filter(F.col("periodo_fecha").isNotNull()).groupBy("periodo_fecha")
                .agg(F.sum("prima_neta").alias("prima_neta")))
     order = Window.orderBy("periodo_fecha")
     previous = F.lag("prima_neta").over(order)
+    newest = F.col("_next").isNull()
+    is_open = newest if as_of is None else F.col("periodo_fecha") == F.lit(as_of.replace(day=1))
     return (monthly.withColumn("_previous", previous).withColumn("_next", F.lead("periodo_fecha").over(order))
             .select(F.date_format("periodo_fecha", "yyyy-MM").alias("periodo"), "periodo_fecha", "prima_neta",
                     (F.col("prima_neta") - F.col("_previous")).alias("var_abs_mom"),
                     change_pct(F.col("prima_neta"), F.col("_previous"), signed_base=signed_base,
                                digits=None).alias("var_pct_mom"),
-                    F.col("_next").isNull().alias("en_curso")))
+                    is_open.alias("en_curso")))
 
 
 def mom_by_category(by_category: DataFrame, *, signed_base: bool = True, calendar: bool = False) -> DataFrame:

@@ -50,10 +50,14 @@ def in_window(df: DataFrame, as_of: date, months: int, periods: Sequence[int] |
     return since_months(df, as_of, months) if periods is None else in_periods(df, periods)
 
 
-def list_periods(df: DataFrame) -> DataFrame:
-    """Periods of the current rows, ascending."""
+def current_periods(df: DataFrame) -> DataFrame:
+    """Distinct periods of the current rows."""
     return (df.filter(F.col("current_record_flag") == 1)
-            .select(F.col("accountable_period").alias("periodo")).distinct().orderBy("periodo"))
+            .select(F.col("accountable_period").alias("periodo")).distinct())
+
+
+def list_periods(df: DataFrame) -> DataFrame:
+    return current_periods(df).orderBy("periodo")
 
 
 def pick_periods(df: DataFrame, as_of: date, n: int = 12, *, include_current: bool = True) -> DataFrame:
@@ -64,7 +68,7 @@ def pick_periods(df: DataFrame, as_of: date, n: int = 12, *, include_current: bo
     """
     current = period_of(as_of)
     is_current = F.col("periodo") == current
-    listed = list_periods(df).filter(F.col("periodo") <= (current if include_current else current - 1))
+    listed = current_periods(df).filter(F.col("periodo") <= (current if include_current else current - 1))
     newest = Window.partitionBy("en_curso").orderBy(F.desc("periodo"))
     return (listed.withColumn("en_curso", is_current)
             .withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= n).drop("_n")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.periods import period_date, period_of
-from tamiz.operators.universe import list_periods, since_months
+from tamiz.operators.universe import current_periods, since_months
 from tamiz.plans.cube import quality_cube
 
 
@@ -32,10 +32,9 @@ def closed_periods(df: DataFrame, path: str) -> DataFrame:
 
 def pending_periods(df: DataFrame, path: str, as_of: date, *, months: int = 36) -> DataFrame:
     """Periods of the source not stored in final form; the current one is always pending."""
-    source = list_periods(since_months(df, as_of, months)).select(F.col("periodo").alias("periodo_contable"))
-    closed = source.filter(F.col("periodo_contable") != period_of(as_of)).join(
-        closed_periods(df, path), "periodo_contable", "left_anti")
-    return closed.unionByName(source.filter(F.col("periodo_contable") == period_of(as_of)))
+    source = current_periods(since_months(df, as_of, months)).withColumnRenamed("periodo", "periodo_contable")
+    done = closed_periods(df, path).filter(F.col("periodo_contable") != period_of(as_of))
+    return source.join(done, "periodo_contable", "left_anti")
 
 
 def refresh_pending(df: DataFrame, path: str, as_of: date, *, months: int = 36,

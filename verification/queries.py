@@ -32,7 +32,6 @@ from verification.fixture import AS_OF, STAMP, from_lines, movements, table
 SQL_DIR = Path(__file__).parent / "sql"
 PERIODS = [200011, 200012, 200101, 200102, 200103, 200104, 200105, 200106, 200107, 200108, 200109, 200110, 200111]
 SCORE_MONTHS = 36
-REFRESH_MONTHS = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,8 +136,8 @@ def refreshed_cube(m: DataFrame) -> DataFrame:
     spark = m.sparkSession
     path = work_path(spark, "refresh")
     october = AS_OF.replace(month=10, day=5)
-    refresh.refresh_pending(m, path, october, months=REFRESH_MONTHS, stamp=STAMP.replace(month=10, day=5))
-    refresh.refresh_pending(m, path, AS_OF, months=REFRESH_MONTHS, stamp=STAMP)
+    refresh.refresh_pending(m, path, october, stamp=STAMP.replace(month=10, day=5))
+    refresh.refresh_pending(m, path, AS_OF, stamp=STAMP)
     return spark.read.parquet(path).select(
         F.col("periodo_contable").cast("int").alias("periodo_contable"), "tipo_indicador", "nombre_campo",
         "total_registros", "cantidad_mala", "porcentaje", "es_total")
@@ -298,6 +297,8 @@ def queries() -> dict[str, Query]:
         "availability_of_periods": _on_fact(lambda m: av.availability_rule4(m, AS_OF, periods=PERIODS)),
         "product_days": _on_fact(lambda m: av.product_days(m, AS_OF)),
         "availability_by_month": _on_fact(lambda m: av.availability_month(m, AS_OF)),
+        "availability_every_month": _on_fact(lambda m: av.availability_month(
+            m.filter("accountable_period <> 200105"), AS_OF, every_month=True)),
         "daily_counts": _on_fact(lambda m: av.daily_counts(m, AS_OF)),
         "load_arrival": _on_fact(lambda m: av.load_arrival(m, AS_OF)),
         "streamed_arrivals": _on_tables(streamed_arrivals),
@@ -356,6 +357,8 @@ def queries() -> dict[str, Query]:
         "stacked_totals": _on_fact(lambda m: premium.stacked_totals(
             premium.aligned_series(_by_source(m), PERIODS))),
         "premium_mom": _on_fact(lambda m: premium.mom_total(_by_category(m))),
+        "premium_mom_absolute": _on_fact(lambda m: premium.mom_total(
+            _by_category(m), signed_base=False, as_of=AS_OF)),
         "premium_mom_by_category": _on_fact(lambda m: premium.mom_by_category(_by_category(m))),
         "premium_mom_calendar": _on_fact(lambda m: premium.mom_by_category(_by_category(m), calendar=True)),
         "premium_mom_last_months": _on_fact(lambda m: premium.mom_last_months(premium.mom_total(_by_category(m)))),
