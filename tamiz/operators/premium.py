@@ -38,16 +38,26 @@ def _or_zero(amount):
 
 def premium_by_source(df: DataFrame, as_of: date, *, months: int = 36,
                       periods: Sequence[int] | None = None) -> DataFrame:
-    """Movements, distinct policies, net, issued and cancelled premium and commission."""
+    """Movements, distinct policies, net, issued and cancelled premium and commission.
+
+    Amounts and distinct policies are separate aggregates: together, every policy would
+    carry five running sums through the shuffle that finds it distinct. The two small
+    results are stacked and folded; a join on the partition column would make one scan
+    wait for the other (dynamic pruning) for nothing.
+    """
     amount = F.col(PREMIUM)
-    return (in_window(universe(df), as_of, months, periods)
-            .groupBy(F.col("accountable_period").alias("periodo_contable"), "source_system")
-            .agg(F.count(F.lit(1)).alias("movimientos"),
-                 F.count_distinct("policy_number").alias("polizas"),
-                 _or_zero(amount).alias("prima_neta"),
-                 _or_zero(F.when(amount > 0, amount)).alias("prima_emitida"),
-                 _or_zero(F.when(amount < 0, amount)).alias("prima_anulada"),
-                 _or_zero(F.col(COMMISSION)).alias("comision")))
+    measured = in_window(universe(df), as_of, months, periods).withColumnRenamed(
+        "accountable_period", "periodo_contable")
+    keys = ["periodo_contable", "source_system"]
+    amounts = measured.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("movimientos"),
+        _or_zero(amount).alias("prima_neta"),
+        _or_zero(F.when(amount > 0, amount)).alias("prima_emitida"),
+        _or_zero(F.when(amount < 0, amount)).alias("prima_anulada"),
+        _or_zero(F.col(COMMISSION)).alias("comision"))
+    policies = measured.groupBy(*keys).agg(F.count_distinct("policy_number").alias("polizas"))
+    return (amounts.unionByName(policies, allowMissingColumns=True).groupBy(*keys)
+            .agg(*[F.max(m).alias(m) for m in MEASURES]))
 
 
 def premium_by_period(by_source: DataFrame) -> DataFrame:

@@ -27,8 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tamiz-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tamiz-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

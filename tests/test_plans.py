@@ -132,3 +132,12 @@ def test_reconcile_never_joins(spark):
 def test_no_python_in_any_plan(fact):
     for df in (quality_cube(fact, AS_OF), alerts(fact, AS_OF), premium.premium_by_source(fact, AS_OF)):
         assert "Python" not in plan(df) and "Pandas" not in plan(df)
+
+
+def test_policies_are_counted_apart_from_amounts(fact):
+    df = premium.premium_by_source(fact, AS_OF)
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan(df))
+    assert [k for k in keys if "policy_number" in k] and len(scans(df)) == 2
+    # The shuffle that finds distinct policies carries its keys and nothing else.
+    wide = [s for s in re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]: ([^\n]*)", plan(df)) if "policy_number" in s[1]]
+    assert [int(n) for n, _ in wide] == [3]
