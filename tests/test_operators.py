@@ -102,6 +102,13 @@ def test_month_coverage(facts, rows):
     assert rows(availability.availability_month(df, date(2024, 3, 10), periods=[202401]), "periodo_contable") == [(202401,)]
 
 
+def test_month_coverage_on_the_calendar(facts, rows):
+    df = facts(*days("A", [1], 202312), *days("A", [2], 202402))
+    columns = ("periodo_contable", "total_registros", "cantidad_mala", "hay_datos_mes")
+    got = rows(availability.availability_month(df, date(2024, 2, 10), months=2, every_month=True), *columns)
+    assert got == [(202312, 31, 30, True), (202401, 31, 31, False), (202402, 9, 8, True)]
+
+
 def test_days_outside_the_calendar_are_ignored(facts, rows):
     df = facts(*days("A", [0, 1, 45, 99]))
     assert rows(availability.availability_month(df, date(2024, 3, 1)), "cantidad_mala") == [(30,)]
@@ -172,6 +179,13 @@ def test_mom_recomputes_published_changes(spark, rows):
                    ("2023-10", pytest.approx(3857806963.7233124), pytest.approx(4.215417235754826), True)]
 
 
+def test_mom_open_month_from_the_calendar(spark, rows):
+    data = [(date(2024, 1, 1), 1.0), (date(2024, 2, 1), 2.0)]
+    series = spark.createDataFrame(data, "periodo_fecha date, prima_neta double")
+    assert rows(premium.mom_total(series, as_of=date(2024, 1, 9)), "en_curso") == [(False,), (True,)]
+    assert rows(premium.mom_total(series, as_of=date(2024, 3, 9)), "en_curso") == [(False,), (False,)]
+
+
 def test_mom_with_zero_base(spark, rows):
     data = [(date(2024, 1, 1), Decimal(0)), (date(2024, 2, 1), Decimal(5))]
     series = spark.createDataFrame(data, "periodo_fecha date, prima_neta decimal(10,2)")

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tamiz.mappings import category_table
-from tamiz.model import ALERT_SCHEMA
+from tamiz.model import ALERT_SCHEMA, Thresholds
 from tamiz.operators import alerts as al
 from tamiz.operators import scorecard as sc
 from tamiz.plans.alerts import alerts
@@ -71,6 +71,19 @@ def test_cube_alerts_equal_their_three_parts(cube, rows):
         (202402, "disponibilidad", "disponibilidad_mes", "Pendiente")]
 
 
+def test_thresholds_are_data(cube, spark, rows):
+    loose = Thresholds(dimension_warning=60, dimension_critical=50, availability_critical=70, availability_warning=72,
+                       balance_warning=1, balance_critical=500, arrival_critical_minutes=5)
+    states = dict(rows(al.cube_alerts(cube, thresholds=loose).filter("periodo_contable = 202401"), "clave", "estado"))
+    assert states == {"completitud": "Normal", "exactitud": "Normal", "unicidad": "Normal", "validez": "Normal",
+                      "integridad": "Pendiente", "disponibilidad_mes": "Crítica", "disponibilidad_regla4": "Normal"}
+    daily = balances(spark, ("A", date(2024, 1, 5), "100"), ("A", date(2024, 1, 9), "115"))
+    last = al.balance_alerts(daily, thresholds=loose).orderBy("fecha").collect()[1]
+    assert (last.estado, float(last.umbral_crit)) == ("Advertencia", 500.0) and "±1% / ±500%" in last.detalle
+    bands = Thresholds(bands={"default": (50, 40, 30)})
+    assert set(rows(sc.traffic_light(cube, thresholds=bands), "banda")) == {("BUENO",)}
+
+
 def test_panels(spark, rows):
     data = [("saldo_ramo", "A", 202401, date(2024, 1, 5), "Normal"), ("saldo_ramo", "B", 202401, date(2024, 1, 4), "Crítica"),
             ("saldo_ramo", "C", 202401, date(2024, 1, 3), "Advertencia"), ("saldo_ramo", "D", 202401, date(2024, 1, 2), "Sin base"),

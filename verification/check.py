@@ -7,7 +7,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from verification.oracles import oracle_sql
 from verification.queries import queries
@@ -23,6 +23,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def _types(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """Columns whose declared types differ."""
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{c} {t} vs {want.get(c)}" for c, t in df.dtypes if TYPES.get(t, t) != want.get(c)]
+
+
 def _key(row: tuple) -> tuple:
     return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
 
@@ -37,14 +46,17 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_d
     """Empty when rows, names, Python types and values agree."""
     df = queries()[name](spark, sf_dir)
     names = sorted(df.columns)
-    got = sorted((tuple(r[c] for c in names) for r in df.collect()), key=_key)
     sql = oracle_sql().get(name)
     if sql is None:
-        return f"no oracle, {len(got)} rows"
+        return f"no oracle, {df.count()} rows"
+    differ = _types(df, con, sql)
+    if differ:
+        return f"types {differ}"
     result = con.execute(sql)
     columns = [d[0] for d in result.description]
     if sorted(columns) != names:
         return f"columns {names} vs {sorted(columns)}"
+    got = sorted((tuple(r[c] for c in names) for r in df.collect()), key=_key)
     order = [columns.index(c) for c in names]
     want = sorted((tuple(r[i] for i in order) for r in result.fetchall()), key=_key)
     if len(got) != len(want):
