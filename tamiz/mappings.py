@@ -136,9 +136,12 @@ def with_category(df: DataFrame, mapping: DataFrame | None = None, *, product: s
     """Add the business category of a product code (trimmed before the lookup).
 
     Apply it after aggregating by product: the join then sees one row per product, not
-    one per movement.
+    one per movement. A code repeated in ``mapping`` takes its first category in
+    alphabetical order and never multiplies rows.
     """
-    mapping = category_table(df.sparkSession) if mapping is None else mapping
-    mapping = mapping.select(F.col("ramo").alias("_ramo"), F.col("categoria").alias("_categoria"))
+    if mapping is None:
+        mapping = category_table(df.sparkSession).select(F.col("ramo").alias("_ramo"), F.col("categoria").alias("_categoria"))
+    else:
+        mapping = mapping.groupBy(F.trim("ramo").alias("_ramo")).agg(F.min("categoria").alias("_categoria"))
     return (df.join(mapping, F.trim(product) == F.col("_ramo"), "left")
             .withColumn(output, F.coalesce("_categoria", F.lit(UNCLASSIFIED))).drop("_ramo", "_categoria"))

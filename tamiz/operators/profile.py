@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.mappings import category_table, lookup_table
@@ -71,12 +71,13 @@ def field_dictionary(df: DataFrame, dictionary: DataFrame | None = None,
 def unmapped_products(df: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
     """Products of the universe without a category, and their share of the net premium.
 
-    Product codes are summed first, so the window and the lookup see one row per code.
+    Product codes are summed first, so the lookup sees one row per code; the total is a
+    scalar subquery over the same sums, never a window over all codes in one task.
     """
     mapping = category_table(df.sparkSession) if mapping is None else mapping
     by_product = (universe(df).groupBy(F.trim("product_code").alias("ramo"))
-                  .agg(F.count(F.lit(1)).alias("movimientos"), F.sum(PREMIUM).alias("prima_neta"))
-                  .withColumn("_all", F.sum("prima_neta").over(Window.partitionBy())))
-    share = F.lit(100.0) * F.col("prima_neta").cast("double") / F.nullif("_all", F.lit(0)).cast("double")
+                  .agg(F.count(F.lit(1)).alias("movimientos"), F.sum(PREMIUM).alias("prima_neta")))
+    whole = by_product.agg(F.sum("prima_neta")).scalar()
+    share = F.lit(100.0) * F.col("prima_neta").cast("double") / F.nullif(whole, F.lit(0)).cast("double")
     return (by_product.join(mapping.select(F.trim("ramo").alias("ramo")), "ramo", "left_anti")
             .select("ramo", "movimientos", "prima_neta", F.round(share, 2).alias("pct_prima")))

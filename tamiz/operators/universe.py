@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamiz.functions.periods import date_key, days_back, months_back, period_floor, period_of
+from tamiz.functions.periods import date_key, days_back, months_back, period_date, period_floor, period_of
 from tamiz.rules import AS400, IAXIS, UNIFIED_TOTAL
 
 EXCLUDED_COVERAGE = "8888"
@@ -41,13 +41,21 @@ def keys_since_months(df: DataFrame, as_of: date, months: int, *, key: str = "tr
     return df.filter(F.col(key) >= date_key(months_back(as_of, months)))
 
 
-def in_periods(df: DataFrame, periods: Sequence[int], *, period: str = "accountable_period") -> DataFrame:
-    return df.filter(F.col(period).isin([int(p) for p in periods]))
+def in_periods(df: DataFrame, periods: Sequence[int], *, malformed: bool = False,
+               period: str = "accountable_period") -> DataFrame:
+    """Listed periods; with ``malformed`` also every value that is no real period."""
+    chosen = F.col(period).isin([int(p) for p in periods])
+    return df.filter(chosen | is_malformed(period) if malformed else chosen)
 
 
-def in_window(df: DataFrame, as_of: date, months: int, periods: Sequence[int] | None) -> DataFrame:
+def is_malformed(period: str = "accountable_period") -> Column:
+    return F.col(period).isNotNull() & period_date(period).isNull()
+
+
+def in_window(df: DataFrame, as_of: date, months: int, periods: Sequence[int] | None, *,
+              malformed: bool = False) -> DataFrame:
     """Explicit periods when given, otherwise the rolling floor."""
-    return since_months(df, as_of, months) if periods is None else in_periods(df, periods)
+    return since_months(df, as_of, months) if periods is None else in_periods(df, periods, malformed=malformed)
 
 
 def current_periods(df: DataFrame) -> DataFrame:

@@ -26,17 +26,20 @@ def with_calc_ts(df: DataFrame, stamp: datetime | None = None) -> DataFrame:
 
 
 def quality_cube(df: DataFrame, as_of: date, *, months: int = 36, periods: Sequence[int] | None = None,
-                 rules: Sequence[Rule] | None = None, nulls: str = "group", month_availability: bool = True,
-                 stamp: datetime | None = None) -> DataFrame:
+                 malformed: bool = False, rules: Sequence[Rule] | None = None, nulls: str = "group",
+                 month_availability: bool = True, stamp: datetime | None = None) -> DataFrame:
     """Rule counts, uniqueness and availability with labels, as one lazy plan.
 
+    Covers the last ``months``, or ``periods`` when given (plus every malformed period
+    with ``malformed``; the rolling window always has those above its floor).
+
     The fact is read once per grouping that cannot be shared: all rules by period, keys by
     period, day masks by product, day masks by period. Each read carries only its own
     columns. Persisting the universe instead would store most of the fact; reading narrow
     columns again is cheaper. Only the key count shuffles data in proportion to the fact.
     """
     rules = default_rules() if rules is None else rules
-    measured = in_window(universe(df), as_of, months, periods)
+    measured = in_window(universe(df), as_of, months, periods, malformed=malformed)
     parts = [
         rule_report(measured, rules),
         uniqueness(measured, nulls=nulls),

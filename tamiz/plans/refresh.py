@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.periods import period_date, period_of
-from tamiz.operators.universe import current_periods, since_months
+from tamiz.operators.universe import current_periods, is_malformed, since_months
 from tamiz.plans.cube import quality_cube
 
 
@@ -41,15 +41,15 @@ def refresh_pending(df: DataFrame, path: str, as_of: date, *, months: int = 36,
                     stamp: datetime | None = None) -> list[int]:
     """Compute the pending periods and replace just their partitions; safe to repeat.
 
-    The period list (one integer per distinct period) comes to the driver so that the fact
-    is read with a literal list and only those partitions are scanned. Malformed periods
-    are kept: they are what the period format rule reports.
+    The pending months (real ones, so at most ``months`` and the future) come to the driver
+    as a literal list that prunes the fact's partitions. Malformed periods, however many,
+    are selected by predicate and always calculated again: they are what the period format
+    rule reports.
     """
-    pending = pending_periods(df, path, as_of, months=months)
+    pending = pending_periods(df, path, as_of, months=months).filter(~is_malformed("periodo_contable"))
     periods = sorted(int(r.periodo_contable) for r in pending.collect())
-    if periods:
-        (quality_cube(df, as_of, periods=periods, stamp=stamp)
-         .repartition("periodo_contable")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("periodo_contable").parquet(path))
+    (quality_cube(df, as_of, periods=periods, malformed=True, stamp=stamp)
+     .repartition("periodo_contable")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("periodo_contable").parquet(path))
     return periods

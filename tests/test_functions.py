@@ -110,3 +110,6 @@ def test_categories(spark, rows):
     assert rows(with_category(df)) == [
         (" 6031 ", "Autos"), ("01", "Cumplimiento"), ("1", "Sin clasificar"), ("RC", "Responsabilidad Civil"),
         (None, "Sin clasificar")]
+    repeated = spark.createDataFrame([("A", "x"), (" A", "w"), ("B", "y")], "ramo string, categoria string")
+    df = spark.createDataFrame([("A",), ("B",)], "product_code string")
+    assert rows(with_category(df, repeated)) == [("A", "w"), ("B", "y")]
