@@ -8,7 +8,7 @@ apply here.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, time, timedelta
+from datetime import date, time, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +36,11 @@ def _real(periods: Sequence[int]) -> list[int]:
     return [int(p) for p in periods if 100001 <= p <= 999912 and 1 <= p % 100 <= 12]
 
 
-def _ts_bounds(periods: Sequence[int]) -> tuple[datetime, datetime]:
+def _month_bounds(periods: Sequence[int]) -> tuple[date, date]:
+    """First day of the first month and of the month after the last."""
     first, last = min(periods), max(periods)
     after = date(last // 100, last % 100, 28) + timedelta(days=4)
-    return datetime(first // 100, first % 100, 1), datetime(after.year, after.month, 1)
+    return date(first // 100, first % 100, 1), after.replace(day=1)
 
 
 def product_days(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15, product: str = "product_code",
@@ -53,7 +54,7 @@ def product_days(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15
         periods = _real(periods)
         df = df.filter(period_of_ts(ts).isin(periods))
         if periods:
-            low, high = _ts_bounds(periods)
+            low, high = _month_bounds(periods)
             df = df.filter((ts >= F.lit(low)) & (ts < F.lit(high)))
     # Characters 7-8 of the printed key: the last two digits of a well-formed one, nothing
     # for a shorter key, so an odd key yields NULL instead of an error.

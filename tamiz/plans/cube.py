@@ -21,8 +21,9 @@ CUBE_COLUMNS = CUBE_SCHEMA.fieldNames()
 
 
 def with_calc_ts(df: DataFrame, stamp: datetime | None = None) -> DataFrame:
-    """Calculation time; the given one, or the start of the query."""
-    return df.withColumn("fecha_calculo", F.current_timestamp() if stamp is None else F.lit(stamp))
+    """Calculation time: the given one, read in the session's zone, or the start of the query."""
+    given = F.current_timestamp() if stamp is None else F.lit(stamp.isoformat(sep=" ")).cast("timestamp")
+    return df.withColumn("fecha_calculo", given)
 
 
 def quality_cube(df: DataFrame, as_of: date, *, months: int = 36, periods: Sequence[int] | None = None,

@@ -2,6 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tamiz.model import ALERT_SCHEMA, ARRIVAL_SCHEMA, CUBE_SCHEMA
 from tamiz.operators.availability import load_arrival
@@ -178,3 +179,24 @@ def test_money_survives_the_round_trip(spark, tmp_path):
     export_csv(df, str(tmp_path / "m"))
     assert spark.read.schema(df.schema).option("header", True).csv(str(tmp_path / "m")).first()[0] == Decimal(
         "12345678901.2345")
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, facts, rows):
+    df = two_months(facts)
+    path = work_path(spark, "ntz")
+    df.withColumn("load_ts", df.load_ts.cast("timestamp_ntz")).withColumn(
+        "transaction_accounting_ts", df.transaction_accounting_ts.cast("timestamp_ntz")).write.parquet(path)
+
+    def results():
+        fact = read_movements(spark, path)
+        cube = quality_cube(fact, AS_OF, stamp=STAMP).withColumn("fecha_calculo", F.col("fecha_calculo").cast("string"))
+        periods = quality_cube(fact, AS_OF, periods=[202401], stamp=STAMP).drop("fecha_calculo")
+        arrivals = load_arrival(fact, AS_OF)
+        return rows(cube), rows(periods), rows(arrivals.withColumn("arribo_datos", F.col("arribo_datos").cast("string")))
+
+    utc = results()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+        assert results() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -89,6 +89,13 @@ def test_month_list_prunes_partitions(spark, fact):
     assert "GreaterThanOrEqual(transaction_date_sk,20240100)" in pushed
 
 
+def test_accounting_time_windows_reach_the_scan(fact):
+    for periods in (None, [202401, 202402]):
+        scan, = scans(availability.availability_rule4(fact, AS_OF, periods=periods))
+        assert "GreaterThanOrEqual(transaction_accounting_ts," in scan
+        assert schema(scan) == {"transaction_accounting_ts", "product_code", "transaction_date_sk"}
+
+
 def test_date_key_windows_reach_the_scan(fact):
     for df in (availability.daily_counts(fact, AS_OF), availability.load_arrival(fact, AS_OF),
                al.daily_balance(fact, AS_OF)):
