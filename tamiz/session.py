@@ -23,12 +23,17 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary one.
+    A session that names none is refused on a cluster, where a folder of the driver's machine
+    would lose what executors write. Only in local mode, where driver and executors are one
+    process, it gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tamiz-"))
-        root = spark.sparkContext.getCheckpointDir()
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tamiz-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
