@@ -13,10 +13,15 @@ from tamiz.llm.jaccard_join import jaccard_join
 from tamiz.llm.line_dedup import line_dedup
 from tamiz.llm.mixing import mix
 from tamiz.llm.packing import pack
+from tamiz.llm.pu_quality import classify
 from tamiz.llm.quality_rules import quality_rules
 from tamiz.llm.oracles import SQL
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(table(spark, sf_dir, "documents")).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
     return rows.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
@@ -44,7 +49,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op3_jaccard_join, op5_quality_rules, op7_packing, op8_line_dedup)} | {
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_jaccard_join, op5_quality_rules, op7_packing, op8_line_dedup)} | {
         "pipeline": corpus_pipeline.run}
 
 
