@@ -13,6 +13,7 @@ from tamiz.llm.jaccard_join import jaccard_join
 from tamiz.llm.line_dedup import line_dedup
 from tamiz.llm.mixing import mix
 from tamiz.llm.packing import pack
+from tamiz.llm.ppm import score
 from tamiz.llm.pu_quality import classify
 from tamiz.llm.quality_rules import quality_rules
 from tamiz.llm.oracles import SQL
@@ -32,6 +33,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -49,7 +54,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_jaccard_join, op5_quality_rules, op7_packing, op8_line_dedup)} | {
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_jaccard_join, op4_ppm, op5_quality_rules,
+                                    op7_packing, op8_line_dedup)} | {
         "pipeline": corpus_pipeline.run}
 
 
