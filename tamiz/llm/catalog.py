@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tamiz.llm.common import table
+from tamiz.llm.html_template import extract
 from tamiz.llm.jaccard_join import jaccard_join
 from tamiz.llm.line_dedup import line_dedup
 from tamiz.llm.mixing import mix
@@ -16,6 +17,8 @@ from tamiz.llm.packing import pack
 from tamiz.llm.ppm import score
 from tamiz.llm.pu_quality import classify
 from tamiz.llm.quality_rules import quality_rules
+from tamiz.llm.secrets import scan
+from tamiz.llm.winnowing import compare_with_next
 from tamiz.llm.oracles import SQL
 
 
@@ -43,6 +46,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "removed_lines", "lost_share")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -53,9 +61,17 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_mixing, op3_jaccard_join, op4_ppm, op5_quality_rules,
-                                    op7_packing, op8_line_dedup)} | {
+                                    op6_secrets, op7_packing, op8_line_dedup, op9_winnowing, op10_html)} | {
         "pipeline": corpus_pipeline.run}
 
 
