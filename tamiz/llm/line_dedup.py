@@ -73,17 +73,18 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site
     One row for each row, other columns untouched; new columns replace columns of the same name.
     A NULL text stays NULL. Of rows with equal id and text each keeps a first occurrence.
     """
-    drop = removals(docs, doc_id, text, site, min_sites)
+    # Names inside a lambda must not be those of columns of ``docs``.
+    drop = removals(docs, doc_id, text, site, min_sites).withColumnRenamed("lines", "__lines")
     new = ("clean_text", "n_lines", "removed_lines")
     whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).alias("k"), F.col(text).alias("x"))
     joined = whole.join(drop, F.col("k").eqNullSafe(F.col("d")) & (F.xxhash64("x") == F.col("t")), "left")
     lines = F.split(F.coalesce("x", F.lit("")), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("lines", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__lines", i)), "\n")
     n_lines = F.size(F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     return joined.select(
         *[F.col("doc")[c].alias(c) for c in docs.columns if c not in new],
-        F.when(F.col("lines").isNull(), F.col("x")).otherwise(kept).alias("clean_text"),
-        n_lines.alias("n_lines"), F.coalesce(F.size("lines"), F.lit(0)).alias("removed_lines"))
+        F.when(F.col("__lines").isNull(), F.col("x")).otherwise(kept).alias("clean_text"),
+        n_lines.alias("n_lines"), F.coalesce(F.size("__lines"), F.lit(0)).alias("removed_lines"))
 
 
 def without_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",

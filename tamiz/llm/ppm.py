@@ -212,8 +212,15 @@ def _escape(escapes: np.ndarray | None, depth: int, total: np.ndarray, distinct:
 
 
 def code_lengths(words: list[bytes], counts: np.ndarray, low: LowOrders, escapes: np.ndarray | None = None,
-                 order: int = ORDER, tallies: np.ndarray | None = None) -> np.ndarray:
-    """log10 probability of each word. All words of a branch of the trie must be in the list.
+                 order: int = ORDER) -> np.ndarray:
+    """log10 probability of each word."""
+    logs, starts = symbol_logs(words, counts, low, escapes, order)
+    return np.add.reduceat(logs, starts[:-1]) if words else np.zeros(0)
+
+
+def symbol_logs(words: list[bytes], counts: np.ndarray, low: LowOrders | None, escapes: np.ndarray | None = None,
+                order: int = ORDER, tallies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of each symbol, and where words start. All words of a branch must be in the list.
 
     Prefixes are numbered depth by depth: a prefix and its next byte give the prefix one longer.
     With ``tallies`` the escapes and hits of the contexts are added there and nothing is coded.
@@ -267,10 +274,10 @@ def code_lengths(words: list[bytes], counts: np.ndarray, low: LowOrders, escapes
         if len(rows):
             _, prefix = np.unique(prefix, return_inverse=True)
     if tallies is not None:
-        return np.zeros(0)
+        return logs, starts
     rest = ~coded
     logs[rest] += low.log10(symbols[rest], two[rest], one[rest], known[rest], kinds[rest])
-    return np.add.reduceat(logs, starts[:-1]) if len(words) else np.zeros(0)
+    return logs, starts
 
 
 def _branches(words: DataFrame) -> DataFrame:
@@ -299,8 +306,8 @@ def escape_tallies(branches: DataFrame, low: LowOrders, order: int = ORDER) -> n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = np.zeros((2, size))
         for table in _whole_branches(batches):
-            code_lengths(table.column("word").to_pylist(), table.column("c").to_numpy().astype(np.float64), low=None,
-                         order=order, tallies=tallies)
+            symbol_logs(table.column("word").to_pylist(), table.column("c").to_numpy().astype(np.float64), None,
+                        order=order, tallies=tallies)
         used = np.flatnonzero(tallies.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(tallies[0][used]), pa.array(tallies[1][used])],
                                          names=["class", "lost", "found"])

@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 from tamiz.llm.common import append_columns, fold, stored
 from tamiz.llm.quality_rules import SYMBOLS, repeated_words
 
-RIDGE = 1e-3
+RIDGE = 0.1
 MAX_STEPS = 25
 BINS = 2000
 ODD = re.compile(rb"[^0-9A-Za-z.,;:!?'\"()\x80-\xff-]")
