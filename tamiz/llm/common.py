@@ -112,3 +112,38 @@ def mix64(values: np.ndarray) -> np.ndarray:
 
 def ceil_div(a: int, b: int) -> int:
     return math.ceil(a / b)
+
+
+class Bloom:
+    """A Bloom filter of fixed size over 64-bit hashes: tells rows that a join would surely lose.
+
+    It never says no to a key that was put in. Its size does not follow the data, so it may be handed
+    to every task; with very many keys it says yes to all and the join alone decides.
+    """
+
+    BITS = 1 << 26
+    HASHES = 4
+
+    def __init__(self, keys: DataFrame, column: str):
+        spots = F.explode(F.array(*[F.pmod(F.xxhash64(column, F.lit(i)), F.lit(self.BITS)) for i in range(self.HASHES)]))
+        words = (keys.select(spots.alias("spot")).select((F.col("spot") / 64).cast("int").alias("word"),
+                                                         (F.col("spot") % 64).cast("int").alias("bit"))
+                 .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow())
+        table = np.zeros(self.BITS // 64, np.uint64)
+        table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+        self._table = keys.sparkSession.sparkContext.broadcast(table)
+
+    def may_hold(self, column: Column) -> Column:
+        """Whether a value may be among the keys."""
+        shared = self._table
+
+        def look(*spots: pa.Array) -> pa.Array:
+            found = None
+            for spot in spots:
+                at = spot.to_numpy(zero_copy_only=False)
+                bit = (shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
+                found = bit if found is None else found & bit
+            return pa.array(found.astype(bool))
+
+        spots = [F.pmod(F.xxhash64(column, F.lit(i)), F.lit(self.BITS)) for i in range(self.HASHES)]
+        return F.arrow_udf(look, "boolean")(*spots)

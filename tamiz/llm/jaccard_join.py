@@ -19,7 +19,7 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import DataFrame
 
-from tamiz.llm.common import groups, lists, mix64, stored
+from tamiz.llm.common import Bloom, groups, lists, mix64, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -214,6 +214,10 @@ def links(candidates: DataFrame, threshold: float, block: int) -> DataFrame:
         out: list[list] = [[], [], []]
         for group in groups(batches, "unit"):
             if group.num_rows > 1:
+                nodes = group.column("node").to_pylist()
+                first = list({node: i for i, node in reversed(list(enumerate(nodes)))}.values())
+                if len(first) < len(nodes):  # repeated rows bring their set more than once
+                    group = group.take(pa.array(sorted(first)))
                 for column, values in zip(out, _compare_group(group, threshold)):
                     column.extend(values)
             if len(out[0]) > 20_000:
@@ -295,9 +299,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     sets = stored(signed.filter("node is not null").groupBy("node").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.first("path").alias("path")), "sets")
     found = _fresh(leaves(sets, runs, depth, node_sets), runs)
-    wanted = found.select("node").distinct().join(sets.select("node", "copies", "least"), "node")
-    whole = _whole_sets(docs, doc_id, text, width, wanted)
-    met = stored(links(found.join(whole, "node"), threshold, block), "links")
+    wanted = stored(found.join(sets.select("node", "copies", "least"), "node"), "candidates")
+    met = stored(links(_with_sets(docs, doc_id, text, width, wanted), threshold, block), "links")
 
     roots = components(met.filter("other is not null"))
     counts = met.groupBy("node").agg(F.sum("n_links").alias("linked"))
@@ -311,32 +314,46 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("size").alias("n_shingles"))
 
 
-def _whole_sets(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """node, copies, set: the whole shingle set of each wanted node, computed again from a document that has it."""
-    keyed = wanted.select(F.col("node").alias("of"), "copies", "least")
-    texts = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text")).join(
-        keyed, F.col("d").eqNullSafe(F.col("least"))).select("of", "copies", "text")
+def _with_sets(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
+    """``wanted`` with ``set``, the whole shingle set of each node, computed again from a document that has it.
+
+    Documents that are surely no candidate's are left out before the join by id.
+    """
+    filled = Bloom(wanted.select("least").distinct(), "least")
+    texts = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text")).filter(filled.may_hold(F.col("d")))
+    joined = texts.join(wanted, F.col("d").eqNullSafe(F.col("least"))).select(
+        "node", "run", "leaf", "n", "met", "copies", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_text, last = None, (None, None)
         for batch in batches:
             rows, sets = [], []
-            for i, (node, value) in enumerate(zip(batch.column("of").to_pylist(), batch.column("text"))):
-                found = shingles(value.as_py(), width)
+            for i, (node, value) in enumerate(zip(batch.column("node").to_pylist(), batch.column("text").to_pylist())):
+                if value != last_text:
+                    found = shingles(value, width)
+                    last_text, last = value, (xxhash.xxh3_128_digest(found.tobytes()), found.view(np.int64))
                 # Rows may share an id and differ in text.
-                if xxhash.xxh3_128_digest(found.tobytes()) == node:
+                if last[0] == node:
                     rows.append(i)
-                    sets.append(found.view(np.int64))
+                    sets.append(last[1])
             take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("of").take(take), batch.column("copies").take(take), pa.array(sets, pa.list_(pa.int64()))],
-                names=["node", "copies", "set"])
+            names = ["node", "run", "leaf", "n", "met", "copies"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(take) for c in names], pa.array(sets, pa.list_(pa.int64()))],
+                                             names=[*names, "set"])
 
-    return texts.mapInArrow(run, "node binary, copies long, set array<bigint>").dropDuplicates(["node"])
+    return joined.mapInArrow(run, "node binary, run int, leaf long, n long, met array<bigint>, copies long, set array<bigint>")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class, the one that names it; columns as given."""
-    heads = (jaccard_join(docs, doc_id, text, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-             .select(F.col("doc_id").alias("head")).distinct())
-    kept = docs.join(heads, F.col(doc_id).eqNullSafe(F.col("head")), "left_semi")
-    return (kept.withColumn("__text", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "__text"]).select(docs.columns))
+    """``docs`` with one row of each class, the one that names it; columns as given.
+
+    Rows that are surely linked to none stay where they are; only the others are joined by id.
+    """
+    result = stored(jaccard_join(docs, doc_id, text, **options), "classes-of-documents")
+    linked = Bloom(result.filter("n_links > 0").select("doc_id").distinct(), "doc_id")
+    heads = result.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("head")).distinct()
+    marked = docs.withColumn("__linked", linked.may_hold(F.col(doc_id)))
+    alone = marked.filter(~F.col("__linked")).drop("__linked")
+    kept = (marked.filter("__linked").drop("__linked").join(heads, F.col(doc_id).eqNullSafe(F.col("head")), "left_semi")
+            .withColumn("__text", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "__text"]).drop("__text"))
+    return alone.select(docs.columns).unionByName(kept.select(docs.columns))
