@@ -69,27 +69,120 @@ SHORT_LABELS = {
     "disponibilidad_regla4": "Disponibilidad por ramo",
 }
 
-# Product codes of each business category.
-CATEGORY_CODES = {
-    "Autos": "6031 6033 6034 6035 6036 6038 6039 6041 6042 6043 6045 6046 6047 6048 6049 6060 6061 "
-             "800004 900731 900753 900792 900795",
-    "Responsabilidad Civil": "10005 111715 12 800007 900752 900775 DO1 LA1 LB RC RCL RCM RCP RCT REO",
-    "Vida": "462 463 6023 6024 6025 6026 6028 6029 6052 900762 900771 GC IF",
-    "Hogar": "10000 10001 10003 410 411 6071 900748 900754 900758",
-    "Transporte / Navegación": "10 70107 70108 8092 900777 900778 TRM",
-    "Daños Materiales": "19 900744 900746 900747 900774 IN ST",
-    "Ingeniería": "11 17 18 800008 900745 900779",
-    "Salud": "E1 H1 RDH SE Z1",
-    "Cumplimiento": "01 10004 BO JU",
-    "Manejo / Riesgos Financieros": "02 22 900751 900776",
-    "Exequias": "396 900719 900720 900721",
-    "PYME / Multiriesgo": "10024 900742 PY",
-    "Accidentes Personales": "7467 7468 7469",
-    "SOAT": "368 900730",
-    "Asistencias": "ADU T1",
-    "Agropecuario": "900793",
-    "Aviación": "900794",
-    "Otros": "800020 900765 900780 LGP",
+# Business category of each product code.
+PRODUCT_CATEGORY = {
+    "6031": "Autos",
+    "6033": "Autos",
+    "6034": "Autos",
+    "6035": "Autos",
+    "6036": "Autos",
+    "6038": "Autos",
+    "6039": "Autos",
+    "6041": "Autos",
+    "6042": "Autos",
+    "6043": "Autos",
+    "6045": "Autos",
+    "6046": "Autos",
+    "6047": "Autos",
+    "6048": "Autos",
+    "6049": "Autos",
+    "6060": "Autos",
+    "6061": "Autos",
+    "800004": "Autos",
+    "900731": "Autos",
+    "900753": "Autos",
+    "900792": "Autos",
+    "900795": "Autos",
+    "10005": "Responsabilidad Civil",
+    "111715": "Responsabilidad Civil",
+    "12": "Responsabilidad Civil",
+    "800007": "Responsabilidad Civil",
+    "900752": "Responsabilidad Civil",
+    "900775": "Responsabilidad Civil",
+    "DO1": "Responsabilidad Civil",
+    "LA1": "Responsabilidad Civil",
+    "LB": "Responsabilidad Civil",
+    "RC": "Responsabilidad Civil",
+    "RCL": "Responsabilidad Civil",
+    "RCM": "Responsabilidad Civil",
+    "RCP": "Responsabilidad Civil",
+    "RCT": "Responsabilidad Civil",
+    "REO": "Responsabilidad Civil",
+    "462": "Vida",
+    "463": "Vida",
+    "6023": "Vida",
+    "6024": "Vida",
+    "6025": "Vida",
+    "6026": "Vida",
+    "6028": "Vida",
+    "6029": "Vida",
+    "6052": "Vida",
+    "900762": "Vida",
+    "900771": "Vida",
+    "GC": "Vida",
+    "IF": "Vida",
+    "10000": "Hogar",
+    "10001": "Hogar",
+    "10003": "Hogar",
+    "410": "Hogar",
+    "411": "Hogar",
+    "6071": "Hogar",
+    "900748": "Hogar",
+    "900754": "Hogar",
+    "900758": "Hogar",
+    "10": "Transporte / Navegación",
+    "70107": "Transporte / Navegación",
+    "70108": "Transporte / Navegación",
+    "8092": "Transporte / Navegación",
+    "900777": "Transporte / Navegación",
+    "900778": "Transporte / Navegación",
+    "TRM": "Transporte / Navegación",
+    "19": "Daños Materiales",
+    "900744": "Daños Materiales",
+    "900746": "Daños Materiales",
+    "900747": "Daños Materiales",
+    "900774": "Daños Materiales",
+    "IN": "Daños Materiales",
+    "ST": "Daños Materiales",
+    "11": "Ingeniería",
+    "17": "Ingeniería",
+    "18": "Ingeniería",
+    "800008": "Ingeniería",
+    "900745": "Ingeniería",
+    "900779": "Ingeniería",
+    "E1": "Salud",
+    "H1": "Salud",
+    "RDH": "Salud",
+    "SE": "Salud",
+    "Z1": "Salud",
+    "01": "Cumplimiento",
+    "10004": "Cumplimiento",
+    "BO": "Cumplimiento",
+    "JU": "Cumplimiento",
+    "02": "Manejo / Riesgos Financieros",
+    "22": "Manejo / Riesgos Financieros",
+    "900751": "Manejo / Riesgos Financieros",
+    "900776": "Manejo / Riesgos Financieros",
+    "396": "Exequias",
+    "900719": "Exequias",
+    "900720": "Exequias",
+    "900721": "Exequias",
+    "10024": "PYME / Multiriesgo",
+    "900742": "PYME / Multiriesgo",
+    "PY": "PYME / Multiriesgo",
+    "7467": "Accidentes Personales",
+    "7468": "Accidentes Personales",
+    "7469": "Accidentes Personales",
+    "368": "SOAT",
+    "900730": "SOAT",
+    "ADU": "Asistencias",
+    "T1": "Asistencias",
+    "900793": "Agropecuario",
+    "900794": "Aviación",
+    "800020": "Otros",
+    "900765": "Otros",
+    "900780": "Otros",
+    "LGP": "Otros",
 }
 
 
@@ -107,7 +200,7 @@ def lookup_table(spark: SparkSession, rows: Iterable[tuple[str, ...]], columns:
 
 
 def category_table(spark: SparkSession) -> DataFrame:
-    rows = [(code, category) for category, codes in CATEGORY_CODES.items() for code in codes.split()]
+    rows = list(PRODUCT_CATEGORY.items())
     return lookup_table(spark, rows, ["ramo", "categoria"])
 
 

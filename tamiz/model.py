@@ -136,7 +136,8 @@ def conform(df: DataFrame, schema: T.StructType, *, missing_as_null: bool = Fals
     """Select the columns of ``schema`` in order, casting only where the type differs.
 
     A column that fits stays a bare reference, so filters on it still reach the Parquet
-    scan. NTZ timestamps and amounts of another precision are accepted as they are.
+    scan. NTZ timestamps and amounts of another precision are accepted as they are. A value that
+    cannot be read as its declared type becomes NULL and is counted with the missing ones.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
@@ -148,5 +149,5 @@ def conform(df: DataFrame, schema: T.StructType, *, missing_as_null: bool = Fals
         elif _fits(have[f.name], f.dataType):
             out.append(F.col(f.name))
         else:
-            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return df.select(*out)

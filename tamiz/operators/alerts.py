@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, time
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,27 +29,28 @@ def _limit(value: float) -> Column:
 def daily_balance(df: DataFrame, as_of: date, *, days: int = 90) -> DataFrame:
     """Premium of each product and day of the last ``days``.
 
-    Grouped on the raw key; keys are turned into dates after the aggregate, and keys that
-    are no calendar date drop out with the malformed ones.
+    Grouped on the raw key; keys are turned into dates after the aggregate. A key of eight digits
+    that is no calendar date keeps its premium with a NULL ``fecha``, so balances add up to the window.
     """
     key = F.col("transaction_date_sk")
     return (since_days(universe(df), as_of, days).filter(valid_date_key(key))
             .groupBy(F.trim("product_code").alias("ramo"), key).agg(F.sum(PREMIUM).alias("prima_dia"))
-            .select("ramo", date_of_key(key).alias("fecha"), period_of_key(key).alias("periodo_contable"), "prima_dia")
-            .filter(F.col("fecha").isNotNull()))
+            .select("ramo", date_of_key(key).alias("fecha"), period_of_key(key).alias("periodo_contable"), "prima_dia"))
 
 
 def balance_alerts(daily: DataFrame, *, thresholds: Thresholds = THRESHOLDS,
                    mapping: DataFrame | None = None) -> DataFrame:
     """Change of each product's balance against its previous day with data.
 
+    A balance without a date has no place in the sequence: it has no base and is nobody's base.
     The window sees one row per product and day, so a dominant product is no hot key. With
     ``mapping`` the business category is added as ``categoria``.
     """
     t = thresholds
-    by_day = Window.partitionBy("ramo").orderBy("fecha")
+    dated = F.col("fecha").isNotNull()
+    by_day = Window.partitionBy("ramo", dated).orderBy("fecha")
     value, base = F.col("prima_dia"), F.col("_previous")
-    rows = (daily.withColumn("_previous", F.lag("prima_dia").over(by_day))
+    rows = (daily.withColumn("_previous", F.when(dated, F.lag("prima_dia").over(by_day)))
             .withColumn("_previous_day", F.lag("fecha").over(by_day)))
     alerts = rows.select(
         F.lit(BALANCE).alias("ambito"), F.col("ramo").alias("clave"), F.col("ramo").alias("clave_natural"),
@@ -143,19 +144,21 @@ def cube_alerts(cube: DataFrame, *, thresholds: Thresholds = THRESHOLDS) -> Data
             .select(F.inline(F.when(F.col("_first"), F.array(own, pending)).otherwise(F.array(own)))))
 
 
-def arrival_alerts(arrivals: DataFrame, *, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
-    """Landing time against the cut-off; minutes, negative when early."""
+def arrival_alerts(arrivals: DataFrame, *, thresholds: Thresholds = THRESHOLDS, cutoff: time = time(11)) -> DataFrame:
+    """Landing time against the cut-off (that of ``arrivals``); minutes, negative when early."""
     t = thresholds
+    # The texts that readers of the alert list know.
+    short = f"{cutoff:%H:%M}" if cutoff.minute or cutoff.hour > 12 else f"{cutoff.hour}am"
     minutes = F.col("minutos_vs_corte")
     return arrivals.select(
         F.lit(ARRIVAL).alias("ambito"), F.col("nombre_campo").alias("clave"),
-        F.lit("Hora de carga (corte 11am)").alias("clave_natural"), "periodo_contable",
+        F.lit(f"Hora de carga (corte {short})").alias("clave_natural"), "periodo_contable",
         F.col("fecha_datos").alias("fecha"), minutes.cast("double").alias("valor"),
         _number(0.0).alias("valor_referencia"), _number(None).alias("variacion_abs"),
         _number(None).alias("variacion_pct"), _limit(t.arrival_warning_minutes).alias("umbral_adv"),
         _limit(t.arrival_critical_minutes).alias("umbral_crit"), arrival_state(minutes, t).alias("estado"),
         F.concat(F.lit("Datos del día arribaron a las "), F.date_format("arribo_datos", "HH:mm"),
-                 F.lit(" (corte 11:00). Negativo = a tiempo.")).alias("detalle"))
+                 F.lit(f" (corte {cutoff:%H:%M}). Negativo = a tiempo.")).alias("detalle"))
 
 
 # ---- reading the list -------------------------------------------------------------------
@@ -173,12 +176,14 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
 def latest(df: DataFrame, column: str, *, within: str | None = None) -> DataFrame:
     """Rows holding the highest ``column`` (per ``within`` value), ties included.
 
-    ``rank() = 1`` is cut per task before the shuffle; a separate maximum would compute
-    the input twice.
+    The maximum is an aggregate and then a filter: rows that tie stay where they are, however many.
     """
-    spec = Window.partitionBy(within) if within else Window.partitionBy()
-    newest = F.rank().over(spec.orderBy(F.desc_nulls_last(column)))
-    return df.filter(F.col(column).isNotNull()).withColumn("_rank", newest).filter("_rank = 1").drop("_rank")
+    keys = [F.col(within).alias("_within")] if within else []
+    newest = df.groupBy(*keys).agg(F.max(column).alias("_newest")).filter("_newest IS NOT NULL")
+    same = F.col(column) == F.col("_newest")
+    if within:
+        same = same & F.col(within).eqNullSafe(F.col("_within"))
+    return df.join(newest, same, "left_semi")
 
 
 def actionable_panel(alerts: DataFrame, top: int = 60) -> DataFrame:

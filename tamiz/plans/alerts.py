@@ -13,11 +13,11 @@ from tamiz.plans.cube import quality_cube, with_calc_ts
 
 
 def combine(balances: DataFrame, cube: DataFrame, arrivals: DataFrame, *, thresholds: Thresholds = THRESHOLDS,
-            stamp: datetime | None = None) -> DataFrame:
-    """One list from daily balances, a cube (computed or stored) and arrivals."""
+            stamp: datetime | None = None, cutoff: time = time(11)) -> DataFrame:
+    """One list from daily balances, a cube (computed or stored) and arrivals; ``cutoff`` is theirs."""
     rows = (balance_alerts(balances, thresholds=thresholds)
             .unionByName(cube_alerts(cube, thresholds=thresholds))
-            .unionByName(arrival_alerts(arrivals, thresholds=thresholds)))
+            .unionByName(arrival_alerts(arrivals, thresholds=thresholds, cutoff=cutoff)))
     return with_calc_ts(rows, stamp).select(*ALERT_SCHEMA.fieldNames())
 
 
@@ -27,4 +27,5 @@ def alerts(df: DataFrame, as_of: date, *, cube: DataFrame | None = None, months:
     """Alerts of the fact. Pass a stored ``cube`` to skip computing it again."""
     cube = quality_cube(df, as_of, months=months, stamp=stamp) if cube is None else cube
     return combine(daily_balance(df, as_of, days=balance_days), cube,
-                   load_arrival(df, as_of, days=arrival_days, cutoff=cutoff), thresholds=thresholds, stamp=stamp)
+                   load_arrival(df, as_of, days=arrival_days, cutoff=cutoff), thresholds=thresholds, stamp=stamp,
+                   cutoff=cutoff)

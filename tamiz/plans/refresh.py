@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.periods import period_date, period_of
 from tamiz.operators.universe import current_periods, is_malformed, since_months
 from tamiz.plans.cube import quality_cube
+from tamiz.session import work_path
 
 
 def closed_periods(df: DataFrame, path: str) -> DataFrame:
@@ -39,17 +40,23 @@ def pending_periods(df: DataFrame, path: str, as_of: date, *, months: int = 36)
 
 def refresh_pending(df: DataFrame, path: str, as_of: date, *, months: int = 36,
                     stamp: datetime | None = None) -> list[int]:
-    """Compute the pending periods and replace just their partitions; safe to repeat.
+    """Compute the pending periods and put them in the place of what is stored; safe to repeat.
 
     The pending months (real ones, so at most ``months`` and the future) come to the driver
     as a literal list that prunes the fact's partitions. Malformed periods, however many,
     are selected by predicate and always calculated again: they are what the period format
-    rule reports.
+    rule reports. Of the stored cube only final months stay, so a malformed period that was
+    corrected and a pending month that lost its rows go. The cube, some forty rows a period, is
+    written anew by way of a scratch copy; the fact is read for the pending periods alone.
     """
     pending = pending_periods(df, path, as_of, months=months).filter(~is_malformed("periodo_contable"))
     periods = sorted(int(r.periodo_contable) for r in pending.collect())
-    (quality_cube(df, as_of, periods=periods, malformed=True, stamp=stamp)
-     .repartition("periodo_contable")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("periodo_contable").parquet(path))
+    cube = quality_cube(df, as_of, periods=periods, malformed=True, stamp=stamp)
+    final = closed_periods(df, path).filter(~F.col("periodo_contable").isin([*periods, period_of(as_of)]))
+    if not final.isEmpty():
+        cube = cube.unionByName(df.sparkSession.read.parquet(path).join(final, "periodo_contable", "left_semi"))
+    scratch = work_path(df.sparkSession, "refresh")
+    cube.write.parquet(scratch)
+    (df.sparkSession.read.schema(cube.schema).parquet(scratch).repartition("periodo_contable")
+     .write.mode("overwrite").parquet(path))
     return periods

@@ -10,10 +10,15 @@ BOM = "﻿"
 
 
 def export_csv(df: DataFrame, path: str, *, bom: bool = True) -> None:
-    """Header CSV. With ``bom`` the header of every part starts with a byte-order mark."""
+    """Header CSV. With ``bom`` the header of every part starts with a byte-order mark.
+
+    Quotes are doubled and white space is kept, so ``read_mapping`` gives back every cell; but
+    the empty text (a pair of quotes) and NULL (nothing) are both read as NULL.
+    """
     first = df.columns[0]
     out = df.withColumnRenamed(first, BOM + first) if bom else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def export_json(df: DataFrame, path: str) -> None:

@@ -17,6 +17,10 @@ def snapshot(df: DataFrame, table: str, schema: T.StructType, *, path: str | Non
     if not spark.catalog.tableExists(table):
         options = {} if path is None else {"path": path}
         spark.catalog.createTable(table, source="parquet", schema=schema, **options)
+    # Rows are inserted by position, so an existing table must have these columns in this order.
+    have, want = ([(f.name.lower(), f.dataType) for f in s.fields] for s in (spark.table(table).schema, schema))
+    if have != want:
+        raise ValueError(f"table {table} has other columns than declared: {have}, not {want}")
     rows = conform(df, schema)
     # A declared TIMESTAMP column takes the clock time of an NTZ source in the session zone.
     rows = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])

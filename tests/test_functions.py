@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamiz.functions import classify, percent, periods
-from tamiz.mappings import CATEGORY_CODES, LONG_LABELS, SHORT_LABELS, category_table, with_category, with_short_label
+from tamiz.mappings import LONG_LABELS, PRODUCT_CATEGORY, SHORT_LABELS, category_table, with_category, with_short_label
 
 
 def one(spark, *columns):
@@ -105,7 +105,7 @@ def test_labels(spark, rows):
 
 def test_categories(spark, rows):
     table = category_table(spark)
-    assert (table.count(), table.select("ramo").distinct().count(), len(CATEGORY_CODES)) == (112, 112, 18)
+    assert (table.count(), table.select("ramo").distinct().count(), len(set(PRODUCT_CATEGORY.values()))) == (112, 112, 18)
     df = spark.createDataFrame([(" 6031 ",), ("RC",), ("01",), ("1",), (None,)], "product_code string")
     assert rows(with_category(df)) == [
         (" 6031 ", "Autos"), ("01", "Cumplimiento"), ("1", "Sin clasificar"), ("RC", "Responsabilidad Civil"),

@@ -123,6 +123,35 @@ def test_refresh_keeps_malformed_periods(spark, facts, rows):
     assert refresh.refresh_pending(df, path, AS_OF, stamp=STAMP) == [202402]
     bad = spark.read.parquet(path).filter("periodo_contable = 2024010 AND cantidad_mala > 0 AND es_total = 0")
     assert rows(bad, "nombre_campo", "periodo_fecha") == [("accountable_period", None)]
+    # Corrected in the source, it goes from the cube.
+    assert refresh.refresh_pending(two_months(facts), path, AS_OF, stamp=STAMP) == [202402]
+    assert spark.read.parquet(path).filter("periodo_contable = 2024010").count() == 0
+    assert spark.read.parquet(path).filter("periodo_contable = 202401").count() == 43
+
+
+def test_csv_keeps_every_character(spark, tmp_path):
+    cells = [(' 6031 ', 'a "b", c', "x"), (None, None, "two\nlines"), ("\\", ' "', "é,")]
+    df = spark.createDataFrame(cells, "ramo string, product_description string, categoria string")
+    export_csv(df.coalesce(1), str(tmp_path / "cells"), bom=False)
+    assert [tuple(r) for r in read_mapping(spark, str(tmp_path / "cells")).collect()] == cells
+
+
+def test_snapshot_refuses_other_columns(spark):
+    from pyspark.sql import types as T
+
+    a, b = T.StructField("a", T.StringType()), T.StructField("b", T.StringType())
+    df = spark.createDataFrame([("va", "vb")], "a string, b string")
+    snapshot(df, "turned", T.StructType([b, a]))
+    with pytest.raises(ValueError, match="other columns"):
+        snapshot(df, "turned", T.StructType([a, b]))
+
+
+def test_unreadable_values_become_null(spark):
+    from tamiz.model import MOVEMENT_SCHEMA, conform
+
+    odd = spark.createDataFrame([("S", "n/a", "7")], "current_record_flag string, load_ts string, branch_sk string")
+    row = conform(odd, MOVEMENT_SCHEMA, missing_as_null=True).first()
+    assert (row.current_record_flag, row.load_ts, int(row.branch_sk)) == (None, None, 7)
 
 
 def test_views_and_stored_select(spark, facts, tmp_path):

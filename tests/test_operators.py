@@ -219,10 +219,10 @@ def test_reconcile(spark, rows):
     right = spark.createDataFrame([(1, 10.0), (2, 5.5), (3, None), (4, 3.0), (5, 1.0), (None, 1.0)], "k int, v double")
     result = reconcile.reconcile(left, right, ["k"], ["v"])
     assert rows(result, "k", "filas_izquierda", "v_ok", "estado") == [
-        (1, 1, True, "igual"), (2, 1, False, "distinto"), (3, 1, True, "igual"), (4, 2, True, "igual"),
+        (1, 1, True, "igual"), (2, 1, False, "distinto"), (3, 1, True, "igual"), (4, 2, False, "distinto"),
         (5, 0, False, "solo_derecha"), (None, 1, True, "igual")]
     assert rows(reconcile.reconcile(left, right, ["k"], ["v"], tolerance=0.5).filter("k = 2"), "estado") == [("igual",)]
-    assert rows(reconcile.reconcile_summary(result, ["v"])) == [("exactitud", "v", 6, 2, 66.67)]
+    assert rows(reconcile.reconcile_summary(result, ["v"])) == [("exactitud", "v", 6, 3, 50.0)]
     assert rows(reconcile.row_sync(left, right.filter("k <> 4"), ["k"])) == [(6, 3)]
     assert rows(reconcile.row_sync(left, left, ["k"])) == [(6, 0)]
 
@@ -241,6 +241,16 @@ def test_mapping_drift(spark, rows):
     assert rows(reconcile.mapping_drift(a, b, "ramo", "categoria")) == [
         ("w", None, "D", "solo_derecha"), ("y", "B", "C", "distinto")]
     assert reconcile.mapping_drift(a, a, "ramo", "categoria").count() == 0
+    several = spark.createDataFrame([("x", "0"), ("x", "A"), ("y", "B"), ("z", None)], "ramo string, categoria string")
+    assert rows(reconcile.mapping_drift(several, a, "ramo", "categoria")) == [("x", "A", "A", "distinto")]
+
+
+def test_reconcile_counts_rows(spark, rows):
+    left = spark.createDataFrame([(1, 50), (1, 50), (2, 5), (2, None), (3, None), (3, None)], "k int, v int")
+    right = spark.createDataFrame([(1, 100), (2, 5), (3, None)], "k int, v int")
+    result = reconcile.reconcile(left, right, ["k"], ["v"])
+    assert rows(result, "k", "v_ok", "estado") == [(1, False, "distinto"), (2, True, "filas_distintas"), (3, True, "filas_distintas")]
+    assert rows(reconcile.row_sync(left, right, ["k"])) == [(6, 3)]
 
 
 def test_unmapped_products(facts, rows):

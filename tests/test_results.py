@@ -27,7 +27,10 @@ def test_daily_balance(facts, rows):
                move(20240231, 9), move(202401, 9), move(None, 9), move(20231001, 9), move(20240111, 9, coverage_code="8888"))
     assert rows(al.daily_balance(df, date(2024, 3, 1))) == [
         ("6031", date(2024, 1, 10), 202401, 15.0), ("6031", date(2024, 1, 11), 202401, -3.0),
-        (None, date(2024, 1, 10), 202401, 1.0)]
+        ("6031", None, 202402, 9.0), (None, date(2024, 1, 10), 202401, 1.0)]
+    impossible = al.balance_alerts(al.daily_balance(df, date(2024, 3, 1)))
+    assert rows(impossible.filter("estado = 'Sin base'"), "clave", "fecha", "valor") == [
+        ("6031", date(2024, 1, 10), 15.0), ("6031", None, 9.0), (None, date(2024, 1, 10), 1.0)]
 
 
 def test_balance_alerts_compare_with_previous_day_with_data(spark, rows):
