@@ -16,6 +16,17 @@ from tamiz.session import work_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are large rows: tasks of this session get at most BATCH_ROWS of them at once from now on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,6 +50,7 @@ def append_columns(df: DataFrame, source: str, fields: StructType,
     ``compute`` gets the values of a batch and returns one list for each field. A column of
     ``df`` with the name of a new one is replaced.
     """
+    small_batches(df.sparkSession)
     names = {f.name for f in fields}
     # The source may itself be replaced: it travels under a name of its own.
     carried = df.withColumn("__source", F.col(source)).drop(*names)

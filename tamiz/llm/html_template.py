@@ -20,7 +20,7 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import DataFrame
 
-from tamiz.llm.common import stored
+from tamiz.llm.common import small_batches, stored
 
 #: A class is frequent on this share of a host's pages and at least so many; it has so many members.
 SHARE = 0.9
@@ -290,6 +290,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     Repeated rows are one page more each. Pages are joined with the templates by host; a host of
     any size is joined row by row.
     """
+    small_batches(pages.sparkSession)
     found = stored(templates(pages, page_id, url, html), "templates").withColumnRenamed("host", "of")
     addressed = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
 

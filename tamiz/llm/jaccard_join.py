@@ -19,7 +19,7 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import DataFrame
 
-from tamiz.llm.common import Bloom, groups, lists, mix64, stored
+from tamiz.llm.common import Bloom, groups, lists, mix64, small_batches, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -294,6 +294,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     to a row, copies included. A row without a word (NULL, empty or white space) is linked to none and
     is a class of its own. Repeated rows are copies. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     runs = runs_needed(threshold, recall, depth)
     signed = stored(embedded(docs, doc_id, text, width, runs, depth), "signatures")
     sets = stored(signed.filter("node is not null").groupBy("node").agg(

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from tamiz.llm.common import ceil_div, stored
+from tamiz.llm.common import ceil_div, small_batches, stored
 
 CAPACITY = 2048
 OPEN_BINS = 512
@@ -40,9 +40,12 @@ def encoder(vocabulary: str | None):
     import tiktoken
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    @functools.cache
+    def full() -> Tokenizer:
+        return Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+
     if vocabulary:
-        return lambda text: full.encode(text, add_special_tokens=False).ids
+        return lambda text: full().encode(text, add_special_tokens=False).ids
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
@@ -50,7 +53,7 @@ def encoder(vocabulary: str | None):
 
     def encode(text: str) -> list[int]:
         if SPECIAL in text:
-            return full.encode(text, add_special_tokens=False).ids
+            return full().encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return encode
@@ -66,6 +69,7 @@ def tokenized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capac
               vocabulary: str | None = None) -> DataFrame:
     """Pieces of the documents: doc_id, piece, start, length, ids_crc32. A NULL text is empty: one end token."""
 
+    small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for batch in batches:

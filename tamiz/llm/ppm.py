@@ -26,7 +26,7 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from tamiz.llm.common import fold, groups, stored
+from tamiz.llm.common import fold, groups, small_batches, stored
 
 #: Longest prefix that serves as a context, in bytes, and bytes that choose the branch of the trie.
 ORDER = 12
@@ -351,6 +351,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     empty: its end is its only token. Repeated rows count and are scored each. Words of any length
     are coded whole: beyond ``order`` bytes from the contexts of two bytes and fewer.
     """
+    small_batches(docs.sparkSession)
     outside = fold(doc_id, modulus) != held
     words = stored(vocabulary(docs, text, outside), "vocabulary")
     tokens, kinds = words.filter(F.col("word") != F.lit(LINE_END)).agg(

@@ -17,7 +17,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tamiz.llm.common import append_columns, mix64
+from tamiz.llm.common import append_columns, mix64, small_batches
 
 GRAM = 20
 WINDOW = 40
@@ -163,6 +163,7 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     empty. Repeated rows follow each other and are compared. A lone document follows itself.
     """
 
+    small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
