@@ -173,6 +173,11 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("ambito", "estado").agg(F.count(F.lit(1)).alias("alertas"))
 
 
+def state_summary(alerts: DataFrame) -> DataFrame:
+    """Alerts by state over all scopes."""
+    return alerts.groupBy("estado").agg(F.count(F.lit(1)).alias("alertas"))
+
+
 def latest(df: DataFrame, column: str, *, within: str | None = None) -> DataFrame:
     """Rows holding the highest ``column`` (per ``within`` value), ties included.
 

@@ -78,6 +78,21 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], by: str = "accountable_per
     return with_totals(with_pct(to_long(rule_counts(df, rules, by), rules, by)))
 
 
+def masked_report(measured: DataFrame, rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Bad rows of each rule among the ``measured`` rows and among all ``rows``.
+
+    ``enmascarada`` marks the rules that the universe keeps from ever firing.
+    """
+    sides = [to_long(rule_counts(df, rules), rules).withColumn("_in", F.lit(inside))
+             for df, inside in ((measured, True), (rows, False))]
+    masked = F.concat_ws("/", "tipo_indicador", "nombre_campo").isin(
+        [f"{r.dimension}/{r.field}" for r in rules if r.masked])
+    return (sides[0].unionByName(sides[1]).groupBy("tipo_indicador", "nombre_campo")
+            .agg(F.sum(F.when(F.col("_in"), F.col("cantidad_mala"))).alias("en_universo"),
+                 F.sum(F.when(~F.col("_in"), F.col("cantidad_mala"))).alias("en_todo"))
+            .withColumn("enmascarada", masked))
+
+
 def cube_pivot(cube: DataFrame, periods: Sequence[int]) -> DataFrame:
     """Total percentages, indicator by period. Listed periods make the pivot one pass."""
     return (cube.filter(F.col("es_total") == 1).groupBy("tipo_indicador", "nombre_campo")

@@ -87,6 +87,21 @@ def aligned_series(by_source: DataFrame, periods: Sequence[int]) -> DataFrame:
             .select(F.col("periodo_contable").cast("int").alias("periodo_contable"), "source_system", "prima_neta"))
 
 
+def on_axis(rows: DataFrame, periods: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """Every measure at every listed period (of each ``by``), zero where it has no row.
+
+    ``rows`` has one row for a period and ``by``. Those of listed periods become one map, which the
+    list bounds, and the list is laid over it: keys and periods are never paired by a join.
+    """
+    listed = [int(p) for p in dict.fromkeys(periods)]
+    entry = F.struct("periodo_contable", F.struct(*MEASURES))
+    found = F.map_from_entries(F.collect_list(F.when(F.col("periodo_contable").isin(listed), entry)))
+    laid = (rows.groupBy(*by).agg(found.alias("_found"))
+            .select(*by, F.explode(F.array(*map(F.lit, listed))).alias("periodo_contable"), "_found"))
+    here = F.try_element_at("_found", F.col("periodo_contable"))
+    return laid.select("periodo_contable", *by, *[F.coalesce(here[m], F.lit(0)).alias(m) for m in MEASURES])
+
+
 def stacked_totals(series: DataFrame) -> DataFrame:
     return series.groupBy("periodo_contable").agg(F.sum("prima_neta").alias("prima_neta"))
 
@@ -143,9 +158,13 @@ def mom_newest_by_category(by_category_mom: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_last("var_pct_mom"), "categoria_ramo"))
 
 
-def net_change(by_period: DataFrame) -> DataFrame:
-    """Change of the net premium against the previous listed period, over its magnitude."""
+def net_change(by_period: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """Change of the net premium against the previous listed period, over its magnitude.
+
+    A listed period without rows counts as zero, so the one after it has no change. The window runs
+    over the listed periods only.
+    """
     previous = F.lag("prima_neta").over(Window.orderBy("periodo_contable"))
-    return (by_period.withColumn("_previous", previous)
+    return (on_axis(by_period, periods).withColumn("_previous", previous)
             .withColumn("var_neta_pct", change_pct(F.col("prima_neta"), F.col("_previous"), signed_base=False))
             .drop("_previous"))

@@ -208,8 +208,14 @@ def test_premium_by_source(facts, rows):
     assert rows(series) == [(202401, "CO_as400", 6.0), (202401, "CO_iaxis", 70.0), (202402, "CO_as400", 0.0),
                             (202402, "CO_iaxis", 0.0), (202403, "CO_as400", 9.0), (202403, "CO_iaxis", 0.0)]
     assert rows(premium.stacked_totals(series)) == [(202401, 76.0), (202402, 0.0), (202403, 9.0)]
-    assert rows(premium.net_change(by_period), "periodo_contable", "var_neta_pct") == [
-        (202401, None), (202403, pytest.approx(-88.16))]
+    listed = [202401, 202402, 202403]
+    # The month after an empty one has no change; so has a list over no rows at all.
+    assert rows(premium.net_change(by_period, listed), "periodo_contable", "prima_neta", "var_neta_pct") == [
+        (202401, 76.0, None), (202402, 0.0, -100.0), (202403, 9.0, None)]
+    assert rows(premium.net_change(by_period.limit(0), listed[:1]), "prima_neta", "var_neta_pct") == [(0.0, None)]
+    assert rows(premium.on_axis(by_source, [202402, 202401, 202402], ["source_system"])) == [
+        (202401, "CO_as400", 2, 1, 6.0, 6.0, 0.0, 20.0), (202401, "CO_iaxis", 3, 2, 70.0, 110.0, -40.0, 30.0),
+        (202402, "CO_as400", 0, 0, 0.0, 0.0, 0.0, 0.0), (202402, "CO_iaxis", 0, 0, 0.0, 0.0, 0.0, 0.0)]
 
 
 # ---- agreement and profile ----------------------------------------------------------------

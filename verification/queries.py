@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tamiz import mappings
 from tamiz.functions import periods as per
-from tamiz.model import ALERT_SCHEMA, ARRIVAL_SCHEMA, CUBE_SCHEMA
+from tamiz.model import ALERT_SCHEMA, ARRIVAL_SCHEMA, CUBE_SCHEMA, Thresholds
 from tamiz.operators import alerts as al
 from tamiz.operators import availability as av
 from tamiz.operators import counts, premium, profile, reconcile, scorecard, uniqueness
@@ -24,13 +24,13 @@ from tamiz.session import work_path
 from tamiz.sinks.export import export_csv, export_json
 from tamiz.sinks.snapshot import snapshot
 from tamiz.sources.csvs import read_mapping
+from tamiz.sources.movements import movements as conform_movements
 from tamiz.sources.movements import read_movements, write_movements
 from tamiz.sources.sqlfile import run_sql_file
 from tamiz.streaming.arrivals import stream_load_arrival, write_arrivals
 from verification.fixture import AS_OF, STAMP, from_lines, movements, table
 
 SQL_DIR = Path(__file__).parent / "sql"
-PERIODS = [200011, 200012, 200101, 200102, 200103, 200104, 200105, 200106, 200107, 200108, 200109, 200110, 200111]
 SCORE_MONTHS = 36
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +57,13 @@ def _windowed(m: DataFrame) -> DataFrame:
     return un.since_months(un.universe(m), AS_OF, 36)
 
 
+def _periods(m: DataFrame) -> list[int]:
+    """The last twelve closed periods of the source and the open one."""
+    return un.resolve_periods(m, AS_OF, 12)
+
+
 def _by_source(m: DataFrame) -> DataFrame:
-    return premium.premium_by_source(m, AS_OF, periods=PERIODS)
+    return premium.premium_by_source(m, AS_OF, periods=_periods(m))
 
 
 def _by_category(m: DataFrame) -> DataFrame:
@@ -90,7 +95,7 @@ def partitioned_fact(m: DataFrame) -> DataFrame:
     spark = m.sparkSession
     path = work_path(spark, "fact")
     write_movements(m, path)
-    stored = un.in_periods(un.universe(read_movements(spark, path)), PERIODS)
+    stored = un.in_periods(un.universe(read_movements(spark, path)), _periods(m))
     return (stored.groupBy("accountable_period")
             .agg(F.count(F.lit(1)).alias("registros"),
                  F.sum("transaction_delta_billed_premium_amount").alias("prima_neta")))
@@ -127,8 +132,12 @@ def alerts_json(m: DataFrame) -> DataFrame:
 
 
 def _snapshot(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
-    path = work_path(df.sparkSession, name)
-    return snapshot(df, f"snap_{path.rsplit('-', 1)[1]}", schema, path=path)
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    name = f"snap_{path.rsplit('-', 1)[1]}"
+    rows = spark.read.schema(snapshot(df, name, schema, path=path).schema).parquet(path)
+    spark.sql(f"DROP TABLE {name}")  # the rows are in a folder of their own and stay
+    return rows
 
 
 def refreshed_cube(m: DataFrame) -> DataFrame:
@@ -211,18 +220,76 @@ def _nation_drift(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.mapping_drift(suppliers, customers, "ramo", "categoria")
 
 
+def _pivot(m: DataFrame) -> DataFrame:
+    periods = _periods(m)
+    return counts.cube_pivot(cube_plan.quality_cube(m, AS_OF, periods=periods, stamp=STAMP), periods)
+
+
 def _masked(m: DataFrame) -> DataFrame:
-    """Errors of each rule inside the universe and over all rows of the same periods."""
-    rules = default_rules()
-    inside = counts.to_long(counts.rule_counts(_windowed(m), rules), rules)
-    anywhere = counts.to_long(counts.rule_counts(un.since_months(m, AS_OF, 36), rules), rules)
-    flags = {(r.dimension, r.field) for r in rules if r.masked}
-    masked = F.concat_ws("/", "tipo_indicador", "nombre_campo").isin([f"{d}/{f}" for d, f in flags])
-    both = (inside.withColumn("_in", F.lit(1)).unionByName(anywhere.withColumn("_in", F.lit(0))))
-    return (both.groupBy("tipo_indicador", "nombre_campo")
-            .agg(F.sum(F.when(F.col("_in") == 1, F.col("cantidad_mala"))).alias("en_universo"),
-                 F.sum(F.when(F.col("_in") == 0, F.col("cantidad_mala"))).alias("en_todo"))
-            .withColumn("enmascarada", masked))
+    return counts.masked_report(_windowed(m), un.since_months(m, AS_OF, 36), default_rules())
+
+
+# ---- dirty input -------------------------------------------------------------------------
+
+def csv_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells with outer spaces, quotes, commas, line ends and nothing, written as CSV and read back."""
+    cells = table(spark, sf, "part").select(
+        F.expr("concat(' ', p_partkey, ' ')").alias("ramo"),
+        F.expr("concat('a \"', p_name, '\", ', char(10), p_type)").alias("product_description"),
+        F.expr("CASE WHEN p_partkey % 7 <> 0 THEN concat(p_brand, ' ') END").alias("categoria"))
+    path = work_path(spark, "cells")
+    export_csv(cells, path)
+    return read_mapping(spark, path)
+
+
+def impossible_dates(m: DataFrame) -> DataFrame:
+    """Every 15th of a month becomes a 45th: eight digits and no date."""
+    key = F.col("transaction_date_sk")
+    return m.withColumn("transaction_date_sk", F.when(key % 100 == 15, key + 30).otherwise(key))
+
+
+def reconcile_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums agree on every key; some keys have another number of rows or of values."""
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("clave"), F.col("o_totalprice").cast("decimal(15,2)").alias("monto"))
+    empty = F.lit(None).cast("decimal(15,2)").alias("monto")
+    left = orders.unionByName(orders.filter("clave % 2 = 0").select("clave", empty))
+    right = orders.unionByName(orders.filter("clave % 3 = 0").select("clave", (F.col("monto") * 0).alias("monto")))
+    return reconcile.reconcile(left, right, ["clave"], ["monto"])
+
+
+def mapping_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Mappings with several values for a key, of which one side lacks some."""
+    left = table(spark, sf, "part").selectExpr("p_partkey div 3 AS ramo", "p_brand AS categoria", "p_size")
+    return reconcile.mapping_drift(left, left.filter("p_size % 5 <> 0"), "ramo", "categoria")
+
+
+def loose_types(m: DataFrame) -> DataFrame:
+    """Flags and times that arrive as text, some of which cannot be read."""
+    def spoilt(name: str, digit: int, value: str):
+        return F.when(F.col("branch_sk") % 10 == digit, value).otherwise(F.col(name).cast("string"))
+    raw = m.withColumns({"current_record_flag": spoilt("current_record_flag", 3, "S"), "load_ts": spoilt("load_ts", 4, "n/a")})
+    return conform_movements(raw).groupBy("accountable_period").agg(
+        F.count(F.lit(1)).alias("registros"), F.count_if(F.isnull("current_record_flag")).alias("marca_ausente"),
+        F.count_if(F.isnull("load_ts")).alias("carga_ausente"))
+
+
+def refresh_after_correction(m: DataFrame) -> DataFrame:
+    """Rows of the stored cube by period, after the malformed periods of the source were corrected."""
+    spark = m.sparkSession
+    path = work_path(spark, "refresh")
+    refresh.refresh_pending(m, path, AS_OF, stamp=STAMP)
+    period = F.col("accountable_period")
+    refresh.refresh_pending(m.withColumn("accountable_period", F.when(period > 999999, F.expr(
+        "int(accountable_period div 10)")).otherwise(period)), path, AS_OF, stamp=STAMP)
+    return spark.read.parquet(path).groupBy("periodo_contable").agg(F.count(F.lit(1)).alias("filas"))
+
+
+def _emptied(m: DataFrame) -> DataFrame:
+    """By source, with one listed month lost."""
+    periods = _periods(m)
+    return premium.premium_by_source(m.filter(F.col("accountable_period") != periods[len(periods) // 2]), AS_OF,
+                                     periods=periods)
 
 
 def _calendar(m: DataFrame) -> DataFrame:
@@ -264,7 +331,7 @@ def queries() -> dict[str, Query]:
             F.count(F.lit(1)).alias("registros"))),
         "window_days": _on_fact(lambda m: un.since_days(m, AS_OF, 90).groupBy("transaction_date_sk").agg(
             F.count(F.lit(1)).alias("registros"))),
-        "chosen_periods": _on_fact(lambda m: un.in_periods(m, PERIODS[-3:]).groupBy(
+        "chosen_periods": _on_fact(lambda m: un.in_periods(m, _periods(m)[-3:]).groupBy(
             "accountable_period", "source_system").agg(F.count(F.lit(1)).alias("registros"))),
         "picked_periods": _on_fact(lambda m: un.pick_periods(m, AS_OF, 12)),
         "picked_closed_periods": _on_fact(lambda m: un.pick_periods(m, AS_OF, 6, include_current=False)),
@@ -294,7 +361,7 @@ def queries() -> dict[str, Query]:
         "availability_by_product": _on_fact(lambda m: av.availability_rule4(m, AS_OF)),
         "availability_by_description": _on_fact(lambda m: av.availability_rule4(
             m, AS_OF, months=96, product="transaction_type_description")),
-        "availability_of_periods": _on_fact(lambda m: av.availability_rule4(m, AS_OF, periods=PERIODS)),
+        "availability_of_periods": _on_fact(lambda m: av.availability_rule4(m, AS_OF, periods=_periods(m))),
         "product_days": _on_fact(lambda m: av.product_days(m, AS_OF)),
         "availability_by_month": _on_fact(lambda m: av.availability_month(m, AS_OF)),
         "availability_every_month": _on_fact(lambda m: av.availability_month(
@@ -305,8 +372,8 @@ def queries() -> dict[str, Query]:
         # cube
         "quality_cube": _on_fact(lambda m: cube_plan.ordered(_cube(m))),
         "quality_cube_of_periods": _on_fact(lambda m: cube_plan.quality_cube(
-            m, AS_OF, periods=PERIODS, nulls="ignore", stamp=STAMP)),
-        "cube_pivot": _on_cube(lambda c: counts.cube_pivot(c, PERIODS)),
+            m, AS_OF, periods=_periods(m), nulls="ignore", stamp=STAMP)),
+        "cube_pivot": _on_fact(_pivot),
         "short_labels": _on_cube(lambda c: mappings.with_short_label(c).select(
             "periodo_contable", "tipo_indicador", "nombre_campo", "nombre_natural", "nombre_corto")),
         # alerts
@@ -315,12 +382,15 @@ def queries() -> dict[str, Query]:
             al.daily_balance(m, AS_OF), mapping=mappings.category_table(m.sparkSession))),
         "event_balance_alerts": _on_tables(lambda spark, sf: al.balance_alerts(_event_balances(spark, sf))),
         "dimension_alerts": _on_cube(al.dimension_alerts),
+        "dimension_alerts_own_limits": _on_cube(lambda c: al.dimension_alerts(
+            c, thresholds=Thresholds(dimension_warning=99.5, dimension_critical=98))),
         "integrity_pending": _on_cube(al.integrity_pending),
         "availability_alerts": _on_cube(al.availability_alerts),
         "arrival_alerts": _on_fact(lambda m: al.arrival_alerts(av.load_arrival(m, AS_OF))),
         "alerts": _on_fact(_alerts),
         "actionable_alerts": _on_alerts(lambda a: al.actionable(a, only_breaches=True)),
         "alert_summary": _on_alerts(al.alert_summary),
+        "state_summary": _on_alerts(al.state_summary),
         "alert_panel": _on_alerts(al.actionable_panel),
         "balance_panel": _on_alerts(al.balance_panel),
         "dimension_panel": _on_alerts(al.dimension_panel),
@@ -352,10 +422,10 @@ def queries() -> dict[str, Query]:
         "premium_by_category": _on_fact(_by_category),
         "premium_by_source": _on_fact(_by_source),
         "premium_by_period": _on_fact(lambda m: premium.premium_by_period(_by_source(m))),
-        "distinct_policies": _on_fact(lambda m: premium.distinct_policies(m, AS_OF, periods=PERIODS)),
-        "aligned_series": _on_fact(lambda m: premium.aligned_series(_by_source(m), PERIODS)),
+        "distinct_policies": _on_fact(lambda m: premium.distinct_policies(m, AS_OF, periods=_periods(m))),
+        "aligned_series": _on_fact(lambda m: premium.aligned_series(_by_source(m), _periods(m))),
         "stacked_totals": _on_fact(lambda m: premium.stacked_totals(
-            premium.aligned_series(_by_source(m), PERIODS))),
+            premium.aligned_series(_by_source(m), _periods(m)))),
         "premium_mom": _on_fact(lambda m: premium.mom_total(_by_category(m))),
         "premium_mom_absolute": _on_fact(lambda m: premium.mom_total(
             _by_category(m), signed_base=False, as_of=AS_OF)),
@@ -364,7 +434,18 @@ def queries() -> dict[str, Query]:
         "premium_mom_last_months": _on_fact(lambda m: premium.mom_last_months(premium.mom_total(_by_category(m)))),
         "premium_mom_newest": _on_fact(lambda m: premium.mom_newest_by_category(
             premium.mom_by_category(_by_category(m)))),
-        "premium_net_change": _on_fact(lambda m: premium.net_change(premium.premium_by_period(_by_source(m)))),
+        "premium_net_change": _on_fact(lambda m: premium.net_change(
+            premium.premium_by_period(_by_source(m)), _periods(m))),
+        "filled_series": _on_fact(lambda m: premium.on_axis(_emptied(m), _periods(m), ["source_system"])),
+        "net_change_after_empty_month": _on_fact(lambda m: premium.net_change(
+            premium.premium_by_period(_emptied(m)), _periods(m))),
+        # dirty input
+        "csv_text_roundtrip": _on_tables(csv_text_roundtrip),
+        "balances_with_impossible_dates": _on_fact(lambda m: al.daily_balance(impossible_dates(m), AS_OF)),
+        "reconcile_row_counts": _on_tables(reconcile_row_counts),
+        "mapping_conflicts": _on_tables(mapping_conflicts),
+        "loose_types": _on_fact(loose_types),
+        "refresh_after_correction": _on_fact(refresh_after_correction),
         # mappings
         "unmapped_products": _on_fact(profile.unmapped_products),
         "mapping_drift": _on_tables(_nation_drift),
