@@ -388,6 +388,8 @@ def queries() -> dict[str, Query]:
         "availability_alerts": _on_cube(al.availability_alerts),
         "arrival_alerts": _on_fact(lambda m: al.arrival_alerts(av.load_arrival(m, AS_OF))),
         "alerts": _on_fact(_alerts),
+        "alerts_with_category": _on_fact(lambda m: alert_plan.alerts(
+            m, AS_OF, stamp=STAMP, mapping=mappings.category_table(m.sparkSession))),
         "actionable_alerts": _on_alerts(lambda a: al.actionable(a, only_breaches=True)),
         "alert_summary": _on_alerts(al.alert_summary),
         "state_summary": _on_alerts(al.state_summary),
