@@ -2,7 +2,8 @@
 
 ``q_`` names run on the given tables, adapter joins included; ``stored_`` names run on the
 same movements kept by period in Parquet, the layout a real fact has. Each figure is the
-median of warm runs that compute every output row.
+median of warm runs that compute every output row. ``write_fact`` is one cold write, given
+beside the total and no part of it.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def main() -> None:
     seconds["write_fact"] = round(time.perf_counter() - start, 3)
     seconds |= {f"stored_{name}": timed(df) for name, df in workload(read_movements(spark, path)).items()}
     spark.stop()
-    print(json.dumps({"metric": "tamiz_headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
+    print(json.dumps({"metric": "tamiz_headline_total", "value": round(sum(s for name, s in seconds.items() if name != "write_fact"), 3), "unit": "sec",
                       "queries": seconds, "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1], "cpus": int(CPUS)}))
 
 

@@ -72,12 +72,13 @@ def unmapped_products(df: DataFrame, mapping: DataFrame | None = None) -> DataFr
     """Products of the universe without a category, and their share of the net premium.
 
     Product codes are summed first, so the lookup sees one row per code; the total is a
-    scalar subquery over the same sums, never a window over all codes in one task.
+    scalar subquery over the same sums, never a window over all codes in one task. It asks for
+    the rows of a code too, so that both take the same columns and the sums are computed once.
     """
     mapping = category_table(df.sparkSession) if mapping is None else mapping
     by_product = (universe(df).groupBy(F.trim("product_code").alias("ramo"))
                   .agg(F.count(F.lit(1)).alias("movimientos"), F.sum(PREMIUM).alias("prima_neta")))
-    whole = by_product.agg(F.sum("prima_neta")).scalar()
+    whole = by_product.agg(F.sum(F.when(F.col("movimientos") > 0, F.col("prima_neta")))).scalar()
     share = F.lit(100.0) * F.col("prima_neta").cast("double") / F.nullif(whole, F.lit(0)).cast("double")
     return (by_product.join(mapping.select(F.trim("ramo").alias("ramo")), "ramo", "left_anti")
             .select("ramo", "movimientos", "prima_neta", F.round(share, 2).alias("pct_prima")))

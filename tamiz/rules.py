@@ -163,6 +163,15 @@ def rule_catalog(spark: SparkSession, rules: list[Rule] | None = None) -> DataFr
     return lookup_table(spark, rows, names).withColumn("enmascarada", F.col("enmascarada") == "true")
 
 
+def with_explanation(report: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """A rule report or cube with the code, explanation, predicate and masking of each row's rule.
+
+    Totals and rows of other dimensions belong to no rule and get NULL.
+    """
+    named = rule_catalog(report.sparkSession, default_rules() if rules is None else rules)
+    return report.join(named, ["tipo_indicador", "nombre_campo"], "left")
+
+
 def check_rule_pack(rules: list[Rule] | None = None) -> list[str]:
     """Inconsistencies of the pack; an empty list means it is sound."""
     rules = default_rules() + optional_rules() if rules is None else rules

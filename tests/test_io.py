@@ -14,7 +14,7 @@ from tamiz.sinks.snapshot import snapshot
 from tamiz.sources.csvs import read_catalogue, read_dictionary, read_mapping
 from tamiz.sources.movements import read_movement_table, read_movements, write_movements
 from tamiz.sources.sqlfile import run_sql_file
-from tamiz.streaming.arrivals import stream_load_arrival, write_arrivals
+from tamiz.streaming.arrivals import KEPT_VERSIONS, read_arrivals, stream_load_arrival, write_arrivals
 
 AS_OF, STAMP = date(2024, 2, 10), datetime(2024, 2, 10, 9, 0)
 
@@ -193,7 +193,7 @@ def test_stream_equals_batch_and_takes_late_rewrites(spark, facts, rows):
     def advance():
         stream = spark.readStream.schema(first.schema).parquet(source)
         write_arrivals(stream_load_arrival(stream, AS_OF), out, state).awaitTermination(120)
-        return rows(spark.read.parquet(out).drop("dias_atraso"))
+        return rows(read_arrivals(spark, out).drop("dias_atraso"))
 
     def batch(df):
         return rows(load_arrival(df, AS_OF).drop("dias_atraso"))
@@ -203,6 +203,18 @@ def test_stream_equals_batch_and_takes_late_rewrites(spark, facts, rows):
     assert advance() == batch(first.unionByName(late))
 
 
+def test_stream_window_moves_and_old_versions_go(spark, facts, rows):
+    source, out, state = (work_path(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
+    days = iter([date(2024, 2, 10)] * KEPT_VERSIONS + [date(2024, 4, 1)])
+    for _ in range(KEPT_VERSIONS + 1):
+        two_months(facts).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(two_months(facts).schema).parquet(source)
+        write_arrivals(stream_load_arrival(stream, AS_OF), out, state, today=lambda: next(days)).awaitTermination(120)
+    # Sixty days before April the first begin after the 15th of January; the third of February is inside.
+    assert rows(read_arrivals(spark, out), "transaction_date_sk", "registros") == [(20240203, KEPT_VERSIONS + 1)]
+    assert spark.read.parquet(out).select("version").distinct().count() == KEPT_VERSIONS
+
+
 def test_money_survives_the_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(Decimal("12345678901.2345"),)], "v decimal(17,4)")
     export_csv(df, str(tmp_path / "m"))

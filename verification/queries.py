@@ -19,15 +19,15 @@ from tamiz.operators import universe as un
 from tamiz.plans import alerts as alert_plan
 from tamiz.plans import cube as cube_plan
 from tamiz.plans import refresh, views
-from tamiz.rules import (accuracy_rules, completeness_rules, default_rules, optional_rules, validity_rules)
+from tamiz.rules import (accuracy_rules, completeness_rules, default_rules, optional_rules, validity_rules, with_explanation)
 from tamiz.session import work_path
 from tamiz.sinks.export import export_csv, export_json
 from tamiz.sinks.snapshot import snapshot
-from tamiz.sources.csvs import read_mapping
+from tamiz.sources.csvs import CATALOGUE_COLUMNS, read_catalogue, read_dictionary, read_mapping
 from tamiz.sources.movements import movements as conform_movements
 from tamiz.sources.movements import read_movements, write_movements
 from tamiz.sources.sqlfile import run_sql_file
-from tamiz.streaming.arrivals import stream_load_arrival, write_arrivals
+from tamiz.streaming.arrivals import read_arrivals, stream_load_arrival, write_arrivals
 from verification.fixture import AS_OF, STAMP, from_lines, movements, table
 
 SQL_DIR = Path(__file__).parent / "sql"
@@ -115,6 +115,50 @@ def mapping_csv(spark: SparkSession, sf: str) -> DataFrame:
             .groupBy("categoria_ramo").agg(F.sum("movimientos").alias("movimientos")))
 
 
+def _dictionary(spark: SparkSession, sf: str, fields: list[str]) -> DataFrame:
+    """A field dictionary of all parts as CSV, read back; the first parts take the names of ``fields``.
+
+    Types are broken over two lines, some with their halves swapped; some fields have no text.
+    """
+    names = F.array(*map(F.lit, fields))
+    cells = table(spark, sf, "part").withColumn("names", names).selectExpr(
+        "coalesce(get(names, int(p_partkey - 1)), concat('parte_', p_partkey)) AS campo",
+        "CASE WHEN p_partkey % 7 <> 0 THEN concat(p_name, ' \"', p_type, '\", sí') END AS descripcion",
+        "CASE p_partkey % 3 WHEN 0 THEN concat('NUMERIC(16', char(10), '10)') "
+        "WHEN 1 THEN concat('10)', char(10), 'NUMERIC(16') ELSE 'VARCHAR(50)' END AS tipo",
+        "CASE WHEN p_partkey % 5 <> 0 THEN p_brand END AS ejemplo")
+    path = work_path(spark, "dictionary")
+    export_csv(cells, path)
+    return read_dictionary(spark, path)
+
+
+def dictionary_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return _dictionary(spark, sf, [])
+
+
+def documented_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """The fields of the fact with the definitions of a dictionary file."""
+    m = movements(spark, sf)
+    return profile.field_dictionary(m, _dictionary(spark, sf, m.columns))
+
+
+def catalogue_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule catalogue of all parts as CSV with cells of several lines, read back."""
+    logic = "concat('SUM(CASE', char(10), ' WHEN ', p_name, ' = \"', p_brand, '\"', char(10), ' THEN 1 END)')"
+    cells = [f"concat(p_partkey, ' {c}') AS {c}" if i < 8 else f"CASE WHEN p_size % {i} = 0 THEN p_type END AS {c}"
+             if i < 14 else f"{logic} AS {c}" for i, c in enumerate(CATALOGUE_COLUMNS)]
+    path = work_path(spark, "catalogue")
+    export_csv(table(spark, sf, "part").selectExpr(*cells), path)
+    return read_catalogue(spark, path)
+
+
+def _explained(m: DataFrame) -> DataFrame:
+    return with_explanation(counts.rule_report(_windowed(m), default_rules())).select(
+        "periodo_contable", "tipo_indicador", "nombre_campo", "total_registros", "cantidad_mala", "porcentaje", "es_total",
+        "regla", "enmascarada", (F.length("explicacion") > 0).alias("explicada"),
+        F.col("predicado").contains(F.col("nombre_campo")).alias("con_predicado"))
+
+
 def premium_csv(m: DataFrame) -> DataFrame:
     spark = m.sparkSession
     path = work_path(spark, "premium-csv")
@@ -170,7 +214,7 @@ def streamed_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "arrivals")
     query = write_arrivals(stream_load_arrival(stream, AS_OF), path, work_path(spark, "arrivals-state"))
     query.awaitTermination()
-    return spark.read.parquet(path)
+    return read_arrivals(spark, path)
 
 
 # ---- catalog -----------------------------------------------------------------------------
@@ -209,7 +253,7 @@ def _order_totals(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def _reconciled(spark: SparkSession, sf: str) -> DataFrame:
     left, right = _order_totals(spark, sf)
-    return reconcile.reconcile(left, right, ["clave"], ["monto", "linea"], tolerance=50_000)
+    return reconcile.reconcile(left, right, ["clave"], ["monto", "linea"], tolerance=[50_000, 0])
 
 
 def _nation_drift(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,6 +367,9 @@ def queries() -> dict[str, Query]:
         "alert_views": _on_fact(alert_views),
         "refreshed_cube": _on_fact(refreshed_cube),
         "field_dictionary": _on_fact(profile.field_dictionary),
+        "documented_fields": _on_tables(documented_fields),
+        "dictionary_csv": _on_tables(dictionary_csv),
+        "catalogue_csv": _on_tables(catalogue_csv),
         # rows and periods
         "universe": _on_fact(lambda m: un.universe(m).select(
             "policy_transaction_movement_sk", "source_system", "accountable_period", "coverage_code", "receipt_type",
@@ -346,6 +393,7 @@ def queries() -> dict[str, Query]:
         "validity_all_rows": _on_fact(lambda m: report(m, validity_rules())),
         "optional_validity": _on_fact(lambda m: report(_windowed(m), optional_rules())),
         "masked_rules": _on_fact(_masked),
+        "explained_rules": _on_fact(_explained),
         "rule_counters": _on_fact(lambda m: counts.rule_counts(_windowed(m), default_rules())),
         "dimension_totals": _on_fact(lambda m: counts.totals(counts.with_pct(counts.to_long(
             counts.rule_counts(_windowed(m), default_rules()), default_rules())))),
