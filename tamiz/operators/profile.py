@@ -80,5 +80,7 @@ def unmapped_products(df: DataFrame, mapping: DataFrame | None = None) -> DataFr
                   .agg(F.count(F.lit(1)).alias("movimientos"), F.sum(PREMIUM).alias("prima_neta")))
     whole = by_product.agg(F.sum(F.when(F.col("movimientos") > 0, F.col("prima_neta")))).scalar()
     share = F.lit(100.0) * F.col("prima_neta").cast("double") / F.nullif(whole, F.lit(0)).cast("double")
-    return (by_product.join(mapping.select(F.trim("ramo").alias("ramo")), "ramo", "left_anti")
+    # An anti join would be moved below the sums, which then differ from those of the total.
+    known = mapping.select(F.trim("ramo").alias("_known"))
+    return (by_product.join(known, F.col("ramo") == F.col("_known"), "left").filter(F.col("_known").isNull())
             .select("ramo", "movimientos", "prima_neta", F.round(share, 2).alias("pct_prima")))
