@@ -1,18 +1,16 @@
-"""LM scoring: prediction by partial matching over the bytes of words.
-
-The model codes a text line by line and then its end. A line that the learned documents hold
-elsewhere is one symbol in the context of a line's start. Any other is an escape and then its words
-and its end. Bytes of a word, and the symbol that ends it, are predicted from their context: the whole
-prefix of the word up to ``ORDER`` bytes, else the last two bytes, the last one, none, and at last
-all symbols alike. A symbol not seen in a context is coded as an escape and looked up in the next
-shorter context with the symbols already ruled out excluded. How likely an escape is from a prefix
-is estimated from the learned words themselves, each left out in turn, for contexts of like depth,
-frequency and number of distinct symbols; from contexts of two bytes and fewer it weighs as much
-as the distinct symbols seen there.
-
-Contexts of two bytes and fewer and prefixes of two have bounded tables, handed to all tasks. The trie
-of longer prefixes grows with the vocabulary: it is dealt to tasks by the first three bytes, so that
-each task holds whole branches, counts them and codes the words that end in them.
+"""LM scoring: prediction by partial matching over the bytes of the running text.
+
+Every symbol of a text, its words in lower case parted by spaces and line ends, and its end, is predicted from
+the bytes before it, whatever words and lines they belong to: ``byte_contexts.ORDER`` of them, else one
+fewer, and so on down to none, and at last all symbols alike. A symbol not seen in a context is coded
+as an escape and looked up in the next shorter context with the symbols already ruled out excluded.
+
+Grams (context and symbol) are counted as rows and dealt to tasks by the three nearest bytes of the context,
+so that each task holds all shorter contexts of its grams down to these three bytes; tables of
+contexts shorter than that are bounded and handed to all tasks. A text's score is the sum over its grams: the
+most frequent ones stand in a bounded table, the others are joined.
+
+``symbol_logs`` and what it uses code single words by their prefixes; scores do not depend on them.
 """
 
 from __future__ import annotations
@@ -23,24 +21,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
-import xxhash
 from pyspark.sql import Column, DataFrame
 
-from tamiz.llm.common import fold, groups, small_batches, stored
+from tamiz.llm import byte_contexts
+from tamiz.llm.common import fold, small_batches, stored
 
 #: Longest prefix that serves as a context, in bytes, and bytes that choose the branch of the trie.
 ORDER = 12
 BRANCH = 3
 #: Most frequent words whose scores every task holds; all other words are joined.
 SHARED_WORDS = 200_000
-#: Distinct words that a task counts before it sends them on, and words coded at once.
+#: Distinct words that a task counts before it sends them on.
 COUNTED = 300_000
-CODED = 100_000
 #: Symbols: 256 bytes, the end of a word, the end of a text. As context, START stands before a word.
 WORD_END, TEXT_END, SYMBOLS, START, CONTEXTS = 256, 257, 258, 256, 257
-#: The end of a text is counted and scored as the empty word, the end of a line as a word of its own.
+#: The end of a text is counted as the empty word.
 END = b""
-LINE_END = b"\n"
 #: Where codes of word prefixes of two bytes begin; before them stand those of contexts of two symbols.
 PREFIXES = CONTEXTS * CONTEXTS * SYMBOLS
 #: Classes of contexts for escapes: depth, log2 of the frequency, distinct symbols.
@@ -63,7 +59,6 @@ def vocabulary(docs: DataFrame, text: str, learned: Column) -> DataFrame:
                 words = [END]
                 for line in lines_of(value.as_py()):
                     words += line
-                    words.append(LINE_END)
                 if learn:
                     counts.update(words)
                 else:
@@ -106,30 +101,6 @@ def symbols_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return symbols, two * CONTEXTS + one, one, starts
 
 
-def low_counts(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (context of two, symbol) seen, sorted, and their counts; at most twice CONTEXTS ** 2 * SYMBOLS.
-
-    Symbols after the first two bytes of a word are counted once more for themselves, from PREFIXES on.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            counts = batch.column(1).to_numpy()
-            symbols, two, _, starts = symbols_of(batch.column(0).to_pylist())
-            third = starts[:-1][np.diff(starts) > 2] + 2
-            all_codes = np.concatenate([two * SYMBOLS + symbols, PREFIXES + two[third] * SYMBOLS + symbols[third]])
-            each = np.repeat(counts, np.diff(starts)).astype(np.float64)
-            codes, where = np.unique(all_codes, return_inverse=True)
-            weight = np.bincount(where, np.concatenate([each, each[third]]))
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(weight.astype(np.int64))], names=["code", "n"])
-
-    rows = (words.filter("c > 0").select("word", "c").mapInArrow(run, "code long, n long")
-            .groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow())
-    return rows.column("code").to_numpy(), rows.column("n").to_numpy().astype(np.float64)
-
-
 class LowOrders:
     """Probabilities from contexts of two bytes down to none, and the counts of prefixes of two."""
 
@@ -211,13 +182,6 @@ def _escape(escapes: np.ndarray | None, depth: int, total: np.ndarray, distinct:
     return (lost + 2 * plain) / (lost + found + 2)
 
 
-def code_lengths(words: list[bytes], counts: np.ndarray, low: LowOrders, escapes: np.ndarray | None = None,
-                 order: int = ORDER) -> np.ndarray:
-    """log10 probability of each word."""
-    logs, starts = symbol_logs(words, counts, low, escapes, order)
-    return np.add.reduceat(logs, starts[:-1]) if words else np.zeros(0)
-
-
 def symbol_logs(words: list[bytes], counts: np.ndarray, low: LowOrders | None, escapes: np.ndarray | None = None,
                 order: int = ORDER, tallies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each symbol, and where words start. All words of a branch must be in the list.
@@ -280,101 +244,43 @@ def symbol_logs(words: list[bytes], counts: np.ndarray, low: LowOrders | None, e
     return logs, starts
 
 
-def _branches(words: DataFrame) -> DataFrame:
-    return (words.withColumn("branch", F.substring("word", 1, BRANCH)).repartition("branch")
-            .sortWithinPartitions("branch"))
-
-
-def _whole_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole branches, at least CODED words each but for the last."""
-    held: list[pa.Table] = []
-    n = 0
-    for group in groups(batches, "branch"):
-        held.append(group)
-        n += group.num_rows
-        if n >= CODED:
-            yield pa.concat_tables(held)
-            held, n = [], 0
-    if held:
-        yield pa.concat_tables(held)
-
-
-def escape_tallies(branches: DataFrame, low: LowOrders, order: int = ORDER) -> np.ndarray:
-    """Escapes and hits of each class of contexts; a table of fixed size."""
-    size = DEPTHS * SIZES * KINDS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = np.zeros((2, size))
-        for table in _whole_branches(batches):
-            symbol_logs(table.column("word").to_pylist(), table.column("c").to_numpy().astype(np.float64), None,
-                        order=order, tallies=tallies)
-        used = np.flatnonzero(tallies.sum(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(tallies[0][used]), pa.array(tallies[1][used])],
-                                         names=["class", "lost", "found"])
-
-    rows = branches.mapInArrow(run, "class long, lost double, found double").groupBy("class").agg(
-        F.sum("lost").alias("lost"), F.sum("found").alias("found")).toArrow()
-    out = np.zeros((2, size))
-    if rows.num_rows:
-        at = rows.column("class").to_numpy()
-        out[0][at], out[1][at] = rows.column("lost").to_numpy(), rows.column("found").to_numpy()
-    total, distinct, _ = low.prefixes
-    owner = low.prefix_codes // SYMBOLS
-    _tally(out, 2, low.prefix_counts, total[owner], distinct[owner])
-    return out
-
-
-def scored_words(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """word, c, ppm: the log10 probability of each word under the model."""
-    low = LowOrders(*low_counts(words))
-    shared = words.sparkSession.sparkContext.broadcast((low, escape_tallies(_branches(words), low, order)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low_, escapes = shared.value
-        for table in _whole_branches(batches):
-            logs = code_lengths(table.column("word").to_pylist(), table.column("c").to_numpy().astype(np.float64), low_,
-                                escapes, order)
-            yield from pa.table([table.column("word"), table.column("c"), pa.array(logs)],
-                                names=["word", "c", "ppm"]).to_batches()
-
-    return _branches(words).mapInArrow(run, "word binary, c long, ppm double")
-
-
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, held: int = 2,
-          order: int = ORDER, shared_words: int = SHARED_WORDS) -> DataFrame:
+          order: int = byte_contexts.ORDER, shared_words: int = SHARED_WORDS,
+          shared_grams: int = byte_contexts.SHARED_GRAMS) -> DataFrame:
     """A row for each row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text in lower case and its end. ``score`` is the model's log10 probability
-    of the text as lines of words; ``base_score`` that of add-one word frequencies. Both learn from the
-    documents outside fold ``held`` of ``modulus``. These documents' words count when they are scored
-    themselves, but a line of theirs is known only if it was learned elsewhere too. A NULL text is
-    empty: its end is its only token. Repeated rows count and are scored each. Words of any length
-    are coded whole: beyond ``order`` bytes from the contexts of two bytes and fewer.
+    of the running text; ``base_score`` that of add-one word frequencies. Both learn from the
+    documents outside fold ``held`` of ``modulus``; these documents' own text counts when they are scored
+    themselves. A NULL text is empty: its end is its only token. Repeated rows count and are scored
+    each. Texts and words of any length are coded whole. ``order`` is from 3 to 6 bytes.
     """
+    if not byte_contexts.BRANCH <= order <= 6:
+        raise ValueError("order must be from 3 to 6")
     small_batches(docs.sparkSession)
     outside = fold(doc_id, modulus) != held
     words = stored(vocabulary(docs, text, outside), "vocabulary")
-    tokens, kinds = words.filter(F.col("word") != F.lit(LINE_END)).agg(
-        F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
+    tokens, kinds = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     tokens, kinds = tokens or 0, kinds or 0
-    scored = stored(scored_words(words, order), "scored-words")
-    common = scored.orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
-    table = {w: (c > 0, float(np.log10(c + 1)), p) for w, c, p in zip(
-        common.column("word").to_pylist(), common.column("c").to_pylist(), common.column("ppm").to_pylist())}
-    ends = {r["word"]: r for r in scored.filter(F.col("word").isin(END, LINE_END)).collect()}
-    table[END] = (ends[END]["c"] > 0, float(np.log10(ends[END]["c"] + 1)), ends[END]["ppm"]) if ends else (False, 0.0, 0.0)
-    line_end = ends[LINE_END]["ppm"] if LINE_END in ends else 0.0
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    counted = stored(byte_contexts.count_grams(docs, text, outside, lines_of, order), "grams")
+    scored = stored(byte_contexts.scored_grams(counted, order), "scored-grams")
+    common = words.orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
+    table = {w: (c > 0, float(np.log10(c + 1))) for w, c in zip(
+        common.column("word").to_pylist(), common.column("c").to_pylist())}
+    end = words.filter(F.col("word") == F.lit(END)).first()
+    table[END] = (end["c"] > 0, float(np.log10(end["c"] + 1))) if end else (False, 0.0)
+    shared = docs.sparkSession.sparkContext.broadcast((table, byte_contexts.frequent(scored, shared_grams)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words = shared.value
+        known_words, known_grams = shared.value
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], []]
+            texts = []
             for value in batch.column(2):
-                end = known_words[END]
-                n, known, base, ppm, lines = 1, int(end[0]), end[1], end[2], []
-                for line in lines_of(value.as_py()):
-                    coded, rare = line_end, []
+                end_ = known_words[END]
+                n, known, base, rare = 1, int(end_[0]), end_[1], []
+                lines = lines_of(value.as_py())
+                for line in lines:
                     for word in line:
                         entry = known_words.get(word)
                         if entry is None:
@@ -382,44 +288,39 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
                         else:
                             known += entry[0]
                             base += entry[1]
-                            coded += entry[2]
                     n += len(line)
-                    lines.append((xxhash.xxh3_64_intdigest(b" ".join(line)) - (1 << 63), coded, rare))
-                for column, v in zip(out, (n, known, base, ppm, lines)):
+                texts.append(byte_contexts.running_text(lines, order))
+                for column, v in zip(out, (n, known, base, rare)):
                     column.append(v)
-            line_type = pa.list_(pa.struct([("h", pa.int64()), ("coded", pa.float64()), ("rare", pa.list_(pa.binary()))]))
-            rows = [[dict(zip(("h", "coded", "rare"), x)) for x in lines] for lines in out[4]]
+            logs, grams, times = [], [], []
+            for total, gram, n in byte_contexts.text_logs(texts, known_grams, order):
+                logs.append(total)
+                grams.append(gram)
+                times.append(n)
+            offsets = np.concatenate([[0], np.cumsum([len(g) for g in grams], dtype=np.int64)]).astype(np.int32)
+            flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (grams, times)]
+            pairs = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in flat], names=["g", "n"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *[pa.array(o, k) for o, k in zip(
-                    [*out[:4], rows], (pa.int64(), pa.int64(), pa.float64(), pa.float64(), line_type))]],
-                names=["doc_id", "held_out", "n_tokens", "known", "base", "ppm", "lines"])
+                    [*out, logs], (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.float64()))],
+                 pa.ListArray.from_arrays(pa.array(offsets), pairs)],
+                names=["doc_id", "held_out", "n_tokens", "known", "base", "rare", "ppm", "grams"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     half = stored(docs.select(F.col(doc_id).alias("doc_id"), (~outside).alias("held_out"), F.col(text).alias("text"))
-                  .mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, ppm double, "
-                                   "lines array<struct<h: bigint, coded: double, rare: array<binary>>>")
+                  .mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, "
+                                   "rare array<binary>, ppm double, grams array<struct<g: bigint, n: bigint>>")
                   .withColumn("row", F.monotonically_increasing_id()), "half-scored")
-    own = (~F.col("held_out")).cast("long")
-    lines = half.select("row", own.alias("own"), F.explode("lines").alias("x")).select(
-        "row", "own", F.col("x.h").alias("h"), F.col("x.coded").alias("coded"), F.col("x.rare").alias("rare"))
-    counts = stored(lines.groupBy("h").agg(F.sum("own").alias("learned")).filter("learned > 0"), "line-counts")
-    n_lines, once = counts.agg(F.sum("learned"), F.count(F.when(F.col("learned") == 1, 1))).first()
-    n_lines, once = n_lines or 0, once or 0
-    escape = (once + 1) / (n_lines + 2)
-    elsewhere = F.coalesce("learned", F.lit(0)) - F.col("own")
-    told = stored(lines.join(counts, "h", "left").withColumn("seen", elsewhere > 0).select(
-        "row", "seen", "rare", F.when(F.col("seen"), F.log10(F.lit(1 - escape) * elsewhere / F.lit(float(max(1, n_lines)))))
-        .otherwise(F.col("coded") + F.lit(float(np.log10(escape)))).alias("line")), "lines")
-    rare = told.select("row", "seen", F.explode("rare").alias("word"))
-    words_more = rare.join(scored, "word").groupBy("row").agg(
-        F.count(F.when(F.col("c") > 0, 1)).alias("known2"), F.sum(F.log10(F.col("c") + 1)).alias("base2"),
-        F.sum(F.when(~F.col("seen"), F.col("ppm")).otherwise(0.0)).alias("ppm2")).withColumnRenamed("row", "of2")
-    lines_more = told.groupBy("row").agg(F.sum("line").alias("ppm3")).withColumnRenamed("row", "of3")
+    words_more = half.select("row", F.explode("rare").alias("word")).join(words, "word").groupBy("row").agg(
+        F.count(F.when(F.col("c") > 0, 1)).alias("known2"), F.sum(F.log10(F.col("c") + 1)).alias("base2")).withColumnRenamed("row", "of2")
+    grams_more = (half.select("row", F.explode("grams").alias("x")).select("row", F.col("x.g").alias("gram"), F.col("x.n").alias("times"))
+                  .join(scored.select("gram", "log10p"), "gram").groupBy("row")
+                  .agg(F.sum(F.col("times") * F.col("log10p")).alias("ppm2")).withColumnRenamed("row", "of3"))
     zero, nought = F.lit(0), F.lit(0.0)
     floor = float(np.log10(tokens + 1.0 * (kinds + 1)))
-    return (half.drop("lines").join(words_more, F.col("row") == F.col("of2"), "left")
-            .join(lines_more, F.col("row") == F.col("of3"), "left").select(
+    return (half.drop("rare", "grams").join(words_more, F.col("row") == F.col("of2"), "left")
+            .join(grams_more, F.col("row") == F.col("of3"), "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("known2", zero)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base2", nought) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        (F.col("ppm") + F.coalesce("ppm2", nought) + F.coalesce("ppm3", nought)).alias("score")))
+        (F.col("ppm") + F.coalesce("ppm2", nought)).alias("score")))
