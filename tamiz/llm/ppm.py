@@ -31,6 +31,8 @@ ORDER = 12
 BRANCH = 3
 #: Most frequent words whose scores every task holds; all other words are joined.
 SHARED_WORDS = 200_000
+#: Longest word that is shared, in bytes: an unspaced text may be one word.
+SHARED_BYTES = 64
 #: Distinct words that a task counts before it sends them on.
 COUNTED = 300_000
 #: Symbols: 256 bytes, the end of a word, the end of a text. As context, START stands before a word.
@@ -264,7 +266,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     tokens, kinds = tokens or 0, kinds or 0
     counted = stored(byte_contexts.count_grams(docs, text, outside, lines_of, order), "grams")
     scored = stored(byte_contexts.scored_grams(counted, order), "scored-grams")
-    common = words.orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
+    common = words.filter(F.octet_length("word") <= SHARED_BYTES).orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
     table = {w: (c > 0, float(np.log10(c + 1))) for w, c in zip(
         common.column("word").to_pylist(), common.column("c").to_pylist())}
     end = words.filter(F.col("word") == F.lit(END)).first()

@@ -67,3 +67,18 @@ def test_byte_model_is_a_distribution():
         counts[np.searchsorted(grams, learned)] = n
         logs = byte_contexts.gram_logs(grams, counts, low, 5)[np.searchsorted(grams, every)]
         assert (10 ** logs).sum() == pytest.approx(1)
+
+
+def test_long_words_do_not_reach_the_driver(spark, monkeypatch):
+    """Words above SHARED_BYTES are joined, with the same scores."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    collected = []
+    plain = DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: collected.append(plain(df)) or collected[-1])
+    long = "x" * 5000
+    a, b = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2][:2]
+    got = ppm.score(spark.createDataFrame([(a, f"{long} a"), (b, f"{long} b")], "doc_id long, text string")).collect()
+    words = [w for t in collected if "word" in t.column_names for w in t.column("word").to_pylist()]
+    assert words and max(map(len, words)) <= ppm.SHARED_BYTES
+    assert [r["n_known"] for r in got] == [3, 3]
