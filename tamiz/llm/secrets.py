@@ -21,9 +21,12 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 #: In the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "random")
-#: Shortest token that is tested; whole runs of these characters with a digit and a letter.
+#: Shortest token that is tested, padding included. A run ends at a = that is no padding.
 SHORTEST = 20
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{14,}+(?:=++(?![A-Za-z0-9+/_-]))?"
+#: What a run is split into if it fits no alphabet: parts of names and paths, and parts between names.
+WHOLE = r"^(?:[A-Za-z0-9_-]+|[A-Za-z0-9+/]+)=*$"
+PARTS = (r"[A-Za-z0-9_-]{14,}+=*+", r"[A-Za-z0-9+/]{14,}+=*+", r"[A-Za-z0-9+]{14,}+=*+")
 #: Alphabets from the narrowest on: name, characters that may occur, alphabet. Padding is not counted.
 ALPHABETS = (
     ("hex", r"^[0-9a-f]+$", "0123456789abcdef"),
@@ -148,6 +151,22 @@ def _step(log_p: Column) -> Column:
     return F.least(F.floor(-log_p / F.log(F.lit(10.0)) / STEP), F.lit(int(TOP / STEP))).cast("int")
 
 
+def candidates(text: Column) -> Column:
+    """Array of (start, end, kind, value) of the tokens to test.
+
+    A run that fits no alphabet, such as a path with names in it, is split at / and +, at _ and -, and at
+    all of them but +; each part long enough is a token, so that parts may overlap.
+    """
+    def parts(x: Column) -> Column:
+        split = F.flatten(F.array(*[spans(x["value"], p, "random", 0, SHORTEST) for p in PARTS]))
+        moved = F.transform(split, lambda y: F.struct(
+            (y["start"] + x["start"]).alias("start"), (y["end"] + x["start"]).alias("end"), y["kind"].alias("kind"),
+            y["value"].alias("value")))
+        return F.when(x["value"].rlike(WHOLE), F.array(x)).otherwise(F.array_distinct(moved))
+
+    return F.flatten(F.transform(spans(text, CANDIDATE, "random", 0, SHORTEST), parts))
+
+
 def thresholds(tokens: DataFrame) -> DataFrame:
     """encoding, band, least: the step of the p-value from which a stratum's tokens are discoveries.
 
@@ -169,11 +188,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind, comma-joined. A found
     random token that touches a base span adds no span. A NULL or empty text has none. Repeated rows
-    are scanned each and count each among the tokens tested. Tokens of any length are tested whole.
+    are scanned each and count each among the tokens tested. Tokens of any length are tested whole. Parts of a
+    run that fits no alphabet may lie in one another; each that is found adds a span.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(spans(body, ASSIGN, "assign", 2, 8), spans(body, ACCESS, "access", 0, 16), spans(body, HEX, "hex"))
-    tokens = F.transform(spans(body, CANDIDATE, "random", 0, SHORTEST), lambda x: F.struct(
+    tokens = F.transform(candidates(body), lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), battery(x["value"]).alias("b")))
     tested = stored(docs.select(F.col(doc_id).alias("doc_id"), F.transform(base, lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).alias("fixed"), tokens.alias("tokens")), "scanned")
