@@ -54,12 +54,11 @@ def line_fault(line: str, words: list[str], rules: LineRules = RULES) -> str | N
     n = len(words)
     if not n:
         return None
-    if len(line) < 400:
-        cells = [c for c in SEPARATOR.split(line) if c.strip()]
-        if len(cells) >= rules.menu_cells and max(len(c.split()) for c in cells) <= 3:
-            return "navigation"
-        if n <= 12 and sum(w.strip(".,:;|»›•-").lower() in MENU_WORDS for w in words) > 0.6 * n:
-            return "navigation"
+    cells = [c for c in SEPARATOR.split(line) if c.strip()]
+    if len(cells) >= rules.menu_cells and max(len(c.split()) for c in cells) <= 3:
+        return "navigation"
+    if n <= 12 and sum(w.strip(".,:;|»›•-").lower() in MENU_WORDS for w in words) > 0.6 * n:
+        return "navigation"
     symbols = sum(line.count(c) for c in SYMBOLS)
     if symbols >= 3 and symbols > rules.symbols_per_word * n:
         return "symbols"
