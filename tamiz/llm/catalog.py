@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tamiz.llm.common import table
+from tamiz.llm.contamination import decontaminate
 from tamiz.llm.html_template import extract
 from tamiz.llm.jaccard_join import jaccard_join
 from tamiz.llm.line_dedup import line_dedup
@@ -18,6 +19,7 @@ from tamiz.llm.ppm import score
 from tamiz.llm.pu_quality import classify
 from tamiz.llm.quality_rules import quality_rules
 from tamiz.llm.secrets import scan
+from tamiz.llm.spelling import spelling_variants
 from tamiz.llm.winnowing import compare_with_next
 from tamiz.llm.oracles import SQL
 
@@ -69,9 +71,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_mixing, op3_jaccard_join, op4_ppm, op5_quality_rules,
-                                    op6_secrets, op7_packing, op8_line_dedup, op9_winnowing, op10_html)} | {
+                                    op6_secrets, op7_packing, op8_line_dedup, op9_winnowing, op10_html,
+                                    op11_contamination, op12_spelling)} | {
         "pipeline": corpus_pipeline.run}
 
 
