@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tamiz.llm.common import table
 from tamiz.llm.contamination import decontaminate
+from tamiz.llm.dialogue_repair import damaged, repair
 from tamiz.llm.html_template import extract
 from tamiz.llm.jaccard_join import jaccard_join
 from tamiz.llm.line_dedup import line_dedup
@@ -81,10 +82,15 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair(damaged(turns), ids=turns)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_mixing, op3_jaccard_join, op4_ppm, op5_quality_rules,
                                     op6_secrets, op7_packing, op8_line_dedup, op9_winnowing, op10_html,
-                                    op11_contamination, op12_spelling)} | {
+                                    op11_contamination, op12_spelling, op13_dialogue)} | {
         "pipeline": corpus_pipeline.run}
 
 
