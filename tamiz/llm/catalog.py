@@ -14,7 +14,7 @@ from tamiz.llm.dialogue_repair import damaged, repair
 from tamiz.llm.html_template import extract
 from tamiz.llm.jaccard_join import jaccard_join
 from tamiz.llm.line_dedup import line_dedup
-from tamiz.llm.mixing import mix
+from tamiz.llm.mixing import taken
 from tamiz.llm.packing import pack
 from tamiz.llm.ppm import score
 from tamiz.llm.pu_quality import classify
@@ -30,9 +30,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mix(table(spark, sf_dir, "documents")).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                       (F.col("copies") * F.col("size")).alias("taken"))
+    return taken(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ at its own place. Shingles are ordered by rarity, counted over all documents. A
 window's size that holds ``threshold`` of these shingles must hold one of the rarest few, the prefix: only
 prefix shingles are joined. A shingle found at a word gives the start of the text that may hold the
 window; one that would begin before the first word or end after the last is passed over. What is left is
-verified exactly, word by word, over the window's size.
+verified over the window's size: each of its shingles, by 64-bit hash, at its place.
 
 Everything runs on built-in functions. Words are runs of ``[0-9a-z]`` and of characters above ASCII, with A-Z
 in lower case.
@@ -26,7 +26,7 @@ SHINGLE = 5
 #: Share of a window's shingles that a document text must hold at their places.
 THRESHOLD = 1.0
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rows of a table that goes to every task; a longer one is joined by shuffling instead.
+#: Rows of a table that goes to every task, 10 MB or so; a longer one is joined by shuffling instead.
 SHARED_ROWS = 200_000
 
 
@@ -38,11 +38,6 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(low, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def n_words(text: Column) -> Column:
-    """Number of words of a text, letter case being no matter."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD.replace(r"\x60", r"\x40\x5B-\x60"))), F.lit(0)).cast("long")
-
-
 def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """item, phrase (array of words): the windows of every item. One of fewer words, but not none, is one window."""
     cut = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), words(F.col(text)).alias("w"))
@@ -56,96 +51,79 @@ def _shingle(array: str, at: Column, width: int) -> Column:
     return F.xxhash64(*[F.get(array, at + i) for i in range(width)], F.lit(width))
 
 
-def _places(texts: DataFrame, width: int) -> DataFrame:
-    """A row for each shingle of ``texts`` (key columns and ``w``): ``at`` and ``token`` beside them.
+def shingles(phrases: DataFrame) -> DataFrame:
+    """phrase_id, size, width, offset, token: the shingles of each phrase (phrase_id, phrase) and their places there."""
+    rows = phrases.select("phrase_id", "phrase", F.size("phrase").alias("size"), F.least(F.size("phrase"), F.lit(SHINGLE)).alias("width"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("size") - F.col("width"))).alias("offset"))
+    token = F.lit(None).cast("long")
+    for w in range(1, SHINGLE + 1):
+        token = F.when(F.col("width") == w, _shingle("phrase", F.col("offset"), w)).otherwise(token)
+    return rows.select("phrase_id", "size", "width", "offset", token.alias("token"))
 
-    The words stay with the row: they are read where the shingle meets a window, without being sent.
-    """
-    return (texts.select("*", F.posexplode("w").alias("at", "first")).filter(F.col("at") <= F.size("w") - width)
-            .withColumn("token", _shingle("w", F.col("at"), width)).drop("first"))
 
+def places(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc, text_key, n, head, at, token: where the shingles ``known`` stand in ``docs``.
 
-def _join(left: DataFrame, right: DataFrame, rows: int, on: str) -> DataFrame:
-    """Inner join that hands ``right`` to every task only where its rows are few enough."""
-    return left.join(F.broadcast(right) if rows <= SHARED_ROWS else right, on)
+    A document is its id and the hash of its text, of ``n`` words; each row of ``docs`` also has one row marked ``head``,
+    whether a shingle stands there or not. Texts are cut into words once for each number of words that a shingle has, which
+    is one number if no item is shorter than a shingle. Words stay where they are: the shingles looked for go to
+    every task if they are at most SHARED_ROWS; else the documents' shingles are shuffled.
+    """
+    widths = sorted(r[0] for r in known.select("width").distinct().collect())  # at most SHINGLE numbers
+    wanted = stored(known.select("width", F.col("token").alias("known")).distinct(), "shingles")
+    shared = wanted.count() <= SHARED_ROWS
+    keyed = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("text_key"), words(F.col(text)).alias("w"))
+    every = keyed.select("doc", "text_key", F.size("w").alias("n"), F.lit(True).alias("head"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("token"))
+    out = None if shared and widths else every
+    for i, width in enumerate(widths):
+        here = keyed.select("doc", "text_key", "w", F.size("w").alias("n"), F.posexplode_outer("w").alias("at", "first"))
+        here = here.withColumn("token", F.when(F.col("at") <= F.col("n") - width, _shingle("w", F.col("at"), width))).select(
+            "doc", "text_key", "n", (F.coalesce("at", F.lit(0)) == 0).alias("head") if shared and not i else F.lit(False).alias("head"),
+            F.coalesce("at", F.lit(0)).alias("at"), "token")
+        looked = wanted.filter(F.col("width") == width).select("known")
+        if shared:
+            found = here.join(F.broadcast(looked), F.col("token") == F.col("known"), "left").filter(F.col("head") | F.col("known").isNotNull())
+        else:
+            found = here.join(looked, F.col("token") == F.col("known"))
+        found = found.select("doc", "text_key", "n", "head", "at", F.col("known").alias("token"))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
-def prefixes(docs: DataFrame, phrases: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """phrase_id, phrase, width, token, offset: the shingles by which each phrase must be met, the rarest first.
+def prefixes(known: DataFrame, met: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """phrase_id, size, width, offset, token: the shingles by which each phrase must be met, the rarest of it in ``met``.
 
     A phrase of s shingles of which ``ceil(threshold * s)`` must be there misses at most the rest, so one of the
-    rarest ``s - ceil(threshold * s) + 1`` is met. A shingle that no document holds is not joined.
+    rarest ``s - ceil(threshold * s) + 1`` is met. One that no document holds need not be looked for.
     """
-    width = F.least(F.size("phrase"), F.lit(SHINGLE))
-    offsets = phrases.withColumn("width", width).select("*", F.explode(
-        F.sequence(F.lit(0), F.size("phrase") - F.col("width"))).alias("offset"))
-    token = F.lit(None).cast("long")
-    for w in range(1, SHINGLE + 1):
-        token = F.when(F.col("width") == w, _shingle("phrase", F.col("offset"), w)).otherwise(token)
-    known = stored(offsets.withColumn("token", token), "phrase-shingles")
-    widths = sorted(r[0] for r in known.select("width").distinct().collect())  # at most SHINGLE numbers
-    wanted = stored(known.select("token", "width").distinct(), "shingles")
-    rows = wanted.count()
-    texts = docs.select(words(F.col(text)).alias("w"))
-    counted = None
-    for w in widths:
-        found = _join(_places(texts, w).select("token"), wanted.filter(F.col("width") == w).select("token"), rows, "token")
-        part = found.groupBy("token").agg(F.count("*").alias("times"))
-        counted = part if counted is None else counted.unionByName(part)
-    if counted is None:
-        return known.select("phrase_id", "phrase", "width", "token", "offset")
-    rare = Window.partitionBy("phrase_id").orderBy(F.coalesce("times", F.lit(0)), "token", "offset")
-    n_shingles = F.size("phrase") - F.col("width") + 1
-    ordered = known.join(stored(counted, "rarity"), "token", "left").withColumn("place", F.row_number().over(rare))
+    times = met.filter("token is not null").groupBy("token").agg(F.count("*").alias("times"))
+    rarest = Window.partitionBy("phrase_id").orderBy(F.coalesce("times", F.lit(0)), "token", "offset")
+    n_shingles = F.col("size") - F.col("width") + 1
     needed = n_shingles - F.ceil(n_shingles * F.lit(threshold) - F.lit(1e-9)) + 1
-    return ordered.filter((F.col("place") <= needed) & F.col("times").isNotNull()).select(
-        "phrase_id", "phrase", "width", "token", "offset")
-
-
-def _verified(met: DataFrame, threshold: float) -> DataFrame:
-    """``met`` (w, start, phrase, width) where enough of the phrase's shingles stand at their places in ``w``."""
-    held = F.slice("w", F.col("start") + 1, F.size("phrase"))
-    if threshold >= 1:
-        return met.filter(held == F.col("phrase"))
-    same = F.zip_with(held, F.col("phrase"), lambda a, b: a == b)
-    n_shingles = F.size("phrase") - F.col("width") + 1
-    shared = F.size(F.filter(F.sequence(F.lit(1), n_shingles),
-                             lambda i: F.forall(F.slice(same, i, F.col("width")), lambda x: x)))
-    return met.filter(shared >= n_shingles * F.lit(threshold) - F.lit(1e-9))
-
-
-def occurrences(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                threshold: float = THRESHOLD) -> DataFrame:
-    """doc, text_key, start, length, phrase_id: every place of ``docs`` where a phrase occurs.
-
-    ``phrases``: phrase_id and phrase, an array of words; equal ids mean equal phrases. ``start`` counts words from 0.
-    A document is its id and the hash of its text: repeated rows are one. The prefix table goes to every task if it
-    has at most SHARED_ROWS rows, and the words of a text are then compared where they are. A longer one is joined by
-    shuffling places without words, and the texts that remain are joined again.
+    return (known.join(times, "token", "left").withColumn("place", F.row_number().over(rarest))
+            .filter((F.col("place") <= needed) & F.col("times").isNotNull()).select("phrase_id", "size", "width", "offset", "token"))
+
+
+def occurrences(met: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc, text_key, start, length, phrase_id: every place where a phrase occurs, ``start`` counted in words from 0.
+
+    ``met``: shingles of the documents at their places (:func:`places`); ``known``: those of the phrases. Only prefix
+    shingles are joined; of what they and the bounds leave, all shingles of the phrase are looked for at their places.
     """
-    index = stored(prefixes(docs, phrases, text, threshold), "prefixes")
-    rows = index.count()
-    keyed = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("text_key"), words(F.col(text)).alias("w"))
-    out = None
-    for (width,) in sorted(index.select("width").distinct().collect()):
-        part = index.filter(F.col("width") == width)
-        places = _places(keyed, width)
-        start = F.col("at") - F.col("offset")
-        bounded = (start >= 0) & (start + F.size("phrase") <= F.col("n"))
-        if rows <= SHARED_ROWS:
-            met = (places.withColumn("n", F.size("w")).join(F.broadcast(part), "token").filter(bounded)
-                   .withColumn("start", start))
-        else:
-            met = (places.withColumn("n", F.size("w")).drop("w").join(part, "token").filter(bounded)
-                   .withColumn("start", start).select("doc", "text_key", "start", "phrase", "phrase_id", "width").distinct())
-            texts = keyed.withColumnsRenamed({"doc": "d", "text_key": "k"})
-            met = met.join(texts, F.col("doc").eqNullSafe(F.col("d")) & F.col("text_key").eqNullSafe(F.col("k")))
-        found = _verified(met, threshold).select("doc", "text_key", "start", F.size("phrase").alias("length"), "phrase_id")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return keyed.filter(F.lit(False)).select("doc", "text_key", F.lit(0).alias("start"), F.lit(0).alias("length"),
-                                                 F.lit(0).cast("long").alias("phrase_id"))
-    return out.distinct()
+    index = stored(prefixes(known, met, threshold), "prefixes")
+    small = index.count() <= SHARED_ROWS
+    here = met.filter("token is not null").select("doc", "text_key", "n", "at", "token")
+    start = F.col("at") - F.col("offset")
+    maybe = (here.join(F.broadcast(index) if small else index, "token").filter((start >= 0) & (start + F.col("size") <= F.col("n")))
+             .select("doc", "text_key", start.alias("start"), "phrase_id").distinct())
+    asked = maybe.join(known, "phrase_id").withColumn("place", F.col("start") + F.col("offset"))
+    held = here.select(F.col("doc").alias("d"), F.col("text_key").alias("k"), "at", F.col("token").alias("t")).distinct()
+    n_shingles = F.col("size") - F.col("width") + 1
+    return (asked.join(held, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")) & (F.col("place") == F.col("at"))
+                       & (F.col("token") == F.col("t")))
+            .groupBy("doc", "text_key", "start", "phrase_id", "size", n_shingles.alias("shingles")).agg(F.count("*").alias("shared"))
+            .filter(F.col("shared") >= F.col("shingles") * F.lit(threshold) - F.lit(1e-9))
+            .select("doc", "text_key", "start", F.col("size").alias("length"), "phrase_id"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -161,8 +139,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     many items share are joined once.
     """
     phrases = stored(windows(items, item_id, item_text, window).withColumn("phrase_id", F.xxhash64("phrase")), "windows")
-    unique = phrases.groupBy("phrase_id").agg(F.first("phrase").alias("phrase"))
-    found = stored(occurrences(docs, unique, doc_id, text, threshold), "occurrences")
+    known = stored(shingles(phrases.groupBy("phrase_id").agg(F.first("phrase").alias("phrase"))), "phrase-shingles")
+    met = stored(places(docs, known, doc_id, text), "places")
+    found = stored(occurrences(met, known, threshold), "occurrences")
 
     document = Window.partitionBy("doc", "text_key").orderBy("start", "length")
     end = F.col("start") + F.col("length")
@@ -178,9 +157,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
              .join(of, "profile").select("doc", "text_key", F.explode("of").alias("item"))
              .groupBy("doc", "text_key").agg(F.array_sort(F.collect_set("item")).alias("items")))
     hits = covered.withColumnsRenamed({"doc": "d", "text_key": "k"}).join(
-        named, F.col("d").eqNullSafe(F.col("doc")) & F.col("k").eqNullSafe(F.col("text_key"))).select("d", "k", "n_hit", "items")
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("key"), n_words(F.col(text)).alias("n_words")).join(
-        hits, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k")), "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        named, F.col("d").eqNullSafe(F.col("doc")) & (F.col("k") == F.col("text_key"))).select("d", "k", "n_hit", "items")
+    return met.filter("head").select("doc", "text_key", F.col("n").cast("long").alias("n_words")).join(
+        hits, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left").select(
+        F.col("doc").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-

@@ -1,15 +1,19 @@
 """HTML extraction by template deduction.
 
-Pages of a host are seen as sequences of tokens: the tags on their paths and the blocks of text there.
-Tokens with the same occurrence vector over the host's pages (how often each page has them) form
-an equivalence class. Classes that are frequent and have several members are valid; nested along the
-paths of their tags they are the host's template. What the template does not fix are slots. The
-text of a page is what its slots hold, less those that the markup or their links show to
-be menus, notices, adverts, comments and other furniture.
+Pages of a host are seen as sequences of tokens: elements in their roles (the chain of tags, names and first children that
+leads there) and the blocks of text they hold. Tokens with the same occurrence vector over the host's pages (how often
+each page has them) form an equivalence class. Classes that are frequent and have several members are valid; ordered by
+position and nested along their elements they are the host's template. What the template does not fix are slots.
+
+The slots' contents decide what is the main text: the element that holds most text of the pages' own, over all pages
+of the host, and what is under it. Fixed texts and slots of links there are left out. Markup is looked at afterwards:
+what it declares to be a menu, notice, advert, form, comment or the like goes, and a chosen element
+inside an article stands for the whole article.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as references
 import re
 from collections.abc import Iterator
@@ -22,12 +26,17 @@ from pyspark.sql import DataFrame
 
 from tamiz.llm.common import small_batches, stored
 
-#: A class is frequent on this share of a host's pages and at least so many; it has so many members.
+#: A class is frequent on this share of a host's pages, two at least; it has so many members.
 SHARE = 0.9
-LEAST_PAGES = 10
 LEAST_MEMBERS = 2
-#: A slot is a menu if this share of its characters are links, over at least so many pages.
+#: A slot is a menu if this share of its characters are links, over all pages of the host.
 LINK_SHARE = 0.6
+#: Slots and elements on a smaller share of a host's pages, or on one page only, are judged by that page itself.
+RARE = 0.001
+#: What a fixed character counts beside one of a page's own when the main element is looked for.
+FIXED_WEIGHT = 0.125
+#: The element around the main one takes its place if it adds this share to its text.
+CLIMB = 0.5
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -74,21 +83,40 @@ def _is_furniture(tag: str, names: str, inside: bool) -> bool:
     return not words & FRAMES and (bool(words & MARKS) or "header" in words and not inside)
 
 
+#: Elements that hold one paragraph of the element around them.
+PARAGRAPHS = frozenset({"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "pre", "blockquote", "caption",
+                        "figcaption", "summary", "address", "legend"})
+DIGITS = re.compile(r"\d+")
+
+
+class Node:
+    """An element that is not inline: its tag, names without digits, first child, marks, and its role once all are known."""
+
+    __slots__ = ("parent", "tag", "names", "first", "inner", "content", "furniture", "role", "own", "sub", "texts")
+
+    def __init__(self, parent: Node | None, tag: str, names: str, content: bool, furniture: bool):
+        self.parent, self.tag, self.names, self.content, self.furniture = parent, tag, names, content, furniture
+        self.first, self.inner, self.role, self.own, self.sub, self.texts = "", False, 0, 0.0, 0.0, 0
+
+
 class Walk:
-    """A page as blocks: path, text, linked characters, whether inside content and whether furniture.
+    """A page as ``nodes`` in the order of their starts and ``blocks``: node, text, linked characters.
 
-    ``tags`` are the paths of its elements that are not inline. Broken markup is read as it comes: an
-    end tag without a start is passed over, elements left open end with their parents or the page.
+    Broken markup is read as it comes: an end tag without a start is passed over, elements left open end with their
+    parents or the page. Text outside all elements belongs to the page itself, the first node.
     """
 
     def __init__(self, page: str | None):
-        self.blocks: list[tuple[str, str, int, bool, bool]] = []
-        self.tags: list[tuple[str, str]] = []
-        self.has_content = False
-        self._stack: list[tuple[str, str, bool, bool]] = []
+        self.blocks: list[tuple[Node, str, int]] = []
+        root = Node(None, "", "", False, False)
+        self.nodes = [root]
+        self._stack = [root]
         self._text: list[str] = []
         self._linked = self._links = 0
         self._read(page or "")
+        for node in self.nodes:
+            up = node.parent.role if node.parent else 0
+            node.role = _hash("tag", str(up), node.tag, node.names, node.first)
 
     def _read(self, page: str) -> None:
         at, n = 0, len(page)
@@ -127,8 +155,10 @@ class Walk:
         text = " ".join(references.unescape("".join(self._text)).split())
         linked, self._linked, self._text = self._linked, 0, []
         if text:
-            _, path, inside, furniture = self._stack[-1] if self._stack else ("", "", False, False)
-            self.blocks.append((path, text, min(linked, len(text)), inside, furniture))
+            node = self._stack[-1]
+            node.first = node.first or "#"
+            node.texts += 1
+            self.blocks.append((node, text, min(linked, len(text))))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -142,27 +172,26 @@ class Walk:
                 self._flush()
             return
         self._flush()
-        if self._stack and self._stack[-1][0] == "p":
+        if self._stack[-1].tag == "p":
             self._stack.pop()
         if tag in CLOSED_BY:
             self._end_of(CLOSED_BY[tag])
         names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if attributes else ""
-        _, parent, inside, furniture = self._stack[-1] if self._stack else ("", "", False, False)
-        path = f"{parent}/{tag}" + (f".{names}" if names else "")
-        furniture = furniture or _is_furniture(tag, names, inside)
-        inside = inside or tag in CONTENT and not furniture
-        self.has_content |= inside
+        up = self._stack[-1]
+        furniture = up.furniture or _is_furniture(tag, names, up.content)
+        node = Node(up, tag, DIGITS.sub("0", names), up.content or tag in CONTENT and not furniture, furniture)
+        up.first, up.inner = up.first or tag, True
         self._links = 0
-        self._stack.append((tag, path, inside, furniture))
-        self.tags.append((parent, path))
+        self._stack.append(node)
+        self.nodes.append(node)
 
     def _end_of(self, tags: set[str]) -> None:
         """Ends the innermost of ``tags`` that is open within its list."""
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] in tags:
+        for i in range(len(self._stack) - 1, 0, -1):
+            if self._stack[i].tag in tags:
                 del self._stack[i:]
                 return
-            if self._stack[i][0] in LISTS:
+            if self._stack[i].tag in LISTS:
                 return
 
     def _close(self, tag: str) -> None:
@@ -173,56 +202,98 @@ class Walk:
         if tag in VOID:
             return
         self._flush()
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] == tag:
+        for i in range(len(self._stack) - 1, 0, -1):
+            if self._stack[i].tag == tag:
                 del self._stack[i:]
                 self._links = 0
                 return
 
+    def holders(self) -> list[Node]:
+        """The element that each block counts for: the one around a paragraph or around one of several alike."""
+        alike: dict[tuple[int, int], int] = {}
+        for node in self.nodes:
+            if node.parent and node.texts:
+                key = (id(node.parent), node.role)
+                alike[key] = alike.get(key, 0) + 1
+        return [node.parent if node.parent and not node.inner and (node.tag in PARAGRAPHS or alike[id(node.parent), node.role] > 1)
+                else node for node, _, _ in self.blocks]
+
 
 def _hash(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def page_tokens(page: str | None, key: int) -> dict[int, list]:
-    """Tokens of a page by hash: parent's hash, the page's part of the occurrence vector, characters, linked ones.
+#: Kinds of tokens.
+ELEMENT, TEXT, SLOT, HOLDER = range(4)
+
+
+def page_tokens(page: str | None) -> dict[int, list]:
+    """Tokens of a page by hash: kind, parent's hash, times, characters, linked (or, of a holder, all under it), place.
 
-    The vector of a token is held as the exclusive or of one number for each page and count.
+    A text's parent is its element and its place among all blocks of the page is from 0 to 1. A holder's characters are
+    those it directly holds, without links and what markup declares to be furniture.
     """
     walk = Walk(page)
     counts: dict[int, list] = {}
-    for parent, path in walk.tags:
-        counts.setdefault(_hash("tag", path), [_hash("tag", parent), 0, 0, 0])[1] += 1
-    for path, text, linked, _, _ in walk.blocks:
-        counts.setdefault(_hash("text", path, text), [_hash("tag", path), 0, 0, 0])[1] += 1
-        slot = counts.setdefault(_hash("slot", path), [_hash("tag", path), 0, 0, 0])
-        slot[1] += 1
-        slot[2] += len(text)
-        slot[3] += linked
-    for token in counts.values():
-        token[1] = xxhash.xxh3_64_intdigest(key.to_bytes(8, "little", signed=True), seed=token[1]) - (1 << 63)
+    for node in walk.nodes:
+        counts.setdefault(node.role, [ELEMENT, node.parent.role if node.parent else 0, 0, 0, 0, 0.0])[2] += 1
+    n = len(walk.blocks)
+    for i, ((node, text, linked), holder) in enumerate(zip(walk.blocks, walk.holders())):
+        token = counts.setdefault(_hash("text", str(node.role), text), [TEXT, node.role, 0, 0, 0, (i + 0.5) / n])
+        token[2] += 1
+        mass = 0 if node.furniture else len(text) - linked
+        # What a text gives to its holder, to be taken off if the template fixes it.
+        token[3] += mass
+        token[4] = holder.role
+        slot = counts.setdefault(_hash("slot", str(node.role)), [SLOT, node.role, 0, 0, 0, 0.0])
+        slot[2] += 1
+        slot[3] += len(text)
+        slot[4] += linked
+        if mass:
+            holder.own += mass
+            at = holder
+            while at:
+                at.sub += mass
+                at = at.parent
+    for node in walk.nodes:
+        if node.sub:
+            token = counts.setdefault(_hash("holder", str(node.role)), [HOLDER, node.role, 0, 0, 0, 0.0])
+            token[2] += 1
+            token[3] += int(node.own)
+            token[4] += int(node.sub)
     return counts
 
 
+COLUMNS = ("kind", "parent", "pages", "low", "high", "chars", "linked", "place")
+
+
 def tokens(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
-    """host, token, parent, pages, vector, chars, linked: one row for each token of a host."""
+    """host, token and COLUMNS: a row for each token of a host and, with token 0, for the host.
+
+    The occurrence vector is held as two sums (low, high) of halves of a hash of page and count, so equal rows add up and
+    never cancel.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[int, int], list] = {}
         for batch in batches:
             for address, page, key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                host = _hash(host_of(address))
-                for token, (parent, vector, chars, linked) in page_tokens(page.as_py(), key).items():
+                host, name = _hash(host_of(address)), key.to_bytes(8, "little", signed=True)
+                for token, (kind, parent, times, chars, linked, place) in page_tokens(page.as_py()).items():
+                    vector = xxhash.xxh3_64_intdigest(name, seed=times)
                     row = found.get((host, token))
                     if row is None:
-                        found[host, token] = [parent, 1, vector, chars, linked]
+                        found[host, token] = [kind, parent, 1, vector & 0xFFFFFFFF, vector >> 32, chars, linked, place]
                     else:
-                        row[1] += 1
-                        row[2] ^= vector
-                        row[3] += chars
-                        row[4] += linked
+                        row[2] += 1
+                        row[3] += vector & 0xFFFFFFFF
+                        row[4] += vector >> 32
+                        row[5] += chars
+                        if kind != TEXT:
+                            row[6] += linked
+                        row[7] += place
                 # The host itself, as a token on each of its pages.
-                found.setdefault((host, 0), [0, 0, 0, 0, 0])[1] += 1
+                found.setdefault((host, 0), [ELEMENT, 0, 0, 0, 0, 0, 0, 0.0])[2] += 1
             if len(found) > 200_000:
                 yield _token_batch(found)
                 found = {}
@@ -231,68 +302,163 @@ def tokens(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
 
     key = F.xxhash64(F.col(page_id), F.col(url), F.length(F.col(html)))
     rows = pages.select(F.col(url).alias("url"), F.col(html).alias("html"), key.alias("key")).mapInArrow(
-        run, "host long, token long, parent long, pages long, vector long, chars long, linked long")
+        run, "host long, token long, kind int, parent long, pages long, low long, high long, chars long, linked long, place double")
+    summed = F.when(F.max("kind") == TEXT, F.max("linked")).otherwise(F.sum(F.when(F.col("kind") != TEXT, F.col("linked"))))
     return rows.groupBy("host", "token").agg(
-        F.first("parent").alias("parent"), F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"),
-        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+        F.max("kind").alias("kind"), F.max("parent").alias("parent"), *[F.sum(c).alias(c) for c in ("pages", "low", "high", "chars")],
+        summed.alias("linked"), F.sum("place").alias("place"))
 
 
 def _token_batch(found: dict) -> pa.RecordBatch:
     keys = np.array(list(found), np.int64).reshape(-1, 2)
-    rows = np.array(list(found.values()), np.int64).reshape(-1, 5)
-    return pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *[pa.array(rows[:, i]) for i in range(5)]],
-                                      names=["host", "token", "parent", "pages", "vector", "chars", "linked"])
+    columns = list(zip(*found.values()))
+    types = [pa.int32(), *[pa.int64()] * 6, pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *[pa.array(c, t) for c, t in zip(columns, types)]],
+                                      names=["host", "token", *COLUMNS])
+
+
+def classes(counted: DataFrame, share: float = SHARE) -> DataFrame:
+    """The elements and texts of ``counted`` that are on ``share`` of their host's pages, two at least, with ``members``.
+
+    Tokens of equal host, pages, low and high have one occurrence vector and are a class of ``members`` tokens. A host of one
+    page has none.
+    """
+    hosts = counted.filter("token = 0").select(F.col("host").alias("of"), F.col("pages").alias("all"))
+    common = counted.filter((F.col("token") != 0) & F.col("kind").isin(ELEMENT, TEXT) & (F.col("pages") > 1)).join(
+        hosts, F.col("host") == F.col("of")).filter(F.col("pages") >= share * F.col("all")).drop("of", "all")
+    sizes = common.groupBy("host", "pages", "low", "high").agg(F.count("*").alias("members"))
+    return common.join(sizes, ["host", "pages", "low", "high"])
 
 
 def templates(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """host, fixed, menus: hashes of the template's tokens and of the slots that hold links, for each host.
+    """host, fixed, copied, menus, holders, masses, subs: the template of each host and what its slots hold.
 
-    A host of fewer than LEAST_PAGES pages has no template.
+    ``fixed``: the fixed texts in their order. ``menus``: slots of links. ``holders``: elements with the text that is the
+    pages' own, mean characters a page, in ``masses`` and with all under them in ``subs``. ``copied``: holders most of whose
+    text is fixed: copies of one text, if they hold the most. Arrays are bounded: a token stands in one only if it is on SHARE or RARE of the pages.
     """
-    counted = tokens(pages, page_id, url, html)
-    frequent = stored(counted.filter(F.col("pages") >= LEAST_PAGES), "tokens")
-    hosts = frequent.filter("token = 0").select(F.col("host").alias("of"), F.col("pages").alias("all"))
-    common = frequent.filter("token <> 0").join(hosts, F.col("host") == F.col("of")).filter(
-        F.col("pages") >= SHARE * F.col("all"))
-    valid = (common.groupBy("host", "pages", "vector").agg(F.count("*").alias("members")).filter(
-        F.col("members") >= LEAST_MEMBERS).drop("members"))
-    members = stored(common.join(valid, ["host", "pages", "vector"]).select("host", "token", "parent", "chars", "linked"), "members")
-    # Nested: a token stands where its parent, too, is fixed; the root's parent is no token.
-    parents = members.select(F.col("host").alias("h"), F.col("token").alias("t"))
-    nested = members.join(parents, (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t")), "left_semi").unionByName(
-        members.filter(F.col("parent") == _hash("tag", "")))
-    fixed = nested.groupBy("host").agg(F.collect_set("token").alias("fixed"))
-    menus = frequent.filter((F.col("chars") > 0) & (F.col("linked") >= LINK_SHARE * F.col("chars"))).groupBy("host").agg(
+    counted = stored(tokens(pages, page_id, url, html).filter((F.col("pages") > 1) | (F.col("token") == 0)), "tokens")
+    members = stored(classes(counted).filter(F.col("members") >= LEAST_MEMBERS).select("host", "token", "kind", "parent", "pages", "chars", "linked", "place"),
+                     "members")
+    # Nested: a text is fixed where its element is, too.
+    elements = members.filter(F.col("kind") == ELEMENT).select(F.col("host").alias("h"), F.col("token").alias("t"))
+    texts = members.filter(F.col("kind") == TEXT).join(elements, (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t")), "left_semi")
+    fixed = texts.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct(
+        (F.col("place") / F.col("pages")).alias("place"), "token"))), lambda x: x["token"]).alias("fixed"))
+    hosts = counted.filter("token = 0").select(F.col("host").alias("of"), F.col("pages").alias("all"))
+    usual = counted.filter(F.col("kind") >= SLOT).join(hosts, F.col("host") == F.col("of")).filter(F.col("pages") >= RARE * F.col("all")).drop("of")
+    off = texts.groupBy("host", F.col("linked").alias("parent")).agg(F.sum("chars").alias("off"))
+    held = usual.filter(F.col("kind") == HOLDER).join(off, ["host", "parent"], "left").withColumn("off", F.least(F.coalesce("off", F.lit(0)), "chars"))
+    mass = (F.col("chars") - F.col("off") + FIXED_WEIGHT * F.col("off")) / F.col("pages")
+    holders = held.groupBy("host").agg(
+        F.array_sort(F.collect_list(F.struct("parent", mass.alias("mass"), (F.col("linked") / F.col("pages")).alias("sub"),
+                                             (2 * F.col("off") > F.col("chars")).alias("copied")))).alias("all")).select(
+        "host", F.col("all.parent").alias("holders"), F.col("all.mass").alias("masses"), F.col("all.sub").alias("subs"), F.col("all.copied").alias("copied"))
+    menus = usual.filter((F.col("kind") == SLOT) & (F.col("linked") >= LINK_SHARE * F.col("chars"))).groupBy("host").agg(
         F.collect_set("token").alias("menus"))
-    return fixed.join(menus, "host", "full")
+    return fixed.join(menus, "host", "full").join(holders, "host", "full")
 
 
-def page_text(page: str | None, fixed: set[int], menus: set[int]) -> str:
-    """Blocks of a page's slots in their order, one a line.
+class Template:
+    """What is known of a host: fixed texts with their place in the order, menus, holders with own and whole mass and whether copied."""
 
-    If the page marks its content (article, main), only blocks in it count.
-    """
+    def __init__(self, fixed=(), menus=(), holders=(), masses=(), subs=(), copied=()):
+        self.fixed = {token: i for i, token in enumerate(fixed or ())}
+        self.menus = set(menus or ())
+        self.holders = {h: row for h, *row in zip(holders or (), masses or (), subs or (), copied or ())}
+
+
+def _in_order(places: list[int | None]) -> set[int]:
+    """Indices of the longest run of growing places; a fixed text out of the template's order is data."""
+    ends, which, before = [], [], {}
+    for i, place in enumerate(places):
+        if place is None:
+            continue
+        at = bisect.bisect_left(ends, place)
+        before[i] = which[at - 1] if at else None
+        if at == len(ends):
+            ends.append(place)
+            which.append(i)
+        else:
+            ends[at], which[at] = place, i
+    out, i = set(), which[-1] if which else None
+    while i is not None:
+        out.add(i)
+        i = before[i]
+    return out
+
+
+def page_text(page: str | None, template: Template) -> str:
+    """Blocks of a page's main slots in their order, one a line."""
     walk = Walk(page)
+    holders = walk.holders()
+    fixed = _in_order([template.fixed.get(_hash("text", str(node.role), text)) for node, text, _ in walk.blocks])
+    linky: dict[int, list[int]] = {}
+    for node, text, linked in walk.blocks:
+        slot = linky.setdefault(node.role, [0, 0])
+        slot[0] += len(text)
+        slot[1] += linked
+    menus = {role for role, (chars, linked) in linky.items() if _hash("slot", str(role)) in template.menus or linked == chars}
+    own: dict[int, float] = {}
+    sub: dict[int, float] = {}
+    for i, ((node, text, linked), holder) in enumerate(zip(walk.blocks, holders)):
+        mass = 0 if node.furniture else (len(text) - linked) * (FIXED_WEIGHT if i in fixed else 1.0)
+        if mass:
+            own[holder.role] = own.get(holder.role, 0.0) + mass
+            at = holder
+            while at:
+                sub[at.role] = sub.get(at.role, 0.0) + mass
+                at = at.parent
+    if not own:
+        return ""
+    # The host's figures where it has some, the page's own elsewhere.
+    def mass(role: int) -> float:
+        known = template.holders.get(role)
+        return known[0] if known else own.get(role, 0.0)
+
+    def whole(role: int) -> float:
+        known = template.holders.get(role)
+        return known[1] if known else sub.get(role, 0.0)
+
+    best = max(own, key=mass)
+    main = next(h for h in holders if h.role == best)
+    while main.parent and whole(main.parent.role) - whole(main.role) >= CLIMB * whole(main.role):
+        main = main.parent
+    at = main
+    while at:
+        if at.tag == "article" and not at.furniture:
+            main = at
+        at = at.parent
+    known = template.holders.get(main.role) or template.holders.get(best)
+    if known and known[2]:
+        fixed = set()
     kept = []
-    for path, text, _, inside, furniture in walk.blocks:
-        if furniture or walk.has_content and not inside:
-            continue
-        if fixed and _hash("text", path, text) in fixed or menus and _hash("slot", path) in menus:
+    inside: dict[int, bool] = {}
+    for i, (node, text, _) in enumerate(walk.blocks):
+        if node.furniture or i in fixed or node.role in menus:
             continue
-        kept.append(text)
+        if node.role not in inside:
+            at = node
+            while at and at.role != main.role:
+                at = at.parent
+            inside[node.role] = at is not None
+        if inside[node.role]:
+            kept.append(text)
     return "\n".join(kept)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """A row for each row of ``pages``: page_id, url, text, n_chars.
 
-    A NULL or empty page has the empty text; a NULL or odd url belongs to the host without a name.
-    Repeated rows are one page more each. Pages are joined with the templates by host; a host of
-    any size is joined row by row.
+    A NULL or empty page has the empty text; a NULL or odd url belongs to the host without a name. Repeated rows are one
+    page more each. A host's only page has no template: its own slots decide, and no text is fixed. Of elements
+    that hold equally much the first of the page is taken. Long pages are read whole. An empty table gives no rows, and other columns play no
+    part. Pages are joined with the templates by host; a host of any size is joined row by row.
     """
     small_batches(pages.sparkSession)
     found = stored(templates(pages, page_id, url, html), "templates").withColumnRenamed("host", "of")
     addressed = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
+    parts = ("fixed", "menus", "holders", "masses", "subs", "copied")
 
     def hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,14 +466,14 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             yield pa.RecordBatch.from_arrays([*batch.columns, names], names=[*batch.schema.names, "host"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, fixed, menus = None, set(), set()
+        last, template = None, Template()
         for batch in batches:
             texts = []
-            for page, host, tokens_, slots in zip(batch.column("html"), batch.column("host").to_pylist(),
-                                                  batch.column("fixed"), batch.column("menus")):
+            columns = [batch.column(c) for c in parts]
+            for page, host, *known in zip(batch.column("html"), batch.column("host").to_pylist(), *columns):
                 if host != last:
-                    last, fixed, menus = host, set(tokens_.as_py() or ()), set(slots.as_py() or ())
-                texts.append(page_text(page.as_py(), fixed, menus))
+                    last, template = host, Template(*[k.as_py() for k in known])
+                texts.append(page_text(page.as_py(), template))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])

@@ -113,16 +113,16 @@ def solve_tilts(units: DataFrame, targets: DataFrame, max_rate: int = MAX_RATE)
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
-    """A row for each distinct (doc_id, source, size) of ``docs``: ``m`` rows that have it, ``source_size``,
-    ``target`` of its source, ``rate`` and ``copies``, the whole number of times each of these rows is taken.
+    """A row for each distinct (doc_id, source, size, text_key) of ``docs``: ``m`` rows that have it, ``source_size``,
+    ``target`` of its source, ``rate``, ``copies`` and ``more``: ``more`` of these rows are taken once more than ``copies`` times.
 
-    A NULL or empty text has size 0 and adds no word however often it is taken. A NULL source is a
-    source of its own. Rows with equal id, source and size get equal copies. The same input gives
-    the same copies. An empty table gives no rows.
+    ``text_key`` is a hash of the text. A NULL or empty text has size 0 and adds no word however often it is taken. A
+    NULL source is a source of its own. Repeated rows share what their rate asks for as evenly as whole copies allow. Long
+    texts are read whole, other columns play no part. The same input gives the same copies. An empty table gives no rows.
     """
-    units = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                               n_words(F.col(text)).alias("size"))
-                   .groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")), "units")
+    units = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
+                               F.xxhash64(F.col(text)).alias("text_key"))
+                   .groupBy("doc_id", "source", "size", "text_key").agg(F.count("*").alias("m")), "units")
     tilts = solve_tilts(units, source_targets(units, weights, max_rate), max_rate)
     per_source = tilts.select(F.col("source").alias("of"), "docs", "source_size", "target", "tilt", "scale")
     rated = units.join(per_source, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn(
@@ -134,39 +134,71 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 def _round(rated: DataFrame, max_rate: int) -> DataFrame:
     """Whole copies, document by document from large to small within small groups of a source.
 
-    Each document is rounded after adding what earlier ones of the group took too much or too little,
-    so a group ends within half of one of its smallest documents of what its rates ask for. Groups are
-    parts of a source by hash and hold about :data:`ROUNDED_TOGETHER` documents whatever its size.
+    Each document is rounded after adding what earlier ones of the group took too much or too little, so a group ends
+    within half of one of its smallest documents of what its rates ask for. The copies of ``m`` equal rows are rounded
+    together, to within half a row. Groups are parts of a source by hash and hold about :data:`ROUNDED_TOGETHER`
+    documents whatever its size.
     """
-    group = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("docs") / ROUNDED_TOGETHER))
-    entry = F.struct(F.col("size").alias("size"), F.col("doc_id").alias("doc_id"), F.col("m").alias("m"),
-                     F.col("rate").alias("rate"))
+    keys = ("size", "doc_id", "text_key", "m", "rate")
+    group = F.pmod(F.xxhash64("doc_id", "size", "text_key"), F.ceil(F.col("docs") / ROUNDED_TOGETHER))
     grouped = (rated.withColumn("group", group).groupBy("source", "source_size", "target", "group")
-               .agg(F.reverse(F.array_sort(F.collect_list(entry))).alias("all")))
-    empty = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("copies"))
+               .agg(F.reverse(F.array_sort(F.collect_list(F.struct(*keys)))).alias("all")))
+    empty = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<bigint>").alias("copies"))
 
     def take(state: Column, doc: Column) -> Column:
-        words = F.greatest(doc["size"] * doc["m"], F.lit(1))
         due = state["owed"] + doc["rate"] * doc["size"] * doc["m"]
-        copies = F.when(doc["size"] == 0, F.lit(1)).otherwise(
-            F.least(F.greatest(F.round(due / words), F.lit(0.0)), F.lit(float(max_rate)))).cast("int")
-        return F.struct((due - copies * doc["size"] * doc["m"]).alias("owed"),
-                        F.concat(state["copies"], F.array(copies)).alias("copies"))
+        total = F.when(doc["size"] == 0, doc["m"]).otherwise(F.least(F.greatest(
+            F.round(due / F.greatest(doc["size"], F.lit(1))), F.lit(0.0)), F.lit(float(max_rate)) * doc["m"])).cast("long")
+        return F.struct((due - total * doc["size"]).alias("owed"), F.concat(state["copies"], F.array(total)).alias("copies"))
 
     taken = grouped.withColumn("copies", F.aggregate("all", empty, take)["copies"])
-    return (taken.select("source", "source_size", "target", F.explode(F.arrays_zip("all", "copies")).alias("x"))
-            .select(F.col("x.all.doc_id").alias("doc_id"), "source", F.col("x.all.size").alias("size"),
-                    F.col("x.all.m").alias("m"), "source_size", "target", F.col("x.all.rate").alias("rate"),
-                    F.col("x.copies").alias("copies")))
+    rows = taken.select("source", "source_size", "target", F.explode(F.arrays_zip("all", "copies")).alias("x"))
+    return (rows.select("source", "source_size", "target", *[F.col(f"x.all.{c}").alias(c) for c in keys], F.col("x.copies").alias("total"))
+            .withColumns({"copies": F.expr("total div m").cast("int"), "more": F.col("total") % F.col("m")})
+            .select("doc_id", "source", "size", "text_key", "m", "source_size", "target", "rate", "copies", "more"))
+
+
+#: Times that a row is repeated by one step.
+AT_ONCE = 100_000
+
+
+def repeated(df: DataFrame, times: str, number: str = "number") -> DataFrame:
+    """Each row as often as its column ``times`` says, numbered from 1; no array of many numbers is ever made."""
+    blocks = F.explode(F.sequence(F.lit(0), F.expr(f"({times} - 1) div {AT_ONCE}")))
+    first = F.col("__block") * AT_ONCE
+    return (df.filter(F.col(times) > 0).withColumn("__block", blocks)
+            .withColumn(number, F.explode(F.sequence(first + 1, F.least(first + AT_ONCE, F.col(times))))).drop("__block"))
+
+
+def taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+          weights=WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
+    """The rows of :func:`mix`, each ``m`` times, with the ``copies`` of one row of ``docs`` and its words ``taken``."""
+    rows = repeated(mix(docs, doc_id, text, source, weights, max_rate), "m")
+    copies = F.col("copies") + (F.col("number") <= F.col("more")).cast("int")
+    return rows.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop("m", "more", "number")
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
           weights=WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it, columns as given."""
-    counts = mix(docs, doc_id, text, source, weights, max_rate).select(
-        F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "copies")
-    whole = docs.select(F.struct(*docs.columns).alias("doc"), n_words(F.col(text)).alias("n"))
-    joined = whole.join(counts, F.col("doc")[doc_id].eqNullSafe(F.col("d"))
-                        & F.col("doc")[source].eqNullSafe(F.col("s")) & (F.col("n") == F.col("z")))
-    return (joined.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*[F.col("doc")[c].alias(c) for c in docs.columns]))
+    """``docs`` with each row repeated as often as the mix takes it, columns as given. Cases are as in :func:`mix`.
+
+    Where equal rows are not all taken equally often, rows with the same columns fold into one with their number before
+    they are told apart.
+    """
+    counts = stored(mix(docs, doc_id, text, source, weights, max_rate).select(
+        F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("text_key").alias("k"), "copies", "more"), "copies")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64(F.col(text)).alias("h"))
+
+    def joined(some: DataFrame) -> DataFrame:
+        return whole.join(some, F.col("doc")[doc_id].eqNullSafe(F.col("d")) & F.col("doc")[source].eqNullSafe(F.col("s"))
+                          & (F.col("h") == F.col("k")))
+
+    rows = joined(counts.filter("more = 0")).select("doc", F.col("copies").cast("long").alias("times"))
+    uneven = counts.filter("more > 0")
+    if not uneven.isEmpty():
+        order = Window.partitionBy("d", "s", "k").orderBy(F.xxhash64("doc"))
+        extra = F.greatest(F.least(F.col("more") - F.col("before"), F.col("rows")), F.lit(0))
+        folded = joined(uneven).groupBy("doc", "d", "s", "k", "copies", "more").agg(F.count("*").alias("rows"))
+        rows = rows.unionByName(folded.withColumn("before", F.sum("rows").over(order) - F.col("rows")).select(
+            "doc", (F.col("rows") * F.col("copies") + extra).alias("times")))
+    return repeated(rows, "times").select(*[F.col("doc")[c].alias(c) for c in docs.columns])

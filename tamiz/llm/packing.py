@@ -139,7 +139,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BI
     packers = max(1, ceil_div(total, tokens_per_packer))
     dealt = (pieces.withColumn("order", F.xxhash64("doc_id", "piece"))
              .withColumn("packer", F.pmod(F.xxhash64("order"), F.lit(packers)))
-             .repartition(packers, "packer")
+             .repartitionById(packers, F.col("packer").cast("int"))
              .sortWithinPartitions("packer", "order", "doc_id", "piece", "ids_crc32"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

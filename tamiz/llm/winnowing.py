@@ -2,8 +2,9 @@
 
 Hashes of all runs of ``GRAM`` characters are rolled along the text; of every ``WINDOW`` neighbouring
 hashes the least is kept with its position, the rightmost of equal ones. Two texts that share
-a passage of ``GRAM + WINDOW - 1`` characters share a kept hash. Texts under ``SHORT`` characters are
-looked at more finely, with both numbers scaled down.
+a passage of ``GRAM + WINDOW - 1`` characters share a kept hash. Runs have the same length in all texts, so any two
+fingerprints can be compared; for texts under ``SHORT`` characters only the window shrinks, and they keep more of their
+hashes. A text under ``GRAM`` characters is one run by itself: it is like its exact copies and nothing else.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def winnow(points: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[
     minima of windows are put together from those of windows of powers of two.
     """
     if len(points) < SHORT:
-        gram, window = max(2, gram * len(points) // SHORT), max(1, window * len(points) // SHORT)
+        window = max(1, window * len(points) // SHORT)
     hashes = gram_hashes(points, gram)
     n = len(hashes)
     if not n:
@@ -124,7 +125,7 @@ def edit(text: str, following: str) -> str:
 def with_next(docs: DataFrame, doc_id: str, text: str, rows_per_range: int, most_ranges: int) -> DataFrame:
     """Rows (range, tail, doc_id, text): in the order of range, tail and descending id the next row is the next document.
 
-    Ids are cut into ranges at their quantiles. The first document of a range stands once more behind
+    Ids are cut into ranges at their quantiles, and a range is a task. The first document of a range stands once more behind
     the range above it, the very first one behind the last range, both marked ``tail``. Only cuts and
     first ids reach the driver, at most ``most_ranges`` of them; each text is shuffled once. Documents
     with equal ids follow each other in the order of a hash of their text, NULL ids come last.
@@ -133,9 +134,15 @@ def with_next(docs: DataFrame, doc_id: str, text: str, rows_per_range: int, most
     n = base.count()
     ranges = max(1, min(most_ranges, n // rows_per_range))
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(base.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or [])) if shares else []
-    below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
-    placed = base.withColumn("range", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(len(cuts) - below).cast("int"))
+    cuts = np.unique(np.array(base.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or [] if shares else [], np.int64))
+
+    def place(ids: pa.Array) -> pa.Array:
+        values = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = len(cuts) - np.searchsorted(cuts, values, "left")
+        at[ids.is_null().to_numpy(zero_copy_only=False)] = len(cuts) + 1
+        return pa.array(at.astype(np.int32))
+
+    placed = base.withColumn("range", F.arrow_udf(place, "int")(F.col("doc_id").cast("long")))
     heads = placed.groupBy("range").agg(F.max(F.struct("doc_id", F.bitwise_not("h").alias("h"))).alias("first")).select(
         "range", "first.doc_id", F.bitwise_not("first.h").alias("h")).orderBy("range").collect()
     before = [heads[i - 1]["range"] for i in range(len(heads))]
@@ -149,18 +156,20 @@ def with_next(docs: DataFrame, doc_id: str, text: str, rows_per_range: int, most
     again = F.struct(F.col("to").alias("range"), F.lit(True).alias("tail"))
     places = F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, again))
     return (marked.select(F.explode(places).alias("place"), "doc_id", "text", "h")
-            .select("place.range", "place.tail", "doc_id", "text", "h").repartition(ranges, "range")
+            .select("place.range", "place.tail", "doc_id", "text", "h").repartitionById(len(cuts) + 2, "range")
             .sortWithinPartitions("range", "tail", F.col("doc_id").desc_nulls_last(), "h"))
 
 
 def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM,
-                      window: int = WINDOW, rows_per_range: int = 5_000, most_ranges: int = 2_048) -> DataFrame:
+                      window: int = WINDOW, rows_per_range: int = 5_000, most_ranges: int = 65_536) -> DataFrame:
     """A row for each row of ``docs``: its fingerprint, that of its edited text, and how alike they are.
 
     The edited text ends like the next document, in descending order of the (integer) ids, begins; the
     first document follows the last. Columns: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint (kept hashes in order of position), near_edited, near_next. A NULL text is
-    empty. Repeated rows follow each other and are compared. A lone document follows itself.
+    empty. Repeated rows follow each other and are compared. A lone document follows itself. Long texts are
+    compared whole, an empty table gives no rows, and other columns play no part. A task holds two documents at a
+    time however long its range.
     """
 
     small_batches(docs.sparkSession)
