@@ -43,6 +43,18 @@ def _month_bounds(periods: Sequence[int]) -> tuple[date, date]:
     return date(first // 100, first % 100, 1), after.replace(day=1)
 
 
+def product_masks(df: DataFrame, days: int = 15, product: str = "product_code") -> DataFrame:
+    """Days 1..``days`` with data as a bit mask, for each month of the accounting timestamp and product.
+
+    Masks of parts of the rows merge with ``bit_or``.
+    """
+    # Characters 7-8 of the printed key: the last two digits of a well-formed one, nothing
+    # for a shorter key, so an odd key yields NULL instead of an error.
+    day = F.expr("try_cast(substring(cast(transaction_date_sk as string), 7, 2) as int)")
+    return (df.groupBy(period_of_ts("transaction_accounting_ts").alias("periodo_contable"), F.col(product).alias("producto"))
+            .agg(F.bit_or(_day_bit(day, days)).alias("_mask")))
+
+
 def product_days(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15, product: str = "product_code",
                  periods: Sequence[int] | None = None) -> DataFrame:
     """Days 1..``days`` with data, for each month of the accounting timestamp and product."""
@@ -56,20 +68,23 @@ def product_days(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15
         if periods:
             low, high = _month_bounds(periods)
             df = df.filter((ts >= F.lit(low)) & (ts < F.lit(high)))
-    # Characters 7-8 of the printed key: the last two digits of a well-formed one, nothing
-    # for a shorter key, so an odd key yields NULL instead of an error.
-    day = F.expr("try_cast(substring(cast(transaction_date_sk as string), 7, 2) as int)")
-    return (df.groupBy(period_of_ts(ts).alias("periodo_contable"), F.col(product).alias("producto"))
-            .agg(F.bit_or(_day_bit(day, days)).alias("_mask"))
-            .select("periodo_contable", "producto", _days_set(F.col("_mask")).alias("dias_presentes")))
+    return days_of_masks(product_masks(df, days, product))
+
+
+def days_of_masks(masks: DataFrame) -> DataFrame:
+    return masks.select("periodo_contable", "producto", _days_set(F.col("_mask")).alias("dias_presentes"))
 
 
 def availability_rule4(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15,
                        product: str = "product_code", periods: Sequence[int] | None = None) -> DataFrame:
     """Share of products with data on every required day of the month."""
+    return rule4_of_days(product_days(df, as_of, months=months, days=days, product=product, periods=periods), as_of, days=days)
+
+
+def rule4_of_days(by_product: DataFrame, as_of: date, *, days: int = 15) -> DataFrame:
+    """Rule 4 from the days of each product."""
     needed = F.when(F.col("periodo_contable") == period_of(as_of), elapsed_days(as_of, days)).otherwise(days)
-    by_period = (product_days(df, as_of, months=months, days=days, product=product, periods=periods)
-                 .groupBy("periodo_contable")
+    by_period = (by_product.groupBy("periodo_contable")
                  .agg(F.count(F.lit(1)).alias("total_registros"),
                       F.count_if(F.col("dias_presentes") < needed).alias("cantidad_mala")))
     return by_period.select(
@@ -99,13 +114,24 @@ def availability_month(df: DataFrame, as_of: date, *, months: int = 13, periods:
         df = df.filter(period.isin(periods))
         if periods:
             df = df.filter(key.between(min(periods) * 100, max(periods) * 100 + 99))
-    by_period = (df.filter(same_month(key, period)).groupBy(period.alias("periodo_contable"))
-                 .agg(F.bit_or(_day_bit(key % 100, 31)).alias("_mask")))
+    by_period = month_masks(df)
     if every_month:
         months_listed = df.sparkSession.createDataFrame([(int(p), None) for p in calendar],
                                                         "periodo_contable int, _mask bigint")
         by_period = (by_period.unionByName(months_listed).groupBy("periodo_contable")
                      .agg(F.bit_or("_mask").alias("_mask")))
+    return month_of_masks(by_period, as_of)
+
+
+def month_masks(df: DataFrame) -> DataFrame:
+    """Days of each month with a movement of that month as a bit mask; masks of parts merge with ``bit_or``."""
+    period, key = F.col("accountable_period"), F.col("transaction_date_sk")
+    return (df.filter(same_month(key, period)).groupBy(period.alias("periodo_contable"))
+            .agg(F.bit_or(_day_bit(key % 100, 31)).alias("_mask")))
+
+
+def month_of_masks(by_period: DataFrame, as_of: date) -> DataFrame:
+    """Availability of each month from its days."""
     month_days = days_in_period("periodo_contable")
     needed = F.when(F.col("periodo_contable") == period_of(as_of),
                     F.least(F.lit(elapsed_days(as_of)), month_days)).otherwise(month_days)

@@ -18,12 +18,16 @@ def uniqueness(df: DataFrame, key: str = KEY_FIELD, by: str = "accountable_perio
     hot or NULL key already folded to one row per task; the second shuffles one row per
     task and period.
     """
+    return repeated_keys(df.groupBy(by, key).agg(F.count(F.lit(1)).alias("_rows")), key, by, nulls=nulls)
+
+
+def repeated_keys(per_key: DataFrame, key: str = KEY_FIELD, by: str = "accountable_period", *, nulls: str = "group") -> DataFrame:
+    """Uniqueness from the number of rows (``_rows``) of each period and key."""
     if nulls not in ("group", "ignore"):
         raise ValueError("nulls must be 'group' or 'ignore'")
     repeated = F.col("_rows") > 1
     if nulls == "ignore":
         repeated = repeated & F.col(key).isNotNull()
-    per_key = df.groupBy(by, key).agg(F.count(F.lit(1)).alias("_rows"))
     per_period = per_key.groupBy(by).agg(
         F.sum("_rows").alias("total_registros"),
         F.sum(F.when(repeated, F.col("_rows")).otherwise(F.lit(0))).alias("cantidad_mala"))

@@ -5,13 +5,24 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.functions.periods import period_date, period_of
 from tamiz.operators.universe import current_periods, is_malformed, since_months
 from tamiz.plans.cube import quality_cube
-from tamiz.session import work_path
+from tamiz.sinks.versions import newest, read_version, write_version
+
+
+def versions_of(path: str) -> str:
+    """The folder of the versions behind a cube stored at ``path``."""
+    return f"{path.rstrip('/')}.versions"
+
+
+def read_cube(spark: SparkSession, path: str) -> DataFrame:
+    """The last whole version of a refreshed cube; one stored without versions is read as it is."""
+    root = versions_of(path)
+    return spark.read.parquet(path) if newest(spark, root) is None else read_version(spark, root)
 
 
 def closed_periods(df: DataFrame, path: str) -> DataFrame:
@@ -21,7 +32,7 @@ def closed_periods(df: DataFrame, path: str) -> DataFrame:
     """
     spark = df.sparkSession
     try:
-        stored = spark.read.parquet(path)
+        stored = read_cube(spark, path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
@@ -46,17 +57,25 @@ def refresh_pending(df: DataFrame, path: str, as_of: date, *, months: int = 36,
     as a literal list that prunes the fact's partitions. Malformed periods, however many,
     are selected by predicate and always calculated again: they are what the period format
     rule reports. Of the stored cube only final months stay, so a malformed period that was
-    corrected and a pending month that lost its rows go. The cube, some forty rows a period, is
-    written anew by way of a scratch copy; the fact is read for the pending periods alone.
+    corrected and a pending month that lost its rows go.
+
+    The new cube, some forty rows a period, is written as a version beside the former one and then takes its
+    place (:func:`read_cube`): a job that dies on the way leaves the former cube whole. Last, ``path`` itself gets a
+    plain copy for readers without this library; it can be made again at any time from the version. The fact is read
+    for the pending periods alone.
     """
+    spark = df.sparkSession
     pending = pending_periods(df, path, as_of, months=months).filter(~is_malformed("periodo_contable"))
     periods = sorted(int(r.periodo_contable) for r in pending.collect())
     cube = quality_cube(df, as_of, periods=periods, malformed=True, stamp=stamp)
     final = closed_periods(df, path).filter(~F.col("periodo_contable").isin([*periods, period_of(as_of)]))
     if not final.isEmpty():
-        cube = cube.unionByName(df.sparkSession.read.parquet(path).join(final, "periodo_contable", "left_semi"))
-    scratch = work_path(df.sparkSession, "refresh")
-    cube.write.parquet(scratch)
-    (df.sparkSession.read.schema(cube.schema).parquet(scratch).repartition("periodo_contable")
-     .write.mode("overwrite").parquet(path))
+        cube = cube.unionByName(read_cube(spark, path).join(final, "periodo_contable", "left_semi"))
+    write_version(cube.repartition("periodo_contable"), versions_of(path))
+    publish(spark, path)
     return periods
+
+
+def publish(spark: SparkSession, path: str) -> None:
+    """Make the plain copy at ``path`` from the last whole version."""
+    read_cube(spark, path).write.mode("overwrite").parquet(path)

@@ -14,15 +14,16 @@ from tamiz.functions import periods as per
 from tamiz.model import ALERT_SCHEMA, ARRIVAL_SCHEMA, CUBE_SCHEMA, Thresholds
 from tamiz.operators import alerts as al
 from tamiz.operators import availability as av
-from tamiz.operators import counts, premium, profile, reconcile, scorecard, uniqueness
+from tamiz.operators import counts, distinct, premium, profile, reconcile, scorecard, uniqueness
 from tamiz.operators import universe as un
 from tamiz.plans import alerts as alert_plan
 from tamiz.plans import cube as cube_plan
-from tamiz.plans import refresh, views
+from tamiz.plans import refresh, state, views
 from tamiz.rules import (accuracy_rules, completeness_rules, default_rules, optional_rules, validity_rules, with_explanation)
 from tamiz.session import work_path
 from tamiz.sinks.export import export_csv, export_json
 from tamiz.sinks.snapshot import snapshot
+from tamiz.sinks.versions import read_version
 from tamiz.sources.csvs import CATALOGUE_COLUMNS, read_catalogue, read_dictionary, read_mapping
 from tamiz.sources.movements import movements as conform_movements
 from tamiz.sources.movements import read_movements, write_movements
@@ -179,9 +180,10 @@ def _snapshot(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     name = f"snap_{path.rsplit('-', 1)[1]}"
-    rows = spark.read.schema(snapshot(df, name, schema, path=path).schema).parquet(path)
-    spark.sql(f"DROP TABLE {name}")  # the rows are in a folder of their own and stay
-    return rows
+    snapshot(df.limit(0), name, schema, path=path)
+    snapshot(df, name, schema, path=path)
+    spark.sql(f"DROP TABLE {name}")  # the versions are in a folder of their own and stay
+    return read_version(spark, f"{path}.versions")
 
 
 def refreshed_cube(m: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ def refreshed_cube(m: DataFrame) -> DataFrame:
     october = AS_OF.replace(month=10, day=5)
     refresh.refresh_pending(m, path, october, stamp=STAMP.replace(month=10, day=5))
     refresh.refresh_pending(m, path, AS_OF, stamp=STAMP)
-    return spark.read.parquet(path).select(
+    return refresh.read_cube(spark, path).select(
         F.col("periodo_contable").cast("int").alias("periodo_contable"), "tipo_indicador", "nombre_campo",
         "total_registros", "cantidad_mala", "porcentaje", "es_total")
 
@@ -217,6 +219,48 @@ def streamed_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return read_arrivals(spark, path)
 
 
+# ---- kept by merging ---------------------------------------------------------------------
+
+def _two_loads(m: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The fact as a first load and a late one, which repeats keys of the first."""
+    late = F.pmod(F.hash("policy_number", "transaction_date_sk"), F.lit(5)) == 0
+    return m.filter(~late), m.filter(late)
+
+
+def _merged_keys(m: DataFrame) -> DataFrame:
+    spark = m.sparkSession
+    first, late = _two_loads(m)
+    path = work_path(spark, "keys")
+    name = f"keys_{path.rsplit('-', 1)[1]}"
+    state.store_keys(state.key_counts(first), name, buckets=8)
+    state.merge_keys(spark.table(name), late).write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
+
+
+def late_load_cube(m: DataFrame) -> DataFrame:
+    """The cube of two loads from what each left behind; the late one arrives twice and counts once."""
+    spark = m.sparkSession
+    path = work_path(spark, "loads")
+    first, late = _two_loads(m)
+    for name, load in (("1", first), ("2", late), ("2", late)):
+        state.add_load(load, name, path)
+    return state.merged_cube(spark, path, _merged_keys(m), AS_OF, periods=_periods(m), nulls="ignore", stamp=STAMP)
+
+
+def distinct_by_calendar(m: DataFrame) -> DataFrame:
+    """Policies of months, quarters and years from stored bitmaps of months and sources, numbered in two loads."""
+    spark = m.sparkSession
+    measured = un.universe(m)
+    first, late = _two_loads(measured)
+    paths = [work_path(spark, name) for name in ("numbers", "numbers", "bitmaps")]
+    distinct.numbered(first).write.parquet(paths[0])
+    known = spark.read.parquet(paths[0])
+    known.unionByName(distinct.numbered(late, known)).write.parquet(paths[1])
+    distinct.bitmaps(measured, spark.read.parquet(paths[1]), ["accountable_period", "source_system"]).write.parquet(paths[2])
+    return distinct.calendar_counts(spark.read.parquet(paths[2]))
+
+
 # ---- catalog -----------------------------------------------------------------------------
 
 def _on_fact(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -326,7 +370,7 @@ def refresh_after_correction(m: DataFrame) -> DataFrame:
     period = F.col("accountable_period")
     refresh.refresh_pending(m.withColumn("accountable_period", F.when(period > 999999, F.expr(
         "int(accountable_period div 10)")).otherwise(period)), path, AS_OF, stamp=STAMP)
-    return spark.read.parquet(path).groupBy("periodo_contable").agg(F.count(F.lit(1)).alias("filas"))
+    return refresh.read_cube(spark, path).groupBy("periodo_contable").agg(F.count(F.lit(1)).alias("filas"))
 
 
 def _emptied(m: DataFrame) -> DataFrame:
@@ -489,6 +533,10 @@ def queries() -> dict[str, Query]:
         "filled_series": _on_fact(lambda m: premium.on_axis(_emptied(m), _periods(m), ["source_system"])),
         "net_change_after_empty_month": _on_fact(lambda m: premium.net_change(
             premium.premium_by_period(_emptied(m)), _periods(m))),
+        # kept by merging
+        "late_load_cube": _on_fact(late_load_cube),
+        "uniqueness_of_two_loads": _on_fact(lambda m: state.uniqueness_of(un.since_months(_merged_keys(m), AS_OF, 36))),
+        "distinct_by_calendar": _on_fact(distinct_by_calendar),
         # dirty input
         "csv_text_roundtrip": _on_tables(csv_text_roundtrip),
         "balances_with_impossible_dates": _on_fact(lambda m: al.daily_balance(impossible_dates(m), AS_OF)),
