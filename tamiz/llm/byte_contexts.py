@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
+from tamiz.llm.common import stored
+
 #: Bytes of the longest context; grams of up to six bytes and a symbol are positive integers.
 ORDER = 6
 #: Bytes that choose the branch: contexts up to one less have bounded tables handed to all tasks.
@@ -116,7 +118,7 @@ class Shorter:
 
     def count2(self, wanted: np.ndarray) -> np.ndarray:
         if not len(self.codes):
-            return np.zeros(len(wanted))
+            return np.zeros(wanted.shape)
         at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
         return np.where(self.codes[at] == wanted, self.counts[at], 0.0)
 
@@ -128,11 +130,16 @@ def shorter_counts(counted: DataFrame, order: int) -> Shorter:
     return Shorter(rows.column("code").to_numpy(), rows.column("n").to_numpy().astype(np.float64))
 
 
-def gram_logs(gram: np.ndarray, n: np.ndarray, low: Shorter, order: int = ORDER) -> np.ndarray:
-    """log10 probability of the symbol of each gram after its context; whole branches, sorted by gram.
+def gram_logs(gram: np.ndarray, n: np.ndarray, low: Shorter, order: int = ORDER, tables: list[np.ndarray] = (),
+              unit: np.ndarray | int = 0) -> np.ndarray:
+    """log10 probability of the symbol of each gram after its context; whole units, sorted by gram.
 
     A context that was learned codes a symbol seen there ``n`` times as ``(2n - 1) / 2N`` and an escape as
     ``d / 2N``: N symbols, d distinct, both without the symbols that the longer context has ruled out.
+
+    Units are branches, of BRANCH bytes, and have no ``tables``; or those of so many more bytes as there are tables. A table
+    has, for a unit (``unit`` tells that of each gram) and symbol, the count in the unit's one context of that length,
+    BRANCH bytes and up.
     """
     logs = np.zeros(len(gram))
     waiting = np.ones(len(gram), bool)
@@ -147,7 +154,7 @@ def gram_logs(gram: np.ndarray, n: np.ndarray, low: Shorter, order: int = ORDER)
         waiting[hit] = False
 
     longer = None
-    for depth in range(order, BRANCH - 1, -1):
+    for depth in range(order, BRANCH + len(tables) - 1, -1):
         context = gram >> (8 * (order - depth + 1))
         owner = np.cumsum(np.concatenate([[0], (context[1:] != context[:-1]).astype(np.int64)]))
         if depth == order:
@@ -162,9 +169,22 @@ def gram_logs(gram: np.ndarray, n: np.ndarray, low: Shorter, order: int = ORDER)
         ruled, gone = _ruled(longer, count)
         code(count, total[owner] - ruled, kinds[owner] - gone)
         longer = owner, first[seen > 0], kinds
+    known = None
+    for table in reversed(tables):
+        count = table[unit, symbol]
+        ruled, gone = _ruled(longer, count) if known is None else _ruled_by(known, table, unit)
+        code(count, table.sum(axis=1)[unit] - ruled, (table > 0).sum(axis=1)[unit] - gone)
+        known = table
     context = (gram >> (8 * (order - 1))) & 0xFFFF
     count = low.count2(context << 8 | symbol)
-    ruled, gone = _ruled(longer, count)
+    if known is None:
+        ruled, gone = _ruled(longer, count)
+    else:
+        _, one_of = np.unique(unit, return_index=True)
+        shorter = np.zeros(known.shape)
+        every = np.unique(unit)
+        shorter[every] = low.count2(context[one_of][:, None] << 8 | np.arange(256)[None, :])
+        ruled, gone = _ruled_by(known, shorter, unit)
     code(count, low.total2[context] - ruled, low.kinds2[context] - gone)
     one = context >> 8
     code(low.n1[one, symbol], low.total1[one] - low.ruled2[context], low.kinds1[one] - low.kinds2[context])
@@ -180,35 +200,109 @@ def _ruled(longer: tuple | None, count: np.ndarray) -> tuple:
     return np.bincount(owner[learned], count[learned], len(kinds))[owner], kinds[owner]
 
 
-def scored_grams(counted: DataFrame, order: int) -> DataFrame:
-    """gram, seen, log10p. A branch has at most 2 ** (8 * (order - 2)) grams, and those only if all occur."""
+def _ruled_by(longer: np.ndarray, table: np.ndarray, unit: np.ndarray) -> tuple:
+    """The same where each unit has one longer context, of which a table tells."""
+    return (table * (longer > 0)).sum(axis=1)[unit], (longer > 0).sum(axis=1)[unit]
+
+
+#: Grams that a unit may hold before it is split by one more byte.
+UNIT_GRAMS = 1 << 20
+#: Split units that are coded at once: each has tables of 2 KB.
+UNITS = 4096
+
+
+def split_units(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> tuple[DataFrame, DataFrame | None]:
+    """``counted`` with ``unit`` and ``level``, and the tables of split units: unit, level, depth, symbol, n.
+
+    A unit is the grams that share their ``level`` nearest bytes. One of more than ``most`` grams is split by the next
+    byte, up to one byte less than the order: then it has at most 2 ** 16 grams. A split unit's context is shared by its
+    parts, so each part gets the counts after it: 256 rows at most.
+    """
+    width = 8 * (order + 1)
+    rows = counted.withColumns({"level": F.lit(BRANCH), "unit": F.col("branch")})
+    tables = None
+    for level in range(BRANCH, order - 1):
+        sizes = rows.filter(F.col("level") == level).groupBy("unit").count().filter(F.col("count") > most)
+        large = stored(sizes.select(F.col("unit").alias("large")), "large-units")
+        if large.isEmpty():
+            break
+        joined = rows.join(large, (F.col("unit") == F.col("large")) & (F.col("level") == level), "left")
+        deeper = F.shiftright("gram", width - 8 * (level + 1))
+        rows = stored(joined.withColumn("split", F.col("large").isNotNull()).withColumns({
+            "unit": F.when(F.col("split"), deeper).otherwise(F.col("unit")),
+            "level": F.when(F.col("split"), level + 1).otherwise(F.col("level"))}).drop("large"), "units")
+        counts = rows.filter("split AND n > 0").groupBy(F.shiftright("unit", 8).alias("of"), F.col("gram").bitwiseAND(F.lit(0xFF)).alias("symbol")).agg(
+            F.sum("n").alias("n"))
+        parts = rows.filter("split").select("unit", F.shiftright("unit", 8).alias("of")).distinct()
+        here = parts.join(counts, "of").select("unit", F.lit(level + 1).alias("level"), F.lit(level).alias("depth"), "symbol", "n")
+        if tables is not None:
+            # Parts of parts also need what their whole needed.
+            above = tables.filter(F.col("level") == level).select(F.col("unit").alias("of"), "depth", "symbol", "n")
+            here = here.unionByName(parts.join(above, "of").select("unit", F.lit(level + 1).alias("level"), "depth", "symbol", "n"))
+            gone = tables.join(large, (F.col("unit") == F.col("large")) & (F.col("level") == level), "left_anti")
+            here = gone.unionByName(here)
+        tables = stored(here, "unit-tables")
+        rows = rows.drop("split")
+    return rows, tables
+
+
+def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> DataFrame:
+    """gram, seen, log10p. A task holds one unit at a time, and some small ones together."""
     shared = counted.sparkSession.sparkContext.broadcast(shorter_counts(counted, order))
+    rows, tables = split_units(counted, order, most)
+    names = ("unit", "level", "depth", "gram", "n", "seen")
+    rows = rows.select("unit", "level", F.lit(0).alias("depth"), "gram", "n", "seen")
+    if tables is not None:
+        # A unit's tables come before its grams.
+        rows = rows.unionByName(tables.select("unit", "level", (F.col("depth") - order).alias("depth"), F.col("symbol").alias("gram"), "n",
+                                              F.lit(0).cast("long").alias("seen")))
+
+    def code(columns: list[np.ndarray]) -> pa.RecordBatch:
+        unit, level, depth, gram, n, seen = columns
+        out = np.zeros(len(gram))
+        for at in np.unique(level).tolist():
+            told = np.flatnonzero((level == at) & (depth < 0))
+            here = np.flatnonzero((level == at) & (depth == 0))
+            every = np.unique(unit[here])
+            for first in range(0, len(every), len(every) if at == BRANCH else UNITS):
+                some = every[first:first + (len(every) if at == BRANCH else UNITS)]
+                part = here[(unit[here] >= some[0]) & (unit[here] <= some[-1])]
+                counts = []
+                for d in range(BRANCH, at):
+                    of = told[(depth[told] == d - order) & (unit[told] >= some[0]) & (unit[told] <= some[-1])]
+                    counts.append(np.zeros((len(some), 256)))
+                    counts[-1][np.searchsorted(some, unit[of]), gram[of]] = n[of]
+                out[part] = gram_logs(gram[part], n[part].astype(np.float64), shared.value, order, counts, np.searchsorted(some, unit[part]))
+        grams = depth == 0
+        return pa.RecordBatch.from_arrays([pa.array(gram[grams]), pa.array(seen[grams]), pa.array(out[grams])], names=["gram", "seen", "log10p"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = shared.value
+        held: list[list[np.ndarray]] = []
+        size, last = 0, None
 
-        def code(columns: list[np.ndarray]) -> pa.RecordBatch:
-            gram, n, seen = columns
-            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(seen), pa.array(gram_logs(gram, n.astype(np.float64), low, order))],
-                                              names=["gram", "seen", "log10p"])
+        def coded() -> pa.RecordBatch:
+            return code([np.concatenate(x) for x in zip(*held)])
 
-        held: list[list[np.ndarray]] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append([batch.column(i).to_numpy() for i in range(3)])
-            if sum(len(h[0]) for h in held) >= CODED:
-                columns = [np.concatenate(x) for x in zip(*held)]
-                branch = columns[0] >> (8 * (order + 1 - BRANCH))
-                # The last branch may go on in the next batch.
-                cut = int(np.searchsorted(branch, branch[-1]))
+            columns = [batch.column(c).to_numpy() for c in names]
+            key = columns[0] * 8 + columns[1]
+            # Rows are put together once, when what is held ends with a whole unit and is long enough.
+            other = np.flatnonzero(key != key[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if held and (cut or key[0] != last) and size + cut >= CODED:
                 if cut:
-                    yield code([c[:cut] for c in columns])
-                held = [[c[cut:] for c in columns]]
+                    held.append([c[:cut] for c in columns])
+                    columns = [c[cut:] for c in columns]
+                yield coded()
+                held, size = [], 0
+            held.append(columns)
+            size, last = size + len(columns[0]), key[-1]
         if held:
-            yield code([np.concatenate(x) for x in zip(*held)])
+            yield coded()
 
-    return (counted.repartition("branch").sortWithinPartitions("gram").select("gram", "n", "seen")
+    return (rows.repartition("unit").sortWithinPartitions("level", "unit", "depth", "gram").select(*names)
             .mapInArrow(run, "gram long, seen long, log10p double"))
 
 

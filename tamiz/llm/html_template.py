@@ -338,11 +338,10 @@ def templates(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     text is fixed: copies of one text, if they hold the most. Arrays are bounded: a token stands in one only if it is on SHARE or RARE of the pages.
     """
     counted = stored(tokens(pages, page_id, url, html).filter((F.col("pages") > 1) | (F.col("token") == 0)), "tokens")
-    members = stored(classes(counted).filter(F.col("members") >= LEAST_MEMBERS).select("host", "token", "kind", "parent", "pages", "chars", "linked", "place"),
-                     "members")
-    # Nested: a text is fixed where its element is, too.
-    elements = members.filter(F.col("kind") == ELEMENT).select(F.col("host").alias("h"), F.col("token").alias("t"))
-    texts = members.filter(F.col("kind") == TEXT).join(elements, (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t")), "left_semi")
+    frequent = stored(classes(counted).select("host", "token", "kind", "parent", "pages", "chars", "linked", "place", "members"), "classes")
+    # Nested: a text is fixed where its element is on all these pages, too.
+    elements = frequent.filter(F.col("kind") == ELEMENT).select(F.col("host").alias("h"), F.col("token").alias("t"))
+    texts = frequent.filter((F.col("kind") == TEXT) & (F.col("members") >= LEAST_MEMBERS)).join(elements, (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t")), "left_semi")
     fixed = texts.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct(
         (F.col("place") / F.col("pages")).alias("place"), "token"))), lambda x: x["token"]).alias("fixed"))
     hosts = counted.filter("token = 0").select(F.col("host").alias("of"), F.col("pages").alias("all"))

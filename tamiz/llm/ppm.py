@@ -8,9 +8,8 @@ as an escape and looked up in the next shorter context with the symbols already
 Grams (context and symbol) are counted as rows and dealt to tasks by the three nearest bytes of the context,
 so that each task holds all shorter contexts of its grams down to these three bytes; tables of
 contexts shorter than that are bounded and handed to all tasks. A text's score is the sum over its grams: the
-most frequent ones stand in a bounded table, the others are joined.
-
-``symbol_logs`` and what it uses code single words by their prefixes; scores do not depend on them.
+most frequent ones stand in a bounded table, the others are joined. A branch of very many grams is split by further bytes,
+its parts sharing the counts of its context.
 """
 
 from __future__ import annotations
@@ -26,23 +25,14 @@ from pyspark.sql import Column, DataFrame
 from tamiz.llm import byte_contexts
 from tamiz.llm.common import fold, small_batches, stored
 
-#: Longest prefix that serves as a context, in bytes, and bytes that choose the branch of the trie.
-ORDER = 12
-BRANCH = 3
 #: Most frequent words whose scores every task holds; all other words are joined.
 SHARED_WORDS = 200_000
 #: Longest word that is shared, in bytes: an unspaced text may be one word.
 SHARED_BYTES = 64
 #: Distinct words that a task counts before it sends them on.
 COUNTED = 300_000
-#: Symbols: 256 bytes, the end of a word, the end of a text. As context, START stands before a word.
-WORD_END, TEXT_END, SYMBOLS, START, CONTEXTS = 256, 257, 258, 256, 257
 #: The end of a text is counted as the empty word.
 END = b""
-#: Where codes of word prefixes of two bytes begin; before them stand those of contexts of two symbols.
-PREFIXES = CONTEXTS * CONTEXTS * SYMBOLS
-#: Classes of contexts for escapes: depth, log2 of the frequency, distinct symbols.
-DEPTHS, SIZES, KINDS = ORDER + 1, 40, 10
 
 
 def lines_of(text: str | None) -> list[list[bytes]]:
@@ -82,180 +72,17 @@ def _counted(counts: Counter) -> pa.RecordBatch:
                                       names=["word", "n"])
 
 
-def symbols_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Flat symbols of all words, the contexts of two and one before each, and the start of each word."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    symbols = np.empty(starts[-1], np.int64)
-    is_end = np.zeros(starts[-1], bool)
-    is_end[starts[1:] - 1] = True
-    symbols[~is_end] = np.frombuffer(b"".join(words), np.uint8)
-    symbols[is_end] = np.where(lengths == 1, TEXT_END, WORD_END)
-    one = np.empty_like(symbols)
-    one[1:] = symbols[:-1]
-    two = np.empty_like(symbols)
-    two[2:] = symbols[:-2]
-    first = starts[:-1]
-    one[first] = START
-    two[first] = START
-    second = first[lengths > 1] + 1
-    two[second] = START
-    return symbols, two * CONTEXTS + one, one, starts
-
-
-class LowOrders:
-    """Probabilities from contexts of two bytes down to none, and the counts of prefixes of two."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        cut = np.searchsorted(codes, PREFIXES)
-        self.prefix_codes, self.prefix_counts = codes[cut:] - PREFIXES, counts[cut:]
-        self.codes, self.counts = codes, counts = codes[:cut], counts[:cut]
-        contexts, symbols = codes // SYMBOLS, codes % SYMBOLS
-        one = contexts % CONTEXTS
-        size = CONTEXTS * CONTEXTS
-        self.n1 = np.bincount(one * SYMBOLS + symbols, counts, CONTEXTS * SYMBOLS).reshape(CONTEXTS, SYMBOLS)
-        self.n0 = self.n1.sum(axis=0)
-        self.total2, self.kinds2 = np.bincount(contexts, counts, size), np.bincount(contexts, minlength=size)
-        self.total1, self.kinds1 = self.n1.sum(axis=1), (self.n1 > 0).sum(axis=1)
-        self.total0, self.kinds0 = self.n0.sum(), int((self.n0 > 0).sum())
-        # What the symbols seen in a context weigh in the next shorter one.
-        self.known2 = np.bincount(contexts, self.n1[one, symbols], size)
-        self.known1 = ((self.n1 > 0) * self.n0[None, :]).sum(axis=1)
-
-        self.prefixes = self._contexts(self.prefix_codes, self.prefix_counts)
-
-    def _contexts(self, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Total, distinct symbols and what those weigh in the context of two bytes, by prefix of two."""
-        owner, size = codes // SYMBOLS, CONTEXTS * CONTEXTS
-        return (np.bincount(owner, counts, size), np.bincount(owner, minlength=size),
-                np.bincount(owner, self.count2(owner, codes % SYMBOLS), size))
-
-    @staticmethod
-    def _find(codes: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(codes):
-            return np.zeros(len(wanted))
-        at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-        return np.where(codes[at] == wanted, counts[at], 0.0)
-
-    def count2(self, two: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        return self._find(self.codes, self.counts, two * SYMBOLS + symbols)
-
-    def prefix_count(self, two: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        return self._find(self.prefix_codes, self.prefix_counts, two * SYMBOLS + symbols)
-
-    def log10(self, symbols: np.ndarray, two: np.ndarray, one: np.ndarray, known: np.ndarray,
-              kinds: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol; ``known`` and ``kinds``: weight here and number of the symbols
-        that a longer context has ruled out."""
-        out = np.zeros(len(symbols))
-        waiting = np.ones(len(symbols), bool)
-        for n, total, distinct in (
-                (self.count2(two, symbols), self.total2[two] - known, self.kinds2[two] - kinds),
-                (self.n1[one, symbols], self.total1[one] - self.known2[two], self.kinds1[one] - self.kinds2[two]),
-                (self.n0[symbols], self.total0 - self.known1[one], self.kinds0 - self.kinds1[one])):
-            here = np.maximum(total + distinct, 1)
-            hit = waiting & (n > 0)
-            out += np.where(hit, np.log10(np.where(hit, n, 1) / here), 0.0)
-            escape = waiting & (n == 0) & (distinct > 0)
-            out += np.where(escape, np.log10(np.where(escape, distinct, 1) / here), 0.0)
-            waiting &= n == 0
-        return out - waiting * np.log10(max(1, SYMBOLS - self.kinds0))
-
-
-def _class(depth: int, total: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    size = np.log2(np.maximum(total, 1)).astype(np.int64)
-    return (depth * SIZES + np.minimum(size, SIZES - 1)) * KINDS + np.minimum(distinct, KINDS - 1).astype(np.int64)
-
-
-def _tally(tallies: np.ndarray, depth: int, n: np.ndarray, total: np.ndarray, distinct: np.ndarray) -> None:
-    """Adds escapes (row 0) and hits (row 1) that leaving out each occurrence of each symbol would show."""
-    once = (n == 1) & (total > 1)
-    tallies[0] += np.bincount(_class(depth, total[once] - 1, distinct[once] - 1), minlength=tallies.shape[1])
-    more = n > 1
-    tallies[1] += np.bincount(_class(depth, total[more] - 1, distinct[more]), n[more], tallies.shape[1])
-
-
-def _escape(escapes: np.ndarray | None, depth: int, total: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    plain = distinct / np.maximum(total + distinct, 1)
-    if escapes is None:
-        return plain
-    known = _class(depth, total, distinct)
-    lost, found = escapes[0][known], escapes[1][known]
-    return (lost + 2 * plain) / (lost + found + 2)
-
-
-def symbol_logs(words: list[bytes], counts: np.ndarray, low: LowOrders | None, escapes: np.ndarray | None = None,
-                order: int = ORDER, tallies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probability of each symbol, and where words start. All words of a branch must be in the list.
-
-    Prefixes are numbered depth by depth: a prefix and its next byte give the prefix one longer.
-    With ``tallies`` the escapes and hits of the contexts are added there and nothing is coded.
-    """
-    symbols, two, one, starts = symbols_of(words)
-    lengths = np.diff(starts) - 1
-    known = np.zeros(len(symbols))
-    kinds = np.zeros(len(symbols), np.int64)
-    logs = np.zeros(len(symbols))
-    coded = np.zeros(len(symbols), bool)
-
-    def code(depth: int, at: np.ndarray, n: np.ndarray, total: np.ndarray, distinct: np.ndarray,
-             ruled: np.ndarray) -> None:
-        lost = _escape(escapes, depth, total, distinct)
-        hit = n > 0
-        share = np.where(hit, (1 - lost) * n / np.maximum(total, 1), np.where(total > 0, lost, 1.0))
-        logs[at] = np.log10(share)
-        coded[at] = hit
-        known[at], kinds[at] = ruled, distinct
-
-    if tallies is None:
-        third = starts[:-1][lengths >= 2] + 2
-        total, distinct, ruled = low.prefixes
-        context = two[third]
-        code(2, third, low.prefix_count(context, symbols[third]), total[context], distinct[context], ruled[context])
-    rows = np.flatnonzero(lengths >= BRANCH)
-    if len(rows):
-        branch = np.zeros(len(rows), np.int64)
-        for i in range(BRANCH):
-            branch = branch * 256 + symbols[starts[rows] + i]
-        _, prefix = np.unique(branch, return_inverse=True)
-    for depth in range(BRANCH, order + 1):
-        if not len(rows):
-            break
-        at = starts[rows] + depth
-        cells, cell = np.unique(prefix * SYMBOLS + symbols[at], return_inverse=True)
-        seen = np.bincount(cell, counts[rows], len(cells))
-        owner = cells // SYMBOLS
-        n_contexts = int(prefix.max()) + 1
-        total = np.bincount(owner, seen, n_contexts)
-        distinct = np.bincount(owner[seen > 0], minlength=n_contexts)
-        if tallies is not None:
-            _tally(tallies, depth, seen[seen > 0], total[owner[seen > 0]], distinct[owner[seen > 0]])
-        else:
-            context = np.empty(n_contexts, np.int64)
-            context[prefix] = two[at]
-            ruled = np.bincount(owner, np.where(seen > 0, low.count2(context[owner], cells % SYMBOLS), 0.0), n_contexts)
-            code(depth, at, seen[cell], total[prefix], distinct[prefix], ruled[prefix])
-        longer = lengths[rows] > depth
-        rows, prefix = rows[longer], cell[longer]
-        if len(rows):
-            _, prefix = np.unique(prefix, return_inverse=True)
-    if tallies is not None:
-        return logs, starts
-    rest = ~coded
-    logs[rest] += low.log10(symbols[rest], two[rest], one[rest], known[rest], kinds[rest])
-    return logs, starts
-
-
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, held: int = 2,
           order: int = byte_contexts.ORDER, shared_words: int = SHARED_WORDS,
-          shared_grams: int = byte_contexts.SHARED_GRAMS) -> DataFrame:
+          shared_grams: int = byte_contexts.SHARED_GRAMS, unit_grams: int = byte_contexts.UNIT_GRAMS) -> DataFrame:
     """A row for each row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text in lower case and its end. ``score`` is the model's log10 probability
     of the running text; ``base_score`` that of add-one word frequencies. Both learn from the
     documents outside fold ``held`` of ``modulus``; these documents' own text counts when they are scored
     themselves. A NULL text is empty: its end is its only token. Repeated rows count and are scored
-    each. Texts and words of any length are coded whole. ``order`` is from 3 to 6 bytes.
+    each. Texts and words of any length are coded whole. An empty table gives no rows, and other columns play no part.
+    ``order`` is from 3 to 6 bytes; none of the other numbers changes a score.
     """
     if not byte_contexts.BRANCH <= order <= 6:
         raise ValueError("order must be from 3 to 6")
@@ -265,7 +92,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     tokens, kinds = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     tokens, kinds = tokens or 0, kinds or 0
     counted = stored(byte_contexts.count_grams(docs, text, outside, lines_of, order), "grams")
-    scored = stored(byte_contexts.scored_grams(counted, order), "scored-grams")
+    scored = stored(byte_contexts.scored_grams(counted, order, unit_grams), "scored-grams")
     common = words.filter(F.octet_length("word") <= SHARED_BYTES).orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
     table = {w: (c > 0, float(np.log10(c + 1))) for w, c in zip(
         common.column("word").to_pylist(), common.column("c").to_pylist())}

@@ -2,14 +2,16 @@
 
 A token's encoding is inferred from its characters. Under the hypothesis that it is uniformly random
 in that alphabet, a chi-squared test of the characters, a runs test of the character classes and
-a serial-correlation test must all be passed. Under the hypothesis that it is text, the chance to
-look this uniform and to change class this often falls with its length; tokens for which
-that is too unlikely are reported, the false discoveries among them held at a fixed rate
-within each encoding and band of lengths (Benjamini and Hochberg) over the whole collection.
+a serial-correlation test must all be passed. How text does in the same three tests is measured on the collection, in each
+encoding and band of lengths: on the tokens that fail the battery, by their median and their spread. A token's three statistics are standardised so and added; what text's sums are like is measured in the same way, and
+gives the p-value of the token being text. Tokens for which that is too unlikely are reported, the false
+discoveries among them held at a fixed rate within each encoding and band of lengths (Benjamini and Hochberg).
 """
 
 from __future__ import annotations
 
+import math
+
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
 
@@ -42,9 +44,11 @@ CLASSES = ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwx
 #: Limit of each randomness test in standard deviations, and false discoveries allowed.
 LIMIT = 3.9
 RATE = 0.001
-#: What text is taken for: its sum of squared letter shares and its changes of class between neighbours.
+#: What text is taken for where too few tokens fail the battery: coincidences among all pairs of characters, changes of
+#: class among all neighbours, and how many tokens are too few.
 TEXT_SQUARES = 0.075
 TEXT_CHANGES = 0.2
+FEW = 50
 #: Steps of a p-value's negative log10 in the histogram, and where it ends.
 STEP, TOP = 0.25, 40
 
@@ -83,11 +87,11 @@ def _ordered(all_spans: Column) -> Column:
 
 
 def battery(token: Column) -> Column:
-    """Struct (encoding, z_chi, z_runs, z_serial, log_p) of a token; encoding is NULL if none fits.
+    """Struct (encoding, n, z_chi, z_runs, z_serial, pairs, changes, order) of a token; encoding is NULL if none fits.
 
-    The z values belong to the hypothesis of randomness. ``log_p`` is the natural logarithm of a bound
-    on the chance that text of this length looks as uniform and changes class as often:
-    each excess of z standard deviations counts as ``-z**2 / 2``.
+    The z values belong to the hypothesis of randomness. The last three are what the tests measure, each the greater the
+    more random: less the share of coincidences among all pairs, the share of neighbours of two classes, and less the distance of the serial
+    correlation from that of random tokens.
     """
     bare = F.regexp_replace(token, "=+$", "")
     name, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -127,14 +131,9 @@ def _verdict(m: Column) -> Column:
     spread = n * m["sum2"] - m["sum"] * m["sum"]
     serial = F.when(spread > 0, (n * m["lagged"] - m["sum"] * m["sum"]) / spread).otherwise(1.0)
     z_serial = (serial + 1 / (n - 1)) * F.sqrt(n)
-    # Text: coincidences of two characters are TEXT_SQUARES of all pairs, changes TEXT_CHANGES of all neighbours.
-    pairs = n * (n - 1) / 2
-    coincidences = (m["squares"] - n) / 2
-    below = (TEXT_SQUARES * pairs - coincidences) / F.sqrt(TEXT_SQUARES * pairs)
-    above = (m["changes"] - TEXT_CHANGES * (n - 1)) / F.sqrt(TEXT_CHANGES * (1 - TEXT_CHANGES) * (n - 1))
-    log_p = -(F.pow(F.greatest(below, F.lit(0.0)), F.lit(2.0)) + F.pow(F.greatest(above, F.lit(0.0)), F.lit(2.0))) / 2
-    return F.struct(m["name"].alias("encoding"), z_chi.alias("z_chi"), z_runs.alias("z_runs"),
-                    z_serial.alias("z_serial"), log_p.alias("log_p"))
+    return F.struct(m["name"].alias("encoding"), n.alias("n"), z_chi.alias("z_chi"), z_runs.alias("z_runs"), z_serial.alias("z_serial"),
+                    (-(m["squares"] - n) / (n * (n - 1))).alias("pairs"), (m["changes"] / (n - 1)).alias("changes"),
+                    (-F.abs(serial + 1 / (n - 1))).alias("order"))
 
 
 def _passes(b: Column) -> Column:
@@ -151,6 +150,57 @@ def _step(log_p: Column) -> Column:
     return F.least(F.floor(-log_p / F.log(F.lit(10.0)) / STEP), F.lit(int(TOP / STEP))).cast("int")
 
 
+def _tail(z: Column) -> Column:
+    """Natural logarithm of a bound on the chance of a normal value above ``z``; 0 up to one standard deviation."""
+    return F.when(z > 1, -z * z / 2 - F.log(z * math.sqrt(2 * math.pi))).otherwise(F.lit(0.0))
+
+
+def _middle_and_spread(x: str) -> list[Column]:
+    """Median, and how far a standard deviation reaches to the wider side of it."""
+    low, middle, high = (F.percentile_approx(x, q, 10_000) for q in (0.1587, 0.5, 0.8413))
+    return [middle.alias(f"{x}_at"), F.greatest(middle - low, high - middle, F.lit(1e-3)).alias(f"{x}_by")]
+
+
+def _strata(tokens: DataFrame, measures: list[str]) -> dict[str, list[float]]:
+    """Median and spread of each measure over the tokens, by "encoding:band" and, over all bands, "encoding".
+
+    Strata of fewer than FEW tokens are left out. There are a few encodings and the powers of the length: some hundred rows.
+    """
+    rows = tokens.groupingSets([[F.col("encoding"), F.col("band")], [F.col("encoding")]], "encoding", "band").agg(
+        F.grouping("band").alias("every"), F.count("*").alias("tokens"), *[c for m in measures for c in _middle_and_spread(m)]).filter(
+        F.col("tokens") >= FEW).collect()
+    return {r["encoding"] if r["every"] else f"{r['encoding']}:{r['band']}": [r[f"{m}_{k}"] for m in measures for k in ("at", "by")] for r in rows}
+
+
+def _found_in(table: dict[str, list[float]], encoding: Column, band: Column) -> Column:
+    """The numbers of a token's stratum, or of its encoding, or NULL."""
+    if not table:
+        return F.lit(None).cast("array<double>")
+    known = F.create_map(*[v for k, row in table.items() for v in (F.lit(k), F.array(*[F.lit(float(x)) for x in row]))])
+    return F.coalesce(F.try_element_at(known, F.concat_ws(":", encoding, band)), F.try_element_at(known, encoding))
+
+
+def text_chances(tested: DataFrame) -> DataFrame:
+    """``tested`` (encoding, band, b: a :func:`battery`, passes, ...) with ``log_p``, the natural logarithm of the chance that text is so random.
+
+    A token's chance is the greater of two: what the collection tells, if it can, and what TEXT_SQUARES and TEXT_CHANGES do,
+    to which serial correlation tells nothing. The tokens that fail the battery are the less random part of text, and the second
+    holds where they are few or much alike.
+    """
+    names = ["pairs", "changes", "order"]
+    measured = tested.withColumns({m: F.col(f"b.{m}") for m in names} | {"n": F.col("b.n")})
+    own = _found_in(_strata(measured.filter("not passes"), names), F.col("encoding"), F.col("band"))
+    summed = sum((F.col(m) - F.get("own", F.lit(2 * i))) / F.get("own", F.lit(2 * i + 1)) for i, m in enumerate(names))
+    added = measured.withColumn("own", own).withColumn("summed", summed)
+    sums = _found_in(_strata(added.filter("not passes and own is not null"), ["summed"]), F.col("encoding"), F.col("band"))
+    n = F.col("n")
+    all_pairs = n * (n - 1) / 2
+    given = ((F.col("pairs") + TEXT_SQUARES) * F.sqrt(all_pairs / TEXT_SQUARES)
+             + (F.col("changes") - TEXT_CHANGES) * F.sqrt((n - 1) / (TEXT_CHANGES * (1 - TEXT_CHANGES)))) / math.sqrt(2)
+    z = F.least(given, (F.col("summed") - F.get("sums", F.lit(0))) / F.get("sums", F.lit(1)))
+    return added.withColumn("sums", sums).withColumn("log_p", _tail(z)).drop(*names, "n", "own", "summed", "sums")
+
+
 def candidates(text: Column) -> Column:
     """Array of (start, end, kind, value) of the tokens to test.
 
@@ -195,25 +245,23 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     base = F.concat(spans(body, ASSIGN, "assign", 2, 8), spans(body, ACCESS, "access", 0, 16), spans(body, HEX, "hex"))
     tokens = F.transform(candidates(body), lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), battery(x["value"]).alias("b")))
-    tested = stored(docs.select(F.col(doc_id).alias("doc_id"), F.transform(base, lambda x: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).alias("fixed"), tokens.alias("tokens")), "scanned")
-    cuts = thresholds(tested.select(F.explode("tokens").alias("x")).filter("x.b.encoding is not null").select(
-        "x.b.encoding", _band(F.col("x.end") - F.col("x.start")).alias("band"), _step(F.col("x.b.log_p")).alias("step")))
-    # A few encodings times the powers of the length: a table of some hundred rows whatever the collection.
-    least = [v for r in cuts.collect() for v in (F.lit(f"{r['encoding']}:{r['band']}"), F.lit(r["least"]))]
-    limits = F.create_map(*least) if least else F.create_map(F.lit(""), F.lit(0))
-
-    def discovered(x: Column) -> Column:
-        stratum = F.concat_ws(":", x["b"]["encoding"], _band(x["end"] - x["start"]))
-        return (_passes(x["b"]) & (_step(x["b"]["log_p"]) >= F.coalesce(F.try_element_at(limits, stratum), F.lit(10**9)))
-                & ~F.exists("fixed", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-
-    more = F.transform(F.filter("tokens", discovered), lambda x: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
+    found = stored(docs.select(F.col(doc_id).alias("doc_id"), F.transform(base, lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))).alias("fixed"), tokens.alias("tokens"))
+        .withColumn("row", F.monotonically_increasing_id()), "scanned")
+    tested = found.filter(F.size("tokens") > 0).select("row", "fixed", F.explode("tokens").alias("x")).filter("x.b.encoding is not null").select(
+        "row", "fixed", "x", F.col("x.b").alias("b"), F.col("x.b.encoding").alias("encoding"), _band(F.col("x.end") - F.col("x.start")).alias("band"),
+        _passes(F.col("x.b")).alias("passes"))
+    judged = stored(text_chances(tested).withColumn("step", _step(F.col("log_p"))), "judged")
+    cuts = thresholds(judged.select("encoding", "band", "step"))
+    free = ~F.exists("fixed", lambda y: (y["start"] < F.col("x.end")) & (F.col("x.start") < y["end"]))
+    random = (judged.filter(F.col("passes") & free).join(cuts, ["encoding", "band"]).filter(F.col("step") >= F.col("least"))
+              .groupBy(F.col("row").alias("of")).agg(F.collect_list(F.struct("x.start", "x.end", "x.kind")).alias("more")))
+    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    tested = found.drop("tokens").join(random, F.col("row") == F.col("of"), "left").withColumn("more", F.coalesce("more", none))
 
     def number(kind: str) -> Column:
         return F.size(F.filter("fixed", lambda x: x["kind"] == kind)).cast("long")
 
     return tested.select(
         "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
-        _ordered(F.col("fixed")).alias("base"), _ordered(F.concat("fixed", more)).alias("spans"))
+        _ordered(F.col("fixed")).alias("base"), _ordered(F.concat("fixed", "more")).alias("spans"))

@@ -141,7 +141,7 @@ def test_mix_meets_targets(spark):
         sizes[s] += len(t.split())
     want, taken = targets(sizes), Counter()
     for r in got:
-        taken[r["source"]] += r["copies"] * r["size"] * r["m"]
+        taken[r["source"]] += (r["copies"] * r["m"] + r["more"]) * r["size"]
         assert 0 <= r["copies"] <= 3 and r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]]
     for s in sizes:
         assert taken[s] == pytest.approx(want[s], rel=0.01)
@@ -153,6 +153,33 @@ def test_mix_meets_targets(spark):
     assert sorted(mixing.mix(df).collect(), key=str) == sorted(got, key=str)
 
 
+def test_mix_with_a_third_of_a_source_repeated(spark):
+    """Every source within one of its documents of its target, and the rows of the mix are those of the counts."""
+    made = [(1, "w " * 100, "a")] * 300 + [(10 + i, "w " * (50 + i % 60), "a") for i in range(600)]
+    made += [(2000 + i, "v " * 40, "b") for i in range(300)] + [(3, None, "b")] * 50 + [(4, "same size " * 20, "c"), (4, "size same " * 20, "c")] * 40
+    df = spark.createDataFrame(made, "doc_id long, text string, source string")
+    sizes, longest = Counter(), Counter()
+    for _, t, s in made:
+        sizes[s] += len((t or "").split())
+        longest[s] = max(longest[s], len((t or "").split()))
+    want, got = targets(sizes), Counter()
+    rows_ = mixing.taken(df).collect()
+    for r in rows_:
+        got[r["source"]] += r["taken"]
+        assert 0 <= r["copies"] <= 3 and r["taken"] == r["copies"] * r["size"]
+    assert len(rows_) == len(made)
+    for s in sizes:
+        assert abs(got[s] - want[s]) <= longest[s]
+    whole = Counter((r["doc_id"], r["text"], r["source"]) for r in mixing.mixed(df).collect())
+    counted = Counter()
+    for r in mixing.mix(df).collect():
+        counted[r["doc_id"], r["source"], r["size"]] += r["m"] * r["copies"] + r["more"]
+    folded = Counter()
+    for (i, t, s), n in whole.items():
+        folded[i, s, len((t or "").split())] += n
+    assert folded == Counter({k: n for k, n in counted.items() if n})
+
+
 def test_packing(docs, texts):
     from public_tokenizers import path
     from tokenizers import Tokenizer
@@ -210,27 +237,6 @@ def test_base_scores(docs, texts):
         assert r["score"] < 0
 
 
-def test_ppm_is_a_distribution():
-    """Words of a small alphabet, with every continuation of every prefix: chances add up to one."""
-    words = [b"aaa", b"aab", b"abab", b"abcabc", b"b", b"\n"]
-    counts = np.array([5, 1, 2, 1, 4, 2.0])
-    symbols, two, _, starts = ppm.symbols_of(words)
-    third = starts[:-1][np.diff(starts) > 2] + 2
-    each = np.repeat(counts, np.diff(starts))
-    every = np.concatenate([two * ppm.SYMBOLS + symbols, ppm.PREFIXES + two[third] * ppm.SYMBOLS + symbols[third]])
-    codes, where = np.unique(every, return_inverse=True)
-    low = ppm.LowOrders(codes, np.bincount(where, np.concatenate([each, each[third]])))
-    tallies = np.zeros((2, ppm.DEPTHS * ppm.SIZES * ppm.KINDS))
-    ppm.symbol_logs(words, counts, None, tallies=tallies)
-    for escapes in (None, tallies):
-        for prefix in (b"a", b"ab", b"aba", b"abca", b"zz", b"aaa", b"b"):
-            ends = [prefix + bytes([c]) for c in range(256)] + [prefix]
-            logs, starts = ppm.symbol_logs(words + ends, np.concatenate([counts, np.zeros(len(ends))]), low, escapes)
-            at = starts[len(words):-1] + len(prefix)
-            # The end of a text, a symbol no word has, takes what is missing.
-            assert (10 ** logs[at]).sum() == pytest.approx(1, abs=0.02) and (10 ** logs[at]).sum() <= 1 + 1e-9
-
-
 def test_secrets_base_spans(docs, texts):
     assign = re.compile(secrets.ASSIGN)
     for i, r in rows(secrets.scan(docs)).items():
@@ -326,18 +332,6 @@ def test_page_texts(spark):
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
 
 
-def test_template_without_marks(spark):
-    """Pages without telling markup: what all pages of the host share goes, what each says stays."""
-    made = [(i, f"http://h.example/{i}", f"<body><div>The site</div><div><a href=x>Go {i}</a> <a href=y>On</a></div>"
-             f"<section><p>Story {i} begins.</p><p>It ends, {i}.</p></section><div>Imprint</div></body>") for i in range(20)]
-    df = spark.createDataFrame(made, "page_id long, url string, html string")
-    got = {r["page_id"]: r["text"] for r in html_template.extract(df).collect()}
-    assert "The site" not in got[3] and "Imprint" not in got[3]
-    assert got[3].endswith("Story 3 begins.\nIt ends, 3.")
-    few = html_template.extract(df.filter("page_id < 3")).collect()
-    assert all("The site" in r["text"] for r in few)
-
-
 def test_pipeline_against_its_stages(spark, docs):
     current = docs
     for name, stage in corpus_pipeline.STAGES:

@@ -36,11 +36,12 @@ def plain_scores(made, order):
     return out
 
 
-@pytest.mark.parametrize("order,shared", [(6, 1 << 21), (6, 40), (4, 0), (3, 1 << 21)])
-def test_scores_are_those_of_plain_ppm(spark, order, shared):
+@pytest.mark.parametrize("order,shared,unit", [(6, 1 << 21, 1 << 20), (6, 40, 2), (6, 0, 12), (5, 40, 3), (4, 0, 1), (3, 1 << 21, 1)])
+def test_scores_are_those_of_plain_ppm(spark, order, shared, unit):
+    """Also with units split as finely as can be, and some of them."""
     made = [(i, " ".join(f"w{(i * j) % 11} é\n" if j % 5 else f"Tail{i % 4}" for j in range(1, 25))) for i in range(30)] + [(99, None)]
     got = {r["doc_id"]: r["score"] for r in ppm.score(spark.createDataFrame(made, "doc_id long, text string"), order=order,
-                                                      shared_words=5, shared_grams=shared).collect()}
+                                                      shared_words=5, shared_grams=shared, unit_grams=unit).collect()}
     assert got == pytest.approx(plain_scores(made, order))
 
 
