@@ -32,9 +32,9 @@ EDGES = b".,;:!?'\"()-"
 
 
 def _changed(text: str, other: str) -> int:
-    """Characters in which two texts of one length differ."""
-    if len(text) != len(other):
-        return sum(map(str.isupper, text))
+    """Characters of a text that differ from their own lower case; ``other`` is the whole text in lower case."""
+    if len(text) != len(other):  # some character has a lower case of two
+        return sum(c != c.lower() for c in text)
     a, b = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (text, other))
     return int(np.count_nonzero(a != b))
 
@@ -217,7 +217,8 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     Documents whose id falls into fold ``held`` of ``modulus`` are scored and never learned from.
     Of ``labels`` (doc_id, quality) only positives are used; an id with both labels is no positive.
-    A NULL or empty text is scored by its (zero) features. Without a positive every score is 0.5.
+    A NULL or empty text is scored by its (zero) features. Without a positive every score is 0.5. Repeated rows count and are
+    scored each, long texts are read whole, other columns play no part, and an empty table gives no rows.
     """
     table = _table(docs, labels, doc_id, text, fold("doc_id", modulus) == held)
     model = fit(table)

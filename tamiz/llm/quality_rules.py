@@ -7,6 +7,7 @@ its text that way or fails a base rule on the whole text.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -20,12 +21,26 @@ from tamiz.llm.common import append_columns
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
-#: Short menu labels and phrases of page furniture, lower case.
-MENU_WORDS = frozenset({"home", "menu", "login", "logout", "register", "search", "next", "previous", "prev", "back",
-                        "top", "contact", "about", "help", "sitemap", "faq", "share", "print", "more", "skip", "cart"})
-PHRASES = ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy",
-           "accept cookies", "enable javascript", "javascript is disabled", "sign up for our newsletter",
-           "subscribe to our newsletter", "click here to", "skip to content", "back to top", "powered by")
+#: Short menu labels and phrases of page furniture by language, lower case. Both are parameters of :class:`LineRules`: give others
+#: for other languages.
+MENU_WORDS = {
+    "en": "home menu login logout register search next previous prev back top contact about help sitemap faq share print more skip cart",
+    "es": "inicio menú buscar siguiente anterior volver arriba contacto acerca ayuda mapa compartir imprimir más carrito entrar salir registro",
+    "fr": "accueil menu rechercher suivant précédent retour haut contact propos aide plan partager imprimer plus panier connexion inscription",
+    "de": "startseite menü suche weiter zurück nach oben kontakt über hilfe übersicht teilen drucken mehr warenkorb anmelden abmelden "
+          "registrieren impressum datenschutz",
+}
+PHRASES = {
+    "en": ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies",
+           "enable javascript", "javascript is disabled", "sign up for our newsletter", "subscribe to our newsletter",
+           "click here to", "skip to content", "back to top", "powered by"),
+    "es": ("todos los derechos reservados", "aviso legal", "términos de uso", "condiciones de uso", "política de privacidad",
+           "política de cookies", "aceptar cookies", "active javascript", "suscríbete a", "haga clic aquí", "saltar al contenido"),
+    "fr": ("tous droits réservés", "mentions légales", "conditions d'utilisation", "politique de confidentialité",
+           "politique de cookies", "accepter les cookies", "activer javascript", "abonnez-vous", "cliquez ici", "aller au contenu"),
+    "de": ("alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookie-richtlinie", "cookies akzeptieren",
+           "javascript aktivieren", "newsletter abonnieren", "klicken sie hier", "zum inhalt springen", "nach oben scrollen"),
+}
 SEPARATOR = re.compile(r"\s[|»›•·>]\s|[|»›•]")
 
 
@@ -44,6 +59,13 @@ class LineRules:
     lost_share: float = 0.5
     min_words: int = 20
     repeat_percent: int = 30
+    menu_words: frozenset[str] = frozenset(w for words in MENU_WORDS.values() for w in words.split())
+    phrases: tuple[str, ...] = tuple(p for some in PHRASES.values() for p in some)
+
+    @functools.cached_property
+    def furniture(self) -> re.Pattern:
+        """Any of the phrases; nothing if there are none."""
+        return re.compile("|".join(map(re.escape, self.phrases)) if self.phrases else r"(?!)")
 
 
 RULES = LineRules()
@@ -57,7 +79,7 @@ def line_fault(line: str, words: list[str], rules: LineRules = RULES) -> str | N
     cells = [c for c in SEPARATOR.split(line) if c.strip()]
     if len(cells) >= rules.menu_cells and max(len(c.split()) for c in cells) <= 3:
         return "navigation"
-    if n <= 12 and sum(w.strip(".,:;|»›•-").lower() in MENU_WORDS for w in words) > 0.6 * n:
+    if n <= 12 and sum(w.strip(".,:;|»›•-").lower() in rules.menu_words for w in words) > 0.6 * n:
         return "navigation"
     symbols = sum(line.count(c) for c in SYMBOLS)
     if symbols >= 3 and symbols > rules.symbols_per_word * n:
@@ -69,7 +91,7 @@ def line_fault(line: str, words: list[str], rules: LineRules = RULES) -> str | N
             return "repetition"
     if n >= rules.unpunctuated_words and not any(c in line for c in ".,;:!?…。，！？؟،।"):
         return "punctuation"
-    if n <= rules.boilerplate_words and any(p in line.lower() for p in PHRASES):
+    if n <= rules.boilerplate_words and rules.furniture.search(line.lower()):
         return "boilerplate"
     return None
 
@@ -150,7 +172,8 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: LineRules = RULES)
     """``docs`` with the columns of :data:`FIELDS`; one row for each row, in one pass, without a shuffle.
 
     A NULL text counts as empty and fails the base rule on words. Repeated rows are judged each
-    for themselves. Columns named like a new one are replaced.
+    for themselves, and so are texts that tie in every count. Long texts are judged whole; an empty table gives no rows. Columns named
+    like a new one are replaced.
     """
     return append_columns(docs, text, FIELDS, lambda texts: list(zip(*(judge(t, rules) for t in texts))))
 
