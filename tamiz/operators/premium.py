@@ -12,19 +12,19 @@ from tamiz.functions.percent import change_pct
 from tamiz.functions.periods import period_date
 from tamiz.mappings import with_category
 from tamiz.model import COMMISSION, PREMIUM
-from tamiz.operators.universe import in_window, universe
+from tamiz.operators.universe import SCOPE, Scope, in_window, universe
 
 MEASURES = ("movimientos", "polizas", "prima_neta", "prima_emitida", "prima_anulada", "comision")
 
 
 def premium_by_category(df: DataFrame, as_of: date, mapping: DataFrame | None = None, *, months: int = 36,
-                        periods: Sequence[int] | None = None) -> DataFrame:
+                        periods: Sequence[int] | None = None, scope: Scope = SCOPE) -> DataFrame:
     """Net premium by month and business category.
 
     Products are summed first and looked up afterwards: the category join handles one row
     per period and product code instead of one per movement.
     """
-    by_product = (in_window(universe(df), as_of, months, periods)
+    by_product = (in_window(universe(df, scope), as_of, months, periods)
                   .groupBy("accountable_period", F.trim("product_code").alias("product_code"))
                   .agg(F.sum(PREMIUM).alias("prima_neta")))
     return (with_category(by_product, mapping)
@@ -37,7 +37,7 @@ def _or_zero(amount):
 
 
 def premium_by_source(df: DataFrame, as_of: date, *, months: int = 36,
-                      periods: Sequence[int] | None = None) -> DataFrame:
+                      periods: Sequence[int] | None = None, scope: Scope = SCOPE) -> DataFrame:
     """Movements, distinct policies, net, issued and cancelled premium and commission.
 
     Amounts and distinct policies are separate aggregates: together, every policy would
@@ -46,7 +46,7 @@ def premium_by_source(df: DataFrame, as_of: date, *, months: int = 36,
     wait for the other (dynamic pruning) for nothing.
     """
     amount = F.col(PREMIUM)
-    measured = in_window(universe(df), as_of, months, periods).withColumnRenamed(
+    measured = in_window(universe(df, scope), as_of, months, periods).withColumnRenamed(
         "accountable_period", "periodo_contable")
     keys = ["periodo_contable", "source_system"]
     amounts = measured.groupBy(*keys).agg(
@@ -66,9 +66,9 @@ def premium_by_period(by_source: DataFrame) -> DataFrame:
 
 
 def distinct_policies(df: DataFrame, as_of: date, *, months: int = 36,
-                      periods: Sequence[int] | None = None) -> DataFrame:
+                      periods: Sequence[int] | None = None, scope: Scope = SCOPE) -> DataFrame:
     """Policies of each period counted once across sources."""
-    return (in_window(universe(df), as_of, months, periods)
+    return (in_window(universe(df, scope), as_of, months, periods)
             .groupBy(F.col("accountable_period").alias("periodo_contable"))
             .agg(F.count_distinct("policy_number").alias("polizas")))
 

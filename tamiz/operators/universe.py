@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,21 +13,35 @@ from pyspark.sql import functions as F
 from tamiz.functions.periods import date_key, days_back, months_back, period_date, period_floor, period_of
 from tamiz.rules import AS400, IAXIS, UNIFIED_TOTAL
 
-EXCLUDED_COVERAGE = "8888"
+@dataclass(frozen=True)
+class Scope:
+    """What is measured: coverages left out, and the sources with the receipt types that each is measured without."""
 
+    excluded_coverages: tuple[str, ...] = ("8888",)
+    sources: tuple[tuple[str, tuple[str, ...]], ...] = ((IAXIS, (UNIFIED_TOTAL,)), (AS400, ()))
 
-def universe(df: DataFrame) -> DataFrame:
-    """Current rows with premium, without the excluded coverage or iaxis unified totals.
 
-    Each condition is a plain comparison, so all but the OR reach the Parquet scan. A
-    comparison with NULL is not true and drops the row.
+SCOPE = Scope()
+
+
+def _none_of(column: str, values: Sequence[str]) -> Column:
+    """Plain comparisons for one value, so the test of a common scope reaches the scan as it is."""
+    return F.col(column) != values[0] if len(values) == 1 else ~F.col(column).isin(list(values))
+
+
+def universe(df: DataFrame, scope: Scope = SCOPE) -> DataFrame:
+    """Current rows with premium, of the sources and without the coverages and receipt types of ``scope``.
+
+    By default without coverage 8888 and the unified totals of iaxis. Each condition is a plain comparison, so all but the
+    OR reach the Parquet scan. A comparison with NULL is not true and drops the row.
     """
-    return df.filter(
-        (F.col("current_record_flag") == 1)
-        & (F.col("coverage_code") != EXCLUDED_COVERAGE)
-        & (F.col("transaction_delta_billed_premium_amount") != 0)
-        & (((F.col("source_system") == IAXIS) & (F.col("receipt_type") != UNIFIED_TOTAL))
-           | (F.col("source_system") == AS400)))
+    kept = (F.col("current_record_flag") == 1)
+    if scope.excluded_coverages:
+        kept = kept & _none_of("coverage_code", scope.excluded_coverages)
+    kept = kept & (F.col("transaction_delta_billed_premium_amount") != 0)
+    of_source = [(F.col("source_system") == name) & _none_of("receipt_type", types) if types else F.col("source_system") == name
+                 for name, types in scope.sources]
+    return df.filter(kept & (reduce(Column.__or__, of_source) if of_source else F.lit(False)))
 
 
 def since_months(df: DataFrame, as_of: date, months: int = 36, *, period: str = "accountable_period") -> DataFrame:

@@ -14,7 +14,7 @@ from tamiz.model import CUBE_SCHEMA
 from tamiz.operators.availability import availability_month, availability_rule4
 from tamiz.operators.counts import rule_report
 from tamiz.operators.uniqueness import uniqueness
-from tamiz.operators.universe import in_window, universe
+from tamiz.operators.universe import SCOPE, Scope, in_window, universe
 from tamiz.rules import Rule, default_rules
 
 CUBE_COLUMNS = CUBE_SCHEMA.fieldNames()
@@ -28,7 +28,7 @@ def with_calc_ts(df: DataFrame, stamp: datetime | None = None) -> DataFrame:
 
 def quality_cube(df: DataFrame, as_of: date, *, months: int = 36, periods: Sequence[int] | None = None,
                  malformed: bool = False, rules: Sequence[Rule] | None = None, nulls: str = "group",
-                 month_availability: bool = True, stamp: datetime | None = None) -> DataFrame:
+                 month_availability: bool = True, stamp: datetime | None = None, scope: Scope = SCOPE) -> DataFrame:
     """Rule counts, uniqueness and availability with labels, as one lazy plan.
 
     Covers the last ``months``, or ``periods`` when given (plus every malformed period
@@ -40,7 +40,7 @@ def quality_cube(df: DataFrame, as_of: date, *, months: int = 36, periods: Seque
     columns again is cheaper. Only the key count shuffles data in proportion to the fact.
     """
     rules = default_rules() if rules is None else rules
-    measured = in_window(universe(df), as_of, months, periods, malformed=malformed)
+    measured = in_window(universe(df, scope), as_of, months, periods, malformed=malformed)
     parts = [
         rule_report(measured, rules),
         uniqueness(measured, nulls=nulls),

@@ -37,6 +37,17 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder of this application's scratch tables."""
+    return f"{shared_folder(spark)}/tamiz-{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path under this application's scratch folder."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application. Results that have not been written elsewhere may still read them, so it comes last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

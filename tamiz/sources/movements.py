@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tamiz.functions.periods import period_date
 from tamiz.model import MOVEMENT_SCHEMA, conform
 
+PERIOD, GIVEN = "accountable_period", "accountable_period_given"
+#: The partition of every period that is no month; such a row keeps the value it came with in GIVEN.
+MALFORMED = 0
+
 
 def movements(df: DataFrame) -> DataFrame:
     """The measured columns of a fact, with the declared types."""
@@ -16,9 +22,17 @@ def read_movements(spark: SparkSession, path: str) -> DataFrame:
     """Movements stored as Parquet, best partitioned by ``accountable_period``.
 
     Columns that already have the declared type are not touched, so period filters prune
-    partitions and the other filters reach the row groups.
+    partitions and the other filters reach the row groups. Malformed periods that ``write_movements`` put in
+    one partition get their values back; they are a read of their own, so the months are pruned as ever.
     """
-    return movements(spark.read.parquet(path))
+    stored = spark.read.parquet(path)
+    if GIVEN not in stored.columns:
+        return movements(stored)
+    malformed = stored.filter(F.col(PERIOD) == MALFORMED)
+    months = movements(stored.filter(F.coalesce(F.col(PERIOD) != MALFORMED, F.lit(True))))
+    if malformed.isEmpty():
+        return movements(stored)
+    return months.unionByName(movements(malformed.drop(PERIOD).withColumnRenamed(GIVEN, PERIOD)))
 
 
 def read_movement_table(spark: SparkSession, table: str) -> DataFrame:
@@ -30,7 +44,10 @@ def write_movements(df: DataFrame, path: str) -> None:
 
     The rebalance gathers each period before writing, so files are few; a period that is
     too large is split at run time, a hundred tiny ones are merged. Rows are sorted by day within a
-    file, so filters on the date key skip row groups.
+    file, so filters on the date key skip row groups. Periods that are no months share one partition, however many
+    there are.
     """
-    dealt = df.hint("rebalance", "accountable_period").sortWithinPartitions("accountable_period", "transaction_date_sk")
-    dealt.write.partitionBy("accountable_period").parquet(path)
+    bad = F.col(PERIOD).isNotNull() & period_date(PERIOD).isNull()
+    given = df.withColumn(GIVEN, F.when(bad, F.col(PERIOD))).withColumn(PERIOD, F.when(bad, MALFORMED).otherwise(F.col(PERIOD)))
+    dealt = given.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, "transaction_date_sk")
+    dealt.write.partitionBy(PERIOD).parquet(path)

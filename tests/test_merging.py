@@ -1,16 +1,18 @@
 """Versions that survive a dead write, and results kept by merging loads."""
 
 import pytest
+import tamiz.session
 from pyspark.sql import functions as F
 
 from tamiz.operators import distinct
 from tamiz.operators.uniqueness import uniqueness
-from tamiz.operators.universe import universe
+from tamiz.operators.universe import Scope, universe
 from tamiz.plans import refresh, state
 from tamiz.plans.cube import quality_cube
-from tamiz.session import work_path
+from tamiz.session import drop_scratch, scratch_folder, work_path
 from tamiz.sinks.snapshot import recover, root_of, snapshot
 from tamiz.sinks.versions import SLOTS, newest, read_version, slot_path, write_version
+from tamiz.sources.movements import read_movements, write_movements
 from tests.test_io import AS_OF, STAMP, two_months
 from tests.test_plans import plan
 
@@ -112,3 +114,43 @@ def test_bitmaps_count_over_any_group(spark):
     assert got["trimestre", 202401] == got["año", 202401] == len({k for q, _, k in known if q < 999999}) and len(got) == 6
     by_source = {r.source_system: r.polizas for r in distinct.count_distinct_of(maps, ["source_system"]).collect()}
     assert by_source == {s: len({k for _, t, k in known if t == s}) for s in "ab"}
+
+
+def test_bad_periods_share_a_partition(spark, facts, tmp_path, rows):
+    bad = facts(*[{"accountable_period": 9_000_000 + i, "policy_transaction_movement_sk": i} for i in range(10_000)])
+    df = two_months(facts).unionByName(bad).unionByName(facts({"accountable_period": 0}, {"accountable_period": None}))
+    path = str(tmp_path / "fact")
+    write_movements(df, path)
+    folders = [p.name for p in (tmp_path / "fact").glob("accountable_period=*")]
+    assert sorted(folders) == sorted(["accountable_period=0", "accountable_period=202401", "accountable_period=202402", "accountable_period=__HIVE_DEFAULT_PARTITION__"])
+    back = read_movements(spark, path)
+    assert rows(back.groupBy("accountable_period").count()) == rows(df.groupBy("accountable_period").count())
+    months = back.filter("accountable_period = 202401")
+    assert rows(months) == rows(df.filter("accountable_period = 202401"))
+    assert "PartitionFilters: [isnotnull(accountable_period" in plan(months)
+
+
+def test_scope_is_data(facts):
+    df = facts({}, {"coverage_code": "8888"}, {"coverage_code": "77"}, {"source_system": "CO_new"}, {"receipt_type": "unificado-total"})
+    assert universe(df).count() == 2
+    own = Scope(excluded_coverages=("77",), sources=(("CO_new", ()), ("CO_iaxis", ())))
+    assert universe(df, own).count() == 4
+    assert universe(df, Scope(excluded_coverages=(), sources=())).count() == 0
+
+
+def test_scratch_is_dropped(spark):
+    session = spark.newSession()
+    path = work_path(session, "gone")
+    spark.range(3).write.parquet(path)
+    assert path.startswith(scratch_folder(session)) and spark.read.parquet(path).count() == 3
+    other = path.rsplit("/", 1)[0] + "-other"
+    spark.range(3).write.parquet(other)
+    before = scratch_folder
+    try:
+        tamiz.session.scratch_folder = lambda s: path
+        drop_scratch(session)
+    finally:
+        tamiz.session.scratch_folder = before
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert spark.read.parquet(other).count() == 3

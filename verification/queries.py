@@ -362,6 +362,19 @@ def loose_types(m: DataFrame) -> DataFrame:
         F.count_if(F.isnull("load_ts")).alias("carga_ausente"))
 
 
+def many_bad_periods(m: DataFrame) -> DataFrame:
+    """The fact with thousands of periods that are no months, stored and read back, counted by period."""
+    spark = m.sparkSession
+    path = work_path(spark, "fact")
+    period = F.col("accountable_period")
+    bad = F.col("policy_transaction_movement_sk") % 3 == 0
+    write_movements(m.withColumn("accountable_period", F.when(bad, (9_000_000 + F.col("transaction_date_sk") % 1_000_000).cast("int")).otherwise(period)), path)
+    return (read_movements(spark, path).groupBy("accountable_period").agg(F.count(F.lit(1)).alias("registros"), F.min("transaction_date_sk").alias("primera")))
+
+
+OWN_SCOPE = un.Scope(excluded_coverages=("8888", "3114"), sources=(("CO_iaxis", ("unificado-total", "not-unificado")), ("CO_as400", ())))
+
+
 def refresh_after_correction(m: DataFrame) -> DataFrame:
     """Rows of the stored cube by period, after the malformed periods of the source were corrected."""
     spark = m.sparkSession
@@ -418,6 +431,8 @@ def queries() -> dict[str, Query]:
         "universe": _on_fact(lambda m: un.universe(m).select(
             "policy_transaction_movement_sk", "source_system", "accountable_period", "coverage_code", "receipt_type",
             "transaction_delta_billed_premium_amount")),
+        "universe_own_scope": _on_fact(lambda m: un.universe(m, OWN_SCOPE).groupBy(
+            "accountable_period", "source_system", "coverage_code", "receipt_type").agg(F.count(F.lit(1)).alias("registros"))),
         "window_months": _on_fact(lambda m: _windowed(m).groupBy("accountable_period").agg(
             F.count(F.lit(1)).alias("registros"))),
         "window_days": _on_fact(lambda m: un.since_days(m, AS_OF, 90).groupBy("transaction_date_sk").agg(
@@ -543,6 +558,7 @@ def queries() -> dict[str, Query]:
         "reconcile_row_counts": _on_tables(reconcile_row_counts),
         "mapping_conflicts": _on_tables(mapping_conflicts),
         "loose_types": _on_fact(loose_types),
+        "many_bad_periods": _on_fact(many_bad_periods),
         "refresh_after_correction": _on_fact(refresh_after_correction),
         # mappings
         "unmapped_products": _on_fact(profile.unmapped_products),
