@@ -132,6 +132,12 @@ def _fits(have: T.DataType, want: T.DataType) -> bool:
     return have == want
 
 
+def loose_columns(df: DataFrame, schema: T.StructType) -> list[T.StructField]:
+    """Declared columns that arrive with another type, so that a value may be there and not be readable."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return [f for f in schema.fields if f.name in have and not _fits(have[f.name], f.dataType)]
+
+
 def conform(df: DataFrame, schema: T.StructType, *, missing_as_null: bool = False) -> DataFrame:
     """Select the columns of ``schema`` in order, casting only where the type differs.
 

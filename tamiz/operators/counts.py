@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.functions.percent import mean_pct, pct
-from tamiz.model import ACCURACY
+from tamiz.model import ACCURACY, COMPLETENESS, MOVEMENT_SCHEMA, VALIDITY, loose_columns
 from tamiz.rules import Rule
 
 TOTAL_NAMES = {ACCURACY: "TOTAL"}
@@ -78,6 +79,30 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], by: str = "accountable_per
     return with_totals(with_pct(to_long(rule_counts(df, rules, by), rules, by)))
 
 
+def loose_report(raw: DataFrame, schema: T.StructType = MOVEMENT_SCHEMA, by: str = "accountable_period") -> DataFrame:
+    """Absent and unreadable values of the columns of ``raw`` that arrive with another type than declared.
+
+    A report on the fact as it came, before ``conform`` makes both NULL: a value that is not there is a fault of completeness,
+    one that is there and cannot be read as its type ('n/a') a fault of validity. Two rows for each column and period,
+    with the columns of ``rule_report``; one aggregate, as for the rules.
+    """
+    loose = [f for f in loose_columns(raw, schema) if f.name != by]
+    period = F.col(by).try_cast(schema[by].dataType)
+    counted, rows = [], []
+    for f in loose:
+        value = F.col(f.name)
+        absent, unreadable = f"{COMPLETENESS}__{f.name}", f"{VALIDITY}__{f.name}"
+        counted += [F.count_if(value.isNull()).alias(absent), F.count_if(value.isNotNull() & value.try_cast(f.dataType).isNull()).alias(unreadable)]
+        rows += [F.struct(F.lit(d).alias("tipo_indicador"), F.lit(f.name).alias("nombre_campo"), F.col(c).alias("cantidad_mala"))
+                 for d, c in ((COMPLETENESS, absent), (VALIDITY, unreadable))]
+    if not rows:
+        rows = [F.struct(F.lit("").alias("tipo_indicador"), F.lit("").alias("nombre_campo"), F.lit(0).cast("bigint").alias("cantidad_mala"))]
+        raw = raw.limit(0)
+    wide = raw.groupBy(period.alias("periodo_contable")).agg(F.count(F.lit(1)).alias("total_registros"), *counted)
+    return with_pct(wide.select("periodo_contable", "total_registros", F.inline(F.array(*rows)))).select(
+        "periodo_contable", "tipo_indicador", "nombre_campo", "total_registros", "cantidad_mala", "porcentaje", F.lit(0).alias("es_total"))
+
+
 def masked_report(measured: DataFrame, rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Bad rows of each rule among the ``measured`` rows and among all ``rows``.
 

@@ -5,6 +5,7 @@ import tamiz.session
 from pyspark.sql import functions as F
 
 from tamiz.operators import distinct
+from tamiz.operators.counts import loose_report
 from tamiz.operators.uniqueness import uniqueness
 from tamiz.operators.universe import Scope, universe
 from tamiz.plans import refresh, state
@@ -154,3 +155,15 @@ def test_scratch_is_dropped(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
     assert spark.read.parquet(other).count() == 3
+
+
+def test_absent_and_unreadable_values(spark):
+    raw = spark.createDataFrame([("202401", "1", None), ("202401", "S", "n/a"), ("202402", None, "2024-01-01 05:00:00"), ("2024x", "x", "")],
+                                "accountable_period string, current_record_flag string, load_ts string")
+    got = {(r["periodo_contable"], r["tipo_indicador"], r["nombre_campo"]): (r["total_registros"], r["cantidad_mala"]) for r in loose_report(raw).collect()}
+    assert got[202401, "completitud", "current_record_flag"] == (2, 0) and got[202401, "validez", "current_record_flag"] == (2, 1)
+    assert got[202401, "completitud", "load_ts"] == (2, 1) and got[202401, "validez", "load_ts"] == (2, 1)
+    assert got[202402, "completitud", "current_record_flag"] == (1, 1) and got[202402, "validez", "load_ts"] == (1, 0)
+    assert got[None, "validez", "load_ts"] == (1, 1) and len(got) == 12
+    typed = spark.createDataFrame([(1,)], "accountable_period int")
+    assert loose_report(typed).count() == 0

@@ -352,12 +352,15 @@ def mapping_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.mapping_drift(left, left.filter("p_size % 5 <> 0"), "ramo", "categoria")
 
 
-def loose_types(m: DataFrame) -> DataFrame:
+def _loose(m: DataFrame) -> DataFrame:
     """Flags and times that arrive as text, some of which cannot be read."""
     def spoilt(name: str, digit: int, value: str):
         return F.when(F.col("branch_sk") % 10 == digit, value).otherwise(F.col(name).cast("string"))
-    raw = m.withColumns({"current_record_flag": spoilt("current_record_flag", 3, "S"), "load_ts": spoilt("load_ts", 4, "n/a")})
-    return conform_movements(raw).groupBy("accountable_period").agg(
+    return m.withColumns({"current_record_flag": spoilt("current_record_flag", 3, "S"), "load_ts": spoilt("load_ts", 4, "n/a")})
+
+
+def loose_types(m: DataFrame) -> DataFrame:
+    return conform_movements(_loose(m)).groupBy("accountable_period").agg(
         F.count(F.lit(1)).alias("registros"), F.count_if(F.isnull("current_record_flag")).alias("marca_ausente"),
         F.count_if(F.isnull("load_ts")).alias("carga_ausente"))
 
@@ -558,6 +561,7 @@ def queries() -> dict[str, Query]:
         "reconcile_row_counts": _on_tables(reconcile_row_counts),
         "mapping_conflicts": _on_tables(mapping_conflicts),
         "loose_types": _on_fact(loose_types),
+        "loose_report": _on_fact(lambda m: counts.loose_report(_loose(m))),
         "many_bad_periods": _on_fact(many_bad_periods),
         "refresh_after_correction": _on_fact(refresh_after_correction),
         # mappings
