@@ -292,7 +292,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     Two rows are linked if the Jaccard similarity of their shingle sets is ``threshold`` or more. A
     class is what links connect, named by its least doc_id; ``n_links`` counts the other rows linked
     to a row, copies included. A row without a word (NULL, empty or white space) is linked to none and
-    is a class of its own. Repeated rows are copies. An empty table gives no rows.
+    is a class of its own. Repeated rows are copies. Long texts are compared by all their shingles, columns of other
+    names play no part, and an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     runs = runs_needed(threshold, recall, depth)

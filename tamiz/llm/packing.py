@@ -168,8 +168,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
     """Pieces of all documents and their places in sequences of at most ``capacity`` tokens.
 
     A document is its ids and one end token; longer ones than ``capacity`` are cut. A NULL or empty
-    text is the end token alone. Repeated rows are packed as often as they come. An empty table
-    gives no rows. Only lengths and checksums are shuffled.
+    text is the end token alone. Repeated rows are packed as often as they come, pieces that tie in order are equal. Long texts are
+    tokenized whole, other columns play no part, and an empty table gives no rows. Only lengths and checksums are shuffled.
     """
     pieces = stored(tokenized(docs, doc_id, text, capacity, vocabulary), "pieces")
     return packed(pieces, capacity, open_bins, tokens_per_packer)
