@@ -250,15 +250,14 @@ def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> Data
     """gram, seen, log10p. A task holds one unit at a time, and some small ones together."""
     shared = counted.sparkSession.sparkContext.broadcast(shorter_counts(counted, order))
     rows, tables = split_units(counted, order, most)
-    names = ("unit", "level", "depth", "gram", "n", "seen")
-    rows = rows.select("unit", "level", F.lit(0).alias("depth"), "gram", "n", "seen")
-    if tables is not None:
-        # A unit's tables come before its grams.
-        rows = rows.unionByName(tables.select("unit", "level", (F.col("depth") - order).alias("depth"), F.col("symbol").alias("gram"), "n",
-                                              F.lit(0).cast("long").alias("seen")))
-
-    def code(columns: list[np.ndarray]) -> pa.RecordBatch:
-        unit, level, depth, gram, n, seen = columns
+
+    def plain(columns: list[np.ndarray]) -> pa.RecordBatch:
+        gram, n, seen = columns
+        logs = gram_logs(gram, n.astype(np.float64), shared.value, order)
+        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(seen), pa.array(logs)], names=["gram", "seen", "log10p"])
+
+    def split(columns: list[np.ndarray]) -> pa.RecordBatch:
+        gram, n, seen, unit, level, depth = columns
         out = np.zeros(len(gram))
         for at in np.unique(level).tolist():
             told = np.flatnonzero((level == at) & (depth < 0))
@@ -276,34 +275,43 @@ def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> Data
         grams = depth == 0
         return pa.RecordBatch.from_arrays([pa.array(gram[grams]), pa.array(seen[grams]), pa.array(out[grams])], names=["gram", "seen", "log10p"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        size, last = 0, None
-
-        def coded() -> pa.RecordBatch:
-            return code([np.concatenate(x) for x in zip(*held)])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(c).to_numpy() for c in names]
-            key = columns[0] * 8 + columns[1]
-            # Rows are put together once, when what is held ends with a whole unit and is long enough.
-            other = np.flatnonzero(key != key[-1])
-            cut = int(other[-1]) + 1 if len(other) else 0
-            if held and (cut or key[0] != last) and size + cut >= CODED:
-                if cut:
-                    held.append([c[:cut] for c in columns])
-                    columns = [c[cut:] for c in columns]
-                yield coded()
-                held, size = [], 0
-            held.append(columns)
-            size, last = size + len(columns[0]), key[-1]
-        if held:
-            yield coded()
-
-    return (rows.repartition("unit").sortWithinPartitions("level", "unit", "depth", "gram").select(*names)
-            .mapInArrow(run, "gram long, seen long, log10p double"))
+    def coded(names: tuple[str, ...], key, code):
+        """A task: rows are put together once, when what is held ends with a whole unit and is long enough."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[list[np.ndarray]] = []
+            size, last = 0, None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                columns = [batch.column(c).to_numpy() for c in names]
+                unit = key(columns)
+                other = np.flatnonzero(unit != unit[-1])
+                cut = int(other[-1]) + 1 if len(other) else 0
+                if held and (cut or unit[0] != last) and size + cut >= CODED:
+                    if cut:
+                        held.append([c[:cut] for c in columns])
+                        columns = [c[cut:] for c in columns]
+                    yield code([np.concatenate(x) for x in zip(*held)])
+                    held, size = [], 0
+                held.append(columns)
+                size, last = size + len(columns[0]), unit[-1]
+            if held:
+                yield code([np.concatenate(x) for x in zip(*held)])
+
+        return run
+
+    schema = "gram long, seen long, log10p double"
+    if tables is None:
+        near = 8 * (order + 1 - BRANCH)
+        return (counted.repartition("branch").sortWithinPartitions("gram").select("gram", "n", "seen")
+                .mapInArrow(coded(("gram", "n", "seen"), lambda columns: columns[0] >> near, plain), schema))
+    names = ("gram", "n", "seen", "unit", "level", "depth")
+    # A unit's tables come before its grams.
+    together = rows.withColumn("depth", F.lit(0)).select(*names).unionByName(tables.select(
+        F.col("symbol").alias("gram"), "n", F.lit(0).cast("long").alias("seen"), "unit", "level", (F.col("depth") - order).alias("depth")))
+    return (together.repartition("unit").sortWithinPartitions("level", "unit", "depth", "gram")
+            .mapInArrow(coded(names, lambda columns: columns[3] * 8 + columns[4], split), schema))
 
 
 class Table:
