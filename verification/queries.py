@@ -160,12 +160,15 @@ def _explained(m: DataFrame) -> DataFrame:
         F.col("predicado").contains(F.col("nombre_campo")).alias("con_predicado"))
 
 
-def premium_csv(m: DataFrame) -> DataFrame:
-    spark = m.sparkSession
-    path = work_path(spark, "premium-csv")
-    source = _by_source(m)
+def _through_csv(source: DataFrame) -> DataFrame:
+    """Written as CSV and read back."""
+    path = work_path(source.sparkSession, "csv")
     export_csv(source, path)
-    return spark.read.schema(source.schema).option("header", True).csv(path)
+    return source.sparkSession.read.schema(source.schema).option("header", True).csv(path)
+
+
+def premium_csv(m: DataFrame) -> DataFrame:
+    return _through_csv(_by_source(m))
 
 
 def alerts_json(m: DataFrame) -> DataFrame:
@@ -419,6 +422,9 @@ def queries() -> dict[str, Query]:
         "partitioned_fact": _on_fact(partitioned_fact),
         "mapping_csv": _on_tables(mapping_csv),
         "premium_csv": _on_fact(premium_csv),
+        "cube_csv": _on_fact(lambda m: _through_csv(_cube(m))),
+        "mom_csv": _on_fact(lambda m: _through_csv(premium.mom_total(_by_category(m)))),
+        "mom_by_category_csv": _on_fact(lambda m: _through_csv(premium.mom_by_category(_by_category(m)))),
         "alerts_json": _on_fact(alerts_json),
         "snapshot_cube": _on_fact(lambda m: _snapshot(_cube(m), "cube", CUBE_SCHEMA)),
         "snapshot_alerts": _on_fact(lambda m: _snapshot(_alerts(m), "alerts", ALERT_SCHEMA)),
