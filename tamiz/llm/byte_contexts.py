@@ -29,6 +29,8 @@ SHARED_GRAMS = 1 << 21
 TAKEN, COUNTED, CODED = 1 << 20, 1 << 22, 200_000
 #: Grams looked up at once: what they touch stays in a core's cache.
 LOOKED_UP = 1 << 15
+#: Bytes of text whose grams go to one task, about.
+PART_BYTES = 1 << 24
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,8 +51,17 @@ def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return packed[within], starts
 
 
-def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: int) -> DataFrame:
-    """branch, gram, n, seen: every gram, with its count in the documents to learn from and in all."""
+def parts_of(docs: DataFrame, text: str) -> int:
+    """Tasks that grams are dealt to: their rows follow the text, so each has about as many however long it all is."""
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return max(1, -(-size // PART_BYTES))
+
+
+def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: int, parts: int) -> DataFrame:
+    """branch, gram, n, seen: every gram, with its count in the documents to learn from and in all.
+
+    A task folds its grams before it sends them, so they are dealt at once and counted where they arrive.
+    """
 
     def fold(held: list) -> list:
         gram, n, seen = (np.concatenate(x) for x in zip(*held))
@@ -95,7 +106,7 @@ def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: in
             yield from send(held)
 
     return (docs.select(F.col(text).alias("text"), learned.alias("learn"))
-            .mapInArrow(run, "branch long, gram long, n long, seen long")
+            .mapInArrow(run, "branch long, gram long, n long, seen long").repartition(parts, "gram")
             .groupBy("branch", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")))
 
 
@@ -246,7 +257,7 @@ def split_units(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> tuple
     return rows, tables
 
 
-def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> DataFrame:
+def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS, parts: int = 1) -> DataFrame:
     """gram, seen, log10p. A task holds one unit at a time, and some small ones together."""
     shared = counted.sparkSession.sparkContext.broadcast(shorter_counts(counted, order))
     rows, tables = split_units(counted, order, most)
@@ -304,13 +315,13 @@ def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS) -> Data
     schema = "gram long, seen long, log10p double"
     if tables is None:
         near = 8 * (order + 1 - BRANCH)
-        return (counted.repartition("branch").sortWithinPartitions("gram").select("gram", "n", "seen")
+        return (counted.repartition(parts, "branch").sortWithinPartitions("gram").select("gram", "n", "seen")
                 .mapInArrow(coded(("gram", "n", "seen"), lambda columns: columns[0] >> near, plain), schema))
     names = ("gram", "n", "seen", "unit", "level", "depth")
     # A unit's tables come before its grams.
     together = rows.withColumn("depth", F.lit(0)).select(*names).unionByName(tables.select(
         F.col("symbol").alias("gram"), "n", F.lit(0).cast("long").alias("seen"), "unit", "level", (F.col("depth") - order).alias("depth")))
-    return (together.repartition("unit").sortWithinPartitions("level", "unit", "depth", "gram")
+    return (together.repartition(parts, "unit").sortWithinPartitions("level", "unit", "depth", "gram")
             .mapInArrow(coded(names, lambda columns: columns[3] * 8 + columns[4], split), schema))
 
 

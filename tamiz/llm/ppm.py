@@ -91,8 +91,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     words = stored(vocabulary(docs, text, outside), "vocabulary")
     tokens, kinds = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     tokens, kinds = tokens or 0, kinds or 0
-    counted = stored(byte_contexts.count_grams(docs, text, outside, lines_of, order), "grams")
-    scored = stored(byte_contexts.scored_grams(counted, order, unit_grams), "scored-grams")
+    parts = byte_contexts.parts_of(docs, text)
+    counted = stored(byte_contexts.count_grams(docs, text, outside, lines_of, order, parts), "grams")
+    scored = stored(byte_contexts.scored_grams(counted, order, unit_grams, parts), "scored-grams")
     common = words.filter(F.octet_length("word") <= SHARED_BYTES).orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
     table = {w: (c > 0, float(np.log10(c + 1))) for w, c in zip(
         common.column("word").to_pylist(), common.column("c").to_pylist())}
