@@ -10,5 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def run_sql_file(spark: SparkSession, path: str | Path, args: dict[str, Any] | None = None) -> DataFrame:
     """Run one stored SELECT over the session's views, with named parameters (``:name``)."""
-    text = Path(path).read_text(encoding="utf-8-sig").strip().rstrip(";")
-    return spark.sql(text, args or {})
+    return spark.sql(sql_text(path), args or {})
+
+
+def sql_text(path: str | Path) -> str:
+    return Path(path).read_text(encoding="utf-8-sig").strip().rstrip(";")

@@ -10,6 +10,7 @@ from tamiz.operators.uniqueness import uniqueness
 from tamiz.operators.universe import Scope, universe
 from tamiz.plans import refresh, state
 from tamiz.plans.cube import quality_cube
+from tamiz.plans.views import register_sql_views
 from tamiz.session import drop_scratch, scratch_folder, work_path
 from tamiz.sinks.snapshot import recover, root_of, snapshot
 from tamiz.sinks.versions import SLOTS, newest, read_version, slot_path, write_version
@@ -167,3 +168,17 @@ def test_absent_and_unreadable_values(spark):
     assert got[None, "validez", "load_ts"] == (1, 1) and len(got) == 12
     typed = spark.createDataFrame([(1,)], "accountable_period int")
     assert loose_report(typed).count() == 0
+
+
+def test_views_in_the_order_of_their_reads(spark, tmp_path):
+    texts = {"c": "SELECT x FROM B WHERE x IN (SELECT id FROM a WHERE id > :least)", "B": "WITH t AS (SELECT id AS x FROM a) SELECT * FROM t;",
+             "a": "SELECT id FROM range(5)", "d": "SELECT 1 AS x"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.sql").write_text(text)
+    files = {name: tmp_path / f"{name}.sql" for name in texts}
+    order = register_sql_views(spark, files, {"least": 2})
+    assert sorted(order) == ["a", "b", "c", "d"] and order.index("a") < order.index("b") < order.index("c")
+    assert sorted(r.x for r in spark.table("c").collect()) == [3, 4]
+    files["a"].write_text("SELECT x AS id FROM c")
+    with pytest.raises(ValueError, match="read each other"):
+        register_sql_views(spark, files, {"least": 2})

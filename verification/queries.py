@@ -206,6 +206,14 @@ def alert_views(m: DataFrame) -> DataFrame:
     return run_sql_file(m.sparkSession, SQL_DIR / "open_alerts.sql", {"estado": "Normal"})
 
 
+def ordered_views(m: DataFrame) -> DataFrame:
+    """Three views from files, given in the wrong order."""
+    m.createOrReplaceTempView("movimientos")
+    files = {name: SQL_DIR / f"{name}.sql" for name in ("vista_picos", "vista_meses", "vista_dias")}
+    *_, last = views.register_sql_views(m.sparkSession, files, {"desde": per.period_floor(AS_OF, 36), "veces": 2})
+    return m.sparkSession.table(last)
+
+
 def stored_select(m: DataFrame) -> DataFrame:
     m.createOrReplaceTempView("movimientos")
     floor = per.date_key(per.months_back(AS_OF, 3))
@@ -431,6 +439,7 @@ def queries() -> dict[str, Query]:
         "snapshot_arrivals": _on_fact(lambda m: _snapshot(
             cube_plan.with_calc_ts(av.load_arrival(m, AS_OF), STAMP), "arrivals", ARRIVAL_SCHEMA)),
         "alert_views": _on_fact(alert_views),
+        "ordered_views": _on_fact(ordered_views),
         "refreshed_cube": _on_fact(refreshed_cube),
         "field_dictionary": _on_fact(profile.field_dictionary),
         "documented_fields": _on_tables(documented_fields),
