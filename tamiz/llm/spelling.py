@@ -38,6 +38,8 @@ LONGEST_SHARD = 48
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Probes that a task makes at once, about.
 PROBES = 2_000_000
+#: Words that a task probes the neighbourhoods of, about.
+WORDS_PER_TASK = 20_000
 
 
 def damaged_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -107,6 +109,7 @@ class Shards:
         held = words.groupBy(F.least(F.length("word"), F.lit(LONGEST_SHARD)).alias("shard")).count().collect()
         wanted = {r["shard"]: max(1, r["count"] * bits_per_word // BLOCK_BITS) for r in held}
         shrink = min(1.0, most_blocks / max(1, sum(wanted.values())))
+        self.words = sum(r["count"] for r in held)
         self.sizes = {shard: max(1, int(n * shrink)) for shard, n in sorted(wanted.items())}
         self.starts, at = {}, 0
         for shard, n in self.sizes.items():
@@ -200,7 +203,9 @@ def near_words(words: DataFrame, shards: Shards) -> DataFrame:
                             yield pa.RecordBatch.from_arrays(
                                 [_strings(block[word]), pa.array(counts[own[word]]), _strings(made)], names=["word", "n", "edit"])
 
-    maybe = words.select("word", "n").mapInArrow(probe, "word string, n long, edit string")
+    # A probe costs the same for all words of a length, so tasks are even and their number follows the words.
+    dealt = words.select("word", "n").repartition(1 + shards.words // WORDS_PER_TASK, "word")
+    maybe = dealt.mapInArrow(probe, "word string, n long, edit string")
     pairs = stored(maybe.join(words.select(F.col("word").alias("edit"), F.col("n").alias("edit_n")), "edit"), "near")
     return pairs.select("word", F.col("edit").alias("near"), "n", F.col("edit_n").alias("near_n")).unionByName(
         pairs.select(F.col("edit").alias("word"), F.col("word").alias("near"), F.col("edit_n").alias("n"), F.col("n").alias("near_n")))
