@@ -73,6 +73,33 @@ def test_stage_results(spark, docs):
     assert sorted(heads, key=str) == sorted([1, 2, 3, None, 4, 5, 7], key=str)
 
 
+@pytest.fixture(scope="module")
+def megabytes(spark):
+    """A text of two megabytes in many lines, one of them without a line end, and a short one."""
+    lines = "\n".join(f"Line {i} of text {i * 7} says {i * 3} and then {i}." for i in range(50_000))
+    words = " ".join(f"w{i % 5000}x{i}" + "," * (i % 9 == 0) for i in range(150_000))
+    return spark.createDataFrame([(1, lines, "en", "a", len(lines)), (2, words, "en", "b", len(words)), (3, WORDS, "en", "c", None)], SCHEMA).repartition(3)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_megabytes(name, megabytes):
+    got = OPERATORS[name](megabytes).collect()
+    assert {r["doc_id"] for r in got} == {1, 2, 3}
+    if name == "pack":
+        assert sum(r["length"] for r in got if r["doc_id"] == 1) > 500_000
+    if name == "mix":
+        assert {r["doc_id"]: r["size"] for r in got}[2] == 150_000
+    if name == "score":
+        assert {r["doc_id"]: r["n_tokens"] for r in got}[2] == 150_001
+
+
+def test_stages_on_megabytes(spark, megabytes):
+    docs = megabytes
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, "")
+    assert {r["doc_id"] for r in docs.select("doc_id").collect()} == {1, 2, 3}
+
+
 PAGES = [(1, "http://a.example/1", "<p>One&amp;two <b>bold</b><p>Next"), (2, None, None), (3, "no url", ""), (1, "http://a.example/1", "<p>One"),
          (None, "http://a.example/2", "<div class='sidebar'>x</div><p>text</p><" + "<b" * 2000)]
 
