@@ -9,15 +9,22 @@ from pyspark.sql import types as T
 BOM = "﻿"
 
 
-def export_csv(df: DataFrame, path: str, *, bom: bool = True) -> None:
+#: Rows of a CSV file. Cells may span lines, so a file is read whole by one task.
+FILE_ROWS = 100_000
+
+
+def export_csv(df: DataFrame, path: str, *, bom: bool = True, file_rows: int = FILE_ROWS) -> None:
     """Header CSV. With ``bom`` the header of every part starts with a byte-order mark.
 
+    A task starts a new file after ``file_rows`` rows, in the order it has them: the tasks that read the files back
+    grow in number with the table and not in size.
+
     Quotes are doubled and white space is kept, so ``read_mapping`` gives back every cell; but
     the empty text (a pair of quotes) and NULL (nothing) are both read as NULL.
     """
     first = df.columns[0]
     out = df.withColumnRenamed(first, BOM + first) if bom else df
-    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+    (out.write.mode("overwrite").option("maxRecordsPerFile", file_rows).option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

@@ -74,6 +74,18 @@ def test_csv_export_has_a_mark_in_every_part(spark, tmp_path, rows):
     assert all(p.read_bytes().startswith(b"id,") for p in (tmp_path / "csv").glob("part-*.csv"))
 
 
+def test_csv_export_bounds_what_a_reading_task_gets(spark, tmp_path, rows):
+    path = str(tmp_path / "csv")
+    df = spark.range(250_001).selectExpr("concat(id, char(10), 'x') AS ramo", "string(id) AS product_description", "'c' AS categoria").coalesce(1)
+    export_csv(df, path)
+    files = sorted((tmp_path / "csv").glob("part-*.csv"))
+    assert len(files) == 3 and all(f.read_bytes().startswith(b"\xef\xbb\xbframo,") for f in files)
+    back = read_mapping(spark, path)
+    assert back.count() == 250_001 and back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    export_csv(df.limit(10), path, file_rows=4)
+    assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 3 and rows(read_mapping(spark, path)) == rows(df.limit(10))
+
+
 def test_json_export_keeps_nulls(spark, tmp_path):
     df = spark.createDataFrame([("a", None, float("nan")), ("b", 1, 2.5)], "k string, n int, x double").coalesce(1)
     export_json(df, str(tmp_path / "json"))
