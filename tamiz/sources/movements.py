@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,15 +41,25 @@ def read_movement_table(spark: SparkSession, table: str) -> DataFrame:
     return movements(spark.table(table))
 
 
-def write_movements(df: DataFrame, path: str) -> None:
+def write_movements(df: DataFrame, path: str, made: Callable[[DataFrame], DataFrame] | None = None, *, by: str = PERIOD) -> None:
     """Store a fact by period, in the layout ``read_movements`` prunes.
 
     The rebalance gathers each period before writing, so files are few; a period that is
     too large is split at run time, a hundred tiny ones are merged. Rows are sorted by day within a
     file, so filters on the date key skip row groups. Periods that are no months share one partition, however many
     there are.
+
+    Movements are several times as wide as the feed they are made from. With ``made``, ``df`` is such a feed: its rows are
+    sent as they come, dealt by their column ``by``, and made movements where they are written. ``by`` should follow the period, so
+    that files are few; what is stored does not depend on it.
     """
+    if made is None:
+        dealt = _by_partition(df).hint("rebalance", PERIOD)
+    else:
+        dealt = _by_partition(made(df.hint("rebalance", by)))
+    dealt.sortWithinPartitions(PERIOD, "transaction_date_sk").write.partitionBy(PERIOD).parquet(path)
+
+
+def _by_partition(df: DataFrame) -> DataFrame:
     bad = F.col(PERIOD).isNotNull() & period_date(PERIOD).isNull()
-    given = df.withColumn(GIVEN, F.when(bad, F.col(PERIOD))).withColumn(PERIOD, F.when(bad, MALFORMED).otherwise(F.col(PERIOD)))
-    dealt = given.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, "transaction_date_sk")
-    dealt.write.partitionBy(PERIOD).parquet(path)
+    return df.withColumn(GIVEN, F.when(bad, F.col(PERIOD))).withColumn(PERIOD, F.when(bad, MALFORMED).otherwise(F.col(PERIOD)))

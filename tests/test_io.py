@@ -15,6 +15,7 @@ from tamiz.sources.csvs import read_catalogue, read_dictionary, read_mapping
 from tamiz.sources.movements import read_movement_table, read_movements, write_movements
 from tamiz.sources.sqlfile import run_sql_file
 from tamiz.streaming.arrivals import KEPT_VERSIONS, read_arrivals, stream_load_arrival, write_arrivals
+from verification import fixture
 
 AS_OF, STAMP = date(2024, 2, 10), datetime(2024, 2, 10, 9, 0)
 
@@ -253,3 +254,30 @@ def test_results_do_not_depend_on_the_session_zone(spark, facts, rows):
         assert results() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_adapter_computes_above_its_joins(spark):
+    text = _optimized(fixture.movements(spark, "/root/testdata/sf0.001"))
+    assert -1 < text.index(" AS h#") < text.index("Join") and text.count(" AS h#") == 1
+
+
+def test_movements_are_made_after_dealing(spark, tmp_path, rows):
+    sf = "/root/testdata/sf0.001"
+    seen = []
+
+    def made(df):
+        seen.append(fixture.conform_movements(fixture.adapted(df)))
+        return seen[-1]
+
+    write_movements(fixture.feed(spark, sf), str(tmp_path / "made"), made, by="month")
+    write_movements(fixture.movements(spark, sf), str(tmp_path / "whole"))
+    text = _optimized(seen[0])
+    assert text.index(" AS h#") < text.index("RebalancePartitions")
+    new, old = (read_movements(spark, str(tmp_path / name)) for name in ("made", "whole"))
+    assert new.columns == old.columns and rows(new) == rows(old)
+    folders = [{p.name for p in (tmp_path / name).glob("accountable_period=*")} for name in ("made", "whole")]
+    assert folders[0] == folders[1]

@@ -61,18 +61,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def from_lines(lines: DataFrame, orders: DataFrame, parts: DataFrame) -> DataFrame:
-    """The adapter. Lookups are left joins on keys made unique first, so a query that needs
+def with_lookups(lines: DataFrame, orders: DataFrame, parts: DataFrame) -> DataFrame:
+    """Lines with what the adapter looks up. Lookups are left joins on keys made unique first, so a query that needs
     no looked-up column loses the join altogether, and a repeated key cannot add rows."""
     customers = orders.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(F.expr("first(o_custkey) AS o_custkey"))
     products = parts.groupBy(F.col("p_partkey").alias("l_partkey")).agg(
         F.expr("first(int(regexp_replace(p_brand, '[^0-9]', ''))) AS brand"), F.expr("first(p_type) AS p_type"))
-    # Computed once per row below the joins; every defect reads them.
-    keyed = lines.selectExpr(
-        "*", "bigint(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)) AS dsk",
-        "l_partkey * 31 + l_orderkey * 7 + l_linenumber AS h", "CAST(l_extendedprice AS DECIMAL(15,2)) AS price")
-    joined = keyed.join(customers, "l_orderkey", "left").join(products, "l_partkey", "left")
-    return joined.selectExpr(*[f"{sql} AS {name}" for name, sql in ADAPTER.items()])
+    return lines.join(customers, "l_orderkey", "left").join(products, "l_partkey", "left")
+
+
+#: Computed once per row, above the joins, which need not send them; every defect reads them.
+KEYED = ("bigint(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)) AS dsk",
+         "l_partkey * 31 + l_orderkey * 7 + l_linenumber AS h", "CAST(l_extendedprice AS DECIMAL(15,2)) AS price")
+
+
+def adapted(rows: DataFrame) -> DataFrame:
+    """Movements of lines that have their lookups."""
+    return rows.selectExpr("*", *KEYED).selectExpr(*[f"{sql} AS {name}" for name, sql in ADAPTER.items()])
+
+
+def from_lines(lines: DataFrame, orders: DataFrame, parts: DataFrame) -> DataFrame:
+    """The adapter."""
+    return adapted(with_lookups(lines, orders, parts))
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as they come, which ``conform_movements(adapted(...))`` makes movements of, with the month shipped."""
+    tune(spark)
+    rows = with_lookups(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), table(spark, sf_dir, "part"))
+    return rows.withColumn("month", F.expr("year(l_shipdate) * 100 + month(l_shipdate)"))
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:

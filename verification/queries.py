@@ -29,7 +29,7 @@ from tamiz.sources.movements import movements as conform_movements
 from tamiz.sources.movements import read_movements, write_movements
 from tamiz.sources.sqlfile import run_sql_file
 from tamiz.streaming.arrivals import read_arrivals, stream_load_arrival, write_arrivals
-from verification.fixture import AS_OF, STAMP, from_lines, movements, table
+from verification.fixture import AS_OF, STAMP, adapted, feed, from_lines, movements, table
 
 SQL_DIR = Path(__file__).parent / "sql"
 SCORE_MONTHS = 36
@@ -91,12 +91,16 @@ def sample_rows(m: DataFrame) -> DataFrame:
         "transaction_date_sk", "transaction_delta_billed_premium_amount", "load_ts")
 
 
-def partitioned_fact(m: DataFrame) -> DataFrame:
+def _made(rows: DataFrame) -> DataFrame:
+    return conform_movements(adapted(rows))
+
+
+def partitioned_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The fact stored by period and read back, then counted by period."""
-    spark = m.sparkSession
     path = work_path(spark, "fact")
-    write_movements(m, path)
-    stored = un.in_periods(un.universe(read_movements(spark, path)), _periods(m))
+    write_movements(feed(spark, sf), path, _made, by="month")
+    fact = read_movements(spark, path)
+    stored = un.in_periods(un.universe(fact), _periods(fact))
     return (stored.groupBy("accountable_period")
             .agg(F.count(F.lit(1)).alias("registros"),
                  F.sum("transaction_delta_billed_premium_amount").alias("prima_neta")))
@@ -376,13 +380,16 @@ def loose_types(m: DataFrame) -> DataFrame:
         F.count_if(F.isnull("load_ts")).alias("carga_ausente"))
 
 
-def many_bad_periods(m: DataFrame) -> DataFrame:
-    """The fact with thousands of periods that are no months, stored and read back, counted by period."""
-    spark = m.sparkSession
-    path = work_path(spark, "fact")
+def _with_bad_periods(m: DataFrame) -> DataFrame:
     period = F.col("accountable_period")
     bad = F.col("policy_transaction_movement_sk") % 3 == 0
-    write_movements(m.withColumn("accountable_period", F.when(bad, (9_000_000 + F.col("transaction_date_sk") % 1_000_000).cast("int")).otherwise(period)), path)
+    return m.withColumn("accountable_period", F.when(bad, (9_000_000 + F.col("transaction_date_sk") % 1_000_000).cast("int")).otherwise(period))
+
+
+def many_bad_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact with thousands of periods that are no months, stored and read back, counted by period."""
+    path = work_path(spark, "fact")
+    write_movements(feed(spark, sf), path, lambda rows: _with_bad_periods(_made(rows)), by="month")
     return (read_movements(spark, path).groupBy("accountable_period").agg(F.count(F.lit(1)).alias("registros"), F.min("transaction_date_sk").alias("primera")))
 
 
@@ -427,7 +434,7 @@ def queries() -> dict[str, Query]:
         "list_periods": _on_fact(un.list_periods),
         "load_spread": _on_fact(lambda m: av.load_spread(m, AS_OF)),
         "stored_select": _on_fact(stored_select),
-        "partitioned_fact": _on_fact(partitioned_fact),
+        "partitioned_fact": _on_tables(partitioned_fact),
         "mapping_csv": _on_tables(mapping_csv),
         "premium_csv": _on_fact(premium_csv),
         "cube_csv": _on_fact(lambda m: _through_csv(_cube(m))),
@@ -577,7 +584,7 @@ def queries() -> dict[str, Query]:
         "mapping_conflicts": _on_tables(mapping_conflicts),
         "loose_types": _on_fact(loose_types),
         "loose_report": _on_fact(lambda m: counts.loose_report(_loose(m))),
-        "many_bad_periods": _on_fact(many_bad_periods),
+        "many_bad_periods": _on_tables(many_bad_periods),
         "refresh_after_correction": _on_fact(refresh_after_correction),
         # mappings
         "unmapped_products": _on_fact(profile.unmapped_products),
