@@ -48,11 +48,36 @@ def product_masks(df: DataFrame, days: int = 15, product: str = "product_code")
 
     Masks of parts of the rows merge with ``bit_or``.
     """
+    return (df.groupBy(period_of_ts("transaction_accounting_ts").alias("periodo_contable"), F.col(product).alias("producto"))
+            .agg(F.bit_or(_day_bit(_key_day(), days)).alias("_mask")))
+
+
+def _key_day() -> Column:
     # Characters 7-8 of the printed key: the last two digits of a well-formed one, nothing
     # for a shorter key, so an odd key yields NULL instead of an error.
-    day = F.expr("try_cast(substring(cast(transaction_date_sk as string), 7, 2) as int)")
-    return (df.groupBy(period_of_ts("transaction_accounting_ts").alias("periodo_contable"), F.col(product).alias("producto"))
-            .agg(F.bit_or(_day_bit(day, days)).alias("_mask")))
+    return F.expr("try_cast(substring(cast(transaction_date_sk as string), 7, 2) as int)")
+
+
+def joint_masks(df: DataFrame, days: int = 15, product: str = "product_code") -> DataFrame:
+    """What ``product_masks`` and ``month_masks`` need of the rows, from one reading of them.
+
+    One row for each month of the accounting timestamp, product, accounting period and whether the key is of that period.
+    """
+    period, key = F.col("accountable_period"), F.col("transaction_date_sk")
+    same = F.coalesce(same_month(key, period), F.lit(False))
+    return (df.groupBy(period_of_ts("transaction_accounting_ts").alias("mes"), F.col(product).alias("producto"), period.alias("periodo"),
+                       same.alias("mismo_mes"))
+            .agg(F.bit_or(_day_bit(_key_day(), days)).alias("_product"), F.bit_or(_day_bit(key % 100, 31)).alias("_month")))
+
+
+def product_masks_of(joint: DataFrame) -> DataFrame:
+    """``product_masks`` from :func:`joint_masks`."""
+    return joint.groupBy(F.col("mes").alias("periodo_contable"), "producto").agg(F.bit_or("_product").alias("_mask"))
+
+
+def month_masks_of(joint: DataFrame) -> DataFrame:
+    """``month_masks`` from :func:`joint_masks`."""
+    return joint.filter("mismo_mes").groupBy(F.col("periodo").alias("periodo_contable")).agg(F.bit_or("_month").alias("_mask"))
 
 
 def product_days(df: DataFrame, as_of: date, *, months: int = 36, days: int = 15, product: str = "product_code",

@@ -25,16 +25,22 @@ from tamiz.rules import Rule, default_rules
 
 #: What a load leaves behind, each in a folder of its own.
 COUNTERS, PRODUCT_DAYS, MONTH_DAYS = "counters", "product_days", "month_days"
+#: Masks by product and month together, from which a load's two kinds of masks are made.
+DAYS = "days"
 BUCKETS = 64
 
 
 def add_load(load: DataFrame, load_id: str, path: str, *, rules: Sequence[Rule] | None = None) -> None:
     """Store the counters and day masks of a load below ``path``. A load that comes again takes its own place.
 
-    ``load`` holds rows that no other load has. Only it is read.
+    ``load`` holds rows that no other load has. Only it is read: its measured rows for the counters, all of them once for both masks.
     """
     rules = default_rules() if rules is None else rules
-    parts = {COUNTERS: counts.rule_counts(universe(load), rules), PRODUCT_DAYS: av.product_masks(load), MONTH_DAYS: av.month_masks(load)}
+    spark = load.sparkSession
+    joint = f"{path}/{DAYS}/load={load_id}"
+    av.joint_masks(load).write.mode("overwrite").parquet(joint)
+    days = spark.read.parquet(joint)
+    parts = {COUNTERS: counts.rule_counts(universe(load), rules), PRODUCT_DAYS: av.product_masks_of(days), MONTH_DAYS: av.month_masks_of(days)}
     for name, part in parts.items():
         part.write.mode("overwrite").parquet(f"{path}/{name}/load={load_id}")
 

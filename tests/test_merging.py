@@ -4,6 +4,7 @@ import pytest
 import tamiz.session
 from pyspark.sql import functions as F
 
+from tamiz.operators import availability as av
 from tamiz.operators import distinct
 from tamiz.operators.counts import loose_report
 from tamiz.operators.uniqueness import uniqueness
@@ -84,6 +85,21 @@ def test_cube_of_loads_is_the_cube_of_all(spark, facts, rows):
     assert rows(state.uniqueness_of(keys)) == rows(uniqueness(universe(df)))
 
 
+def test_masks_of_a_load_come_from_one_reading(spark, facts, rows):
+    df = two_months(facts).unionByName(facts(
+        {"transaction_date_sk": None}, {"transaction_date_sk": 202401}, {"transaction_date_sk": 20240145, "product_code": None},
+        {"accountable_period": 202402}, {"accountable_period": None}, {"accountable_period": 2024010, "product_code": "A B1"},
+        {"transaction_accounting_ts": None}, {"accountable_period": 202403, "transaction_date_sk": 20240399}))
+    joint = av.joint_masks(df)
+    assert rows(av.product_masks_of(joint)) == rows(av.product_masks(df))
+    assert rows(av.month_masks_of(joint)) == rows(av.month_masks(df))
+    path = work_path(spark, "loads")
+    state.add_load(df, "a", path)
+    assert rows(spark.read.parquet(f"{path}/{state.DAYS}/load=a")) == rows(joint)
+    assert rows(state.merged_masks(spark, path, state.PRODUCT_DAYS)) == rows(av.product_masks(df))
+    assert rows(state.merged_masks(spark, path, state.MONTH_DAYS)) == rows(av.month_masks(df))
+
+
 def test_old_keys_stay_where_they_are(spark, facts):
     """The state is joined by its buckets: the only exchange below the join is that of the load's keys."""
     spark.sql("DROP TABLE IF EXISTS key_state_plan")
