@@ -40,15 +40,19 @@ def running_text(lines: list[list[bytes]], order: int) -> bytes:
 
 def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Grams of running texts one after the other, and where each text's begin."""
-    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
-    packed = data[order:].copy()
-    for j in range(1, order + 1):
-        packed |= data[order - j:len(data) - j] << (8 * (order + 1 - j))
+    data = b"".join(texts)
+    # Eight bytes from each place on, the first lowest: the context stands as it should, above it the symbol.
+    packed = np.ndarray(len(data) - order, "<i8", data + bytes(8), 0, 1).copy()
+    symbol = (packed >> (8 * order)) & 0xFF
+    packed &= (1 << (8 * order)) - 1
+    packed <<= 8
+    packed |= symbol
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) - order
     starts = np.concatenate([[0], np.cumsum(lengths)])
     # Between two texts lie the START bytes of the second.
-    within = np.arange(starts[-1]) + np.repeat(np.arange(len(texts)) * order, lengths)
-    return packed[within], starts
+    kept = np.ones(len(packed), bool)
+    kept[((starts[1:-1] + np.arange(len(texts) - 1) * order)[:, None] + np.arange(order)).ravel()] = False
+    return packed[kept], starts
 
 
 def parts_of(docs: DataFrame, text: str) -> int:
@@ -88,7 +92,7 @@ def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: in
 
         size = {True: 0, False: 0}
         for batch in batches:
-            for value, learn in zip(batch.column(0), batch.column(1).to_pylist()):
+            for value, learn in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
                 body = running_text(lines_of(value.as_py()), order)
                 waiting[learn].append(body)
                 size[learn] += len(body)
@@ -351,12 +355,14 @@ class Table:
 
     def _find(self, gram: np.ndarray, logs: np.ndarray, held: np.ndarray) -> None:
         slot = self._slot(gram)
-        at, end = self.first[slot], self.first[slot + 1]
+        at = self.first[slot]
         same = self.gram[at] == gram
         held[:] = same
         logs[:] = np.where(same, self.log10p[at], 0.0)
-        rows = np.flatnonzero(~same & (at + 1 < end))
-        at, end, wanted = at[rows] + 1, end[rows], gram[rows]
+        rows = np.flatnonzero(~same)
+        at, end, wanted = at[rows] + 1, self.first[slot[rows] + 1], gram[rows]
+        more = at < end
+        rows, at, end, wanted = rows[more], at[more], end[more], wanted[more]
         while len(rows):
             same = self.gram[at] == wanted
             logs[rows[same]], held[rows[same]] = self.log10p[at[same]], True

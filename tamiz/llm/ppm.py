@@ -35,10 +35,13 @@ COUNTED = 300_000
 END = b""
 
 
-def lines_of(text: str | None) -> list[list[bytes]]:
+def lower_bytes(text: str | bytes | None) -> bytes:
+    return (text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")).lower()
+
+
+def lines_of(text: str | bytes | None) -> list[list[bytes]]:
     """Words of each line that has one, in lower case (A-Z)."""
-    data = (text or "").encode("utf-8", "surrogatepass").lower()
-    return [words for line in data.split(b"\n") if (words := line.split())]
+    return [words for line in lower_bytes(text).split(b"\n") if (words := line.split())]
 
 
 def vocabulary(docs: DataFrame, text: str, learned: Column) -> DataFrame:
@@ -47,16 +50,14 @@ def vocabulary(docs: DataFrame, text: str, learned: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for value, learn in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = [END]
-                for line in lines_of(value.as_py()):
-                    words += line
+            for value, learn in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
+                # A line end parts words like any white space.
+                words = lower_bytes(value.as_py()).split()
+                words.append(END)
                 if learn:
                     counts.update(words)
                 else:
-                    for word in words:
-                        if word not in counts:
-                            counts[word] = 0
+                    counts.update(dict.fromkeys(set(words).difference(counts), 0))
                 if len(counts) > COUNTED:
                     yield _counted(counts)
                     counts = Counter()
@@ -106,7 +107,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
         for batch in batches:
             out: list[list] = [[], [], [], []]
             texts = []
-            for value in batch.column(2):
+            for value in batch.column(2).cast(pa.binary()):
                 end_ = known_words[END]
                 n, known, base, rare = 1, int(end_[0]), end_[1], []
                 lines = lines_of(value.as_py())

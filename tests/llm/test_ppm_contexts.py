@@ -83,3 +83,22 @@ def test_long_words_do_not_reach_the_driver(spark, monkeypatch):
     words = [w for t in collected if "word" in t.column_names for w in t.column("word").to_pylist()]
     assert words and max(map(len, words)) <= ppm.SHARED_BYTES
     assert [r["n_known"] for r in got] == [3, 3]
+
+
+def test_grams_are_context_and_symbol():
+    import numpy as np
+
+    from tamiz.llm import byte_contexts
+
+    for order in (3, 4, 5, 6):
+        texts = [byte_contexts.running_text([w.split() for w in t.split(b"\n")], order) for t in (b"", b"a", b"ab \xc3\xbf\ncd", b"", b"xyz" * 9)]
+        plain = [[int.from_bytes(t[i - order:i][::-1] + t[i:i + 1], "big") for i in range(order, len(t))] for t in texts]
+        gram, starts = byte_contexts.grams(texts, order)
+        assert gram.tolist() == sum(plain, []) and np.diff(starts).tolist() == [len(x) for x in plain]
+
+
+def test_words_of_the_vocabulary_are_those_of_the_lines():
+    from tamiz.llm.ppm import lines_of, lower_bytes
+
+    for text in ("", None, "A\x0bb\n\n c\r\nÉ d\x0c\x1ce\u2028f", "x".encode()):
+        assert lower_bytes(text).split() == sum(lines_of(text), [])
