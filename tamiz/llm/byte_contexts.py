@@ -25,8 +25,11 @@ BRANCH = 3
 START, TEXT_END, SYMBOLS = 0xFE, 0xFF, 256
 #: Most frequent grams whose scores every task holds; all others are joined.
 SHARED_GRAMS = 1 << 21
-#: Bytes taken apart at once, grams held by a task before it sends them on, and grams coded at once.
-TAKEN, COUNTED, CODED = 1 << 20, 1 << 22, 200_000
+#: Bytes taken apart at once, grams held by a task before it folds them, distinct ones before it sends them on, and
+#: grams coded at once. Folding takes some 60 bytes for each gram held.
+TAKEN, COUNTED, SENT, CODED = 1 << 20, 3 << 20, 1 << 21, 200_000
+#: Bytes of text after which a task sends its grams, however few: their counts stay below 2 ** 32.
+COUNTED_BYTES = 1 << 30
 #: Grams looked up at once: what they touch stays in a core's cache.
 LOOKED_UP = 1 << 15
 #: Bytes of text whose grams go to one task, about.
@@ -61,53 +64,88 @@ def parts_of(docs: DataFrame, text: str) -> int:
     return max(1, -(-size // PART_BYTES))
 
 
-def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: int, parts: int) -> DataFrame:
-    """branch, gram, n, seen: every gram, with its count in the documents to learn from and in all.
+class Held:
+    """Grams that a task counts before it sends them: sorted pieces, folded into one when they are many.
 
-    A task folds its grams before it sends them, so they are dealt at once and counted where they arrive.
+    A piece's counts are unsigned integers, the count in the documents to learn from low and that in all high, 32 bits each.
     """
 
-    def fold(held: list) -> list:
-        gram, n, seen = (np.concatenate(x) for x in zip(*held))
-        gram, where = np.unique(gram, return_inverse=True)
-        # Counts of a task stay far below the whole numbers that a double holds.
-        return [(gram, np.bincount(where, n).astype(np.int64), np.bincount(where, seen).astype(np.int64))]
-
-    def send(held: list) -> Iterator[pa.RecordBatch]:
-        gram, n, seen = fold(held)[0]
+    LEARNED = np.uint64(1 | 1 << 32)
+    OTHER = np.uint64(1 << 32)
+
+    def __init__(self, order: int):
+        self.order = order
+        self.pieces: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
+        self.waiting: dict[bool, list[bytes]] = {True: [], False: []}
+        self.waits = {True: 0, False: 0}
+
+    def add(self, body: bytes, learn: bool) -> Iterator[pa.RecordBatch]:
+        """Take a running text, a long one in parts; rows to send, if it is time."""
+        for at in range(0, len(body) - self.order, TAKEN):
+            part = body[at:at + TAKEN + self.order]
+            self.waiting[learn].append(part)
+            self.waits[learn] += len(part)
+            if self.waits[learn] > TAKEN:
+                self._take(learn)
+                if sum(map(len, self.pieces)) > COUNTED:
+                    self._fold()
+                if len(self.pieces[0]) > SENT or self.size > COUNTED_BYTES:
+                    yield from self.send()
+
+    def send(self) -> Iterator[pa.RecordBatch]:
+        """Rows of all that is held; then nothing is."""
+        self._take(True)
+        self._take(False)
+        if not self.pieces:
+            return
+        self._fold()
+        gram, counts = self.pieces.pop(), self.counts.pop()
+        self.size = 0
         for at in range(0, len(gram), 100_000):
-            part = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(gram[part] >> (8 * (order + 1 - BRANCH))), pa.array(gram[part]),
-                                              pa.array(n[part]), pa.array(seen[part])], names=["branch", "gram", "n", "seen"])
+            some, count = gram[at:at + 100_000], counts[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some >> (8 * (self.order + 1 - BRANCH))), pa.array(some),
+                                              pa.array((count & np.uint64(0xFFFFFFFF)).view(np.int64)),
+                                              pa.array((count >> np.uint64(32)).view(np.int64))], names=["branch", "gram", "n", "seen"])
+
+    def _take(self, learn: bool) -> None:
+        if self.waiting[learn]:
+            gram, seen = np.unique(grams(self.waiting[learn], self.order)[0], return_counts=True)
+            self.pieces.append(gram)
+            self.counts.append(seen.astype(np.uint64) * (self.LEARNED if learn else self.OTHER))
+            self.size += self.waits[learn]
+            self.waiting[learn], self.waits[learn] = [], 0
+
+    def _fold(self) -> None:
+        # Each list is let go as soon as it is one array: this is the most that a task holds.
+        gram = np.concatenate(self.pieces)
+        self.pieces.clear()
+        # Pieces are sorted, so this merges them.
+        by = np.argsort(gram, kind="stable")
+        gram = gram[by]
+        counts = np.concatenate(self.counts)
+        self.counts.clear()
+        counts = counts[by]
+        del by
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        self.counts.append(np.add.reduceat(counts, first))
+        del counts
+        self.pieces.append(gram[first])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        waiting: dict[bool, list[bytes]] = {True: [], False: []}
 
-        def take(learn: bool) -> None:
-            if waiting[learn]:
-                gram, seen = np.unique(grams(waiting[learn], order)[0], return_counts=True)
-                held.append((gram, seen if learn else np.zeros_like(seen), seen))
-                waiting[learn] = []
+def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: int, parts: int) -> DataFrame:
+    """branch, gram, n, seen: every gram, with its count in the documents to learn from and in all.
 
-        size = {True: 0, False: 0}
+    A task folds its grams before it sends them, so they are dealt at once and counted where they arrive.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held(order)
         for batch in batches:
             for value, learn in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
-                body = running_text(lines_of(value.as_py()), order)
-                waiting[learn].append(body)
-                size[learn] += len(body)
-                if size[learn] > TAKEN:
-                    take(learn)
-                    size[learn] = 0
-                    if sum(len(h[0]) for h in held) > COUNTED:
-                        held = fold(held)
-                        if len(held[0][0]) > COUNTED // 2:
-                            yield from send(held)
-                            held = []
-        take(True)
-        take(False)
-        if held:
-            yield from send(held)
+                yield from held.add(running_text(lines_of(value.as_py()), order), learn)
+        yield from held.send()
 
     return (docs.select(F.col(text).alias("text"), learned.alias("learn"))
             .mapInArrow(run, "branch long, gram long, n long, seen long").repartition(parts, "gram")

@@ -57,7 +57,8 @@ def vocabulary(docs: DataFrame, text: str, learned: Column) -> DataFrame:
                 if learn:
                     counts.update(words)
                 else:
-                    counts.update(dict.fromkeys(set(words).difference(counts), 0))
+                    for word in set(words):
+                        counts.setdefault(word, 0)
                 if len(counts) > COUNTED:
                     yield _counted(counts)
                     counts = Counter()

@@ -102,3 +102,85 @@ def test_words_of_the_vocabulary_are_those_of_the_lines():
 
     for text in ("", None, "A\x0bb\n\n c\r\nÉ d\x0c\x1ce\u2028f", "x".encode()):
         assert lower_bytes(text).split() == sum(lines_of(text), [])
+
+
+class Batches:
+    """Stands for a table: keeps what its tasks would run."""
+
+    def __getattr__(self, name):
+        return lambda *args, **kw: setattr(self, "run", args[0]) or self if name == "mapInArrow" else self
+
+
+def tasks_rows(make, texts, learned):
+    """Rows that one task sends, a column of arrays each."""
+    import pyarrow as pa
+
+    docs = Batches()
+    make(docs)
+    table = pa.table({"text": pa.array(texts, pa.binary()), "learn": pa.array(learned)})
+    del texts
+    return [b.columns for b in docs.run(iter(table.to_batches(max_chunksize=1000)))]
+
+
+def count(docs):
+    from pyspark.sql import functions as F
+
+    byte_contexts.count_grams(docs, "text", F.lit(True), ppm.lines_of, 6, 1)
+
+
+def random_text(rng, size):
+    return rng.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz    \n", np.uint8), size).tobytes()
+
+
+def test_grams_of_a_task_are_counted_in_little_memory(spark):
+    """Nearly 6 million distinct grams: 409 MB at most before, then 205."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    texts = [random_text(rng, 60_000) for _ in range(100)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        rows = sum(len(c[0]) for c in tasks_rows(count, texts, [i % 7 != 2 for i in range(100)]))
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert rows > 5_000_000
+    # The rows themselves stand in Arrow's own memory.
+    assert peak < 250e6
+
+
+@pytest.mark.parametrize("taken,counted,sent,least", [(1 << 20, 3 << 20, 1 << 21, 1 << 30), (500, 3000, 2000, 1 << 30), (100, 700, 1 << 21, 900), (64, 1, 1, 1)])
+def test_grams_sent_add_up(spark, monkeypatch, taken, counted, sent, least):
+    """However often a task folds and sends, and with texts longer than what it takes apart at once."""
+    for name, value in (("TAKEN", taken), ("COUNTED", counted), ("SENT", sent), ("COUNTED_BYTES", least)):
+        monkeypatch.setattr(byte_contexts, name, value, raising=False)
+    rng = np.random.default_rng(5)
+    texts = [b"ab ab\n" * int(n) + random_text(rng, int(n)) for n in rng.integers(0, 3000, 40)] + [b"", None]
+    learned = [i % 3 != 1 for i in range(len(texts))]
+    got = defaultdict(lambda: [0, 0])
+    for branch, gram, n, seen in tasks_rows(count, texts, learned):
+        for b, g, x, y in zip(*(c.to_pylist() for c in (branch, gram, n, seen))):
+            assert b == g >> 32
+            got[g][0] += x
+            got[g][1] += y
+    plain = defaultdict(lambda: [0, 0])
+    for text, learn in zip(texts, learned):
+        for g in byte_contexts.grams([byte_contexts.running_text(ppm.lines_of(text), 6)], 6)[0].tolist():
+            plain[g][0] += learn
+            plain[g][1] += 1
+    assert got == plain
+
+
+def test_texts_held_out_cost_their_own_words_only(spark):
+    """Each went through all words that the task had counted."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    texts = [b" ".join(b"w%d" % i for i in range(250_000))] + [b"w%d new%d" % (i, i) for i in range(4000)]
+    began = time.thread_time()
+    rows = tasks_rows(lambda docs: ppm.vocabulary(docs, "text", F.lit(True)), texts, [True] + [False] * 4000)
+    assert time.thread_time() - began < 4
+    got = {w: c for words, counts in rows for w, c in zip(words.to_pylist(), counts.to_pylist())}
+    assert got == {b"w%d" % i: 1 for i in range(250_000)} | {b"new%d" % i: 0 for i in range(4000)} | {b"": 1}
