@@ -27,7 +27,7 @@ START, TEXT_END, SYMBOLS = 0xFE, 0xFF, 256
 SHARED_GRAMS = 1 << 21
 #: Bytes taken apart at once, grams held by a task before it folds them, distinct ones before it sends them on, and
 #: grams coded at once. Folding takes some 60 bytes for each gram held.
-TAKEN, COUNTED, SENT, CODED = 1 << 20, 3 << 20, 1 << 21, 200_000
+TAKEN, COUNTED, SENT, CODED = 1 << 20, 7 << 19, 5 << 19, 200_000
 #: Bytes of text after which a task sends its grams, however few: their counts stay below 2 ** 32.
 COUNTED_BYTES = 1 << 30
 #: Grams looked up at once: what they touch stays in a core's cache.
@@ -105,9 +105,8 @@ class Held:
         self.size = 0
         for at in range(0, len(gram), 100_000):
             some, count = gram[at:at + 100_000], counts[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some >> (8 * (self.order + 1 - BRANCH))), pa.array(some),
-                                              pa.array((count & np.uint64(0xFFFFFFFF)).view(np.int64)),
-                                              pa.array((count >> np.uint64(32)).view(np.int64))], names=["branch", "gram", "n", "seen"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array((count & np.uint64(0xFFFFFFFF)).view(np.int64)),
+                                              pa.array((count >> np.uint64(32)).view(np.int64))], names=["gram", "n", "seen"])
 
     def _take(self, learn: bool) -> None:
         if self.waiting[learn]:
@@ -148,8 +147,9 @@ def count_grams(docs: DataFrame, text: str, learned: Column, lines_of, order: in
         yield from held.send()
 
     return (docs.select(F.col(text).alias("text"), learned.alias("learn"))
-            .mapInArrow(run, "branch long, gram long, n long, seen long").repartition(parts, "gram")
-            .groupBy("branch", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")))
+            .mapInArrow(run, "gram long, n long, seen long").repartition(parts, "gram")
+            .groupBy("gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+            .select(F.shiftright("gram", 8 * (order + 1 - BRANCH)).alias("branch"), "gram", "n", "seen"))
 
 
 class Shorter:
@@ -368,16 +368,33 @@ def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS, parts:
 
 
 class Table:
-    """Scores of the most frequent grams, found by hash: a bounded table handed to every task."""
+    """Scores of the most frequent grams, found by hash: a bounded table handed to every task.
+
+    A row is a gram and the bits of its score. The first row of a slot stands at its place, others in a list by slot.
+    """
 
     def __init__(self, gram: np.ndarray, log10p: np.ndarray):
+        """``gram``: the most frequent first, as the first of a slot is found at once."""
         self.bits = max(4, int(2 * len(gram)).bit_length())
         slot = self._slot(gram)
         by_slot = np.argsort(slot, kind="stable")
-        self.gram, self.log10p = np.append(gram[by_slot], -1), np.append(log10p[by_slot], 0.0)
-        counts = np.bincount(slot, minlength=1 << self.bits)
-        self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        self.most = int(counts.max())
+        rows = np.stack([gram, log10p.view(np.int64)], 1)[by_slot]
+        leads = np.diff(slot[by_slot], prepend=-1) != 0
+        self._place(rows[leads], rows[~leads])
+
+    def _place(self, leading: np.ndarray, others: np.ndarray) -> None:
+        self.leading, self.others = np.zeros((1 << self.bits, 2), np.int64), others
+        self.leading[:, 0] = -1
+        self.leading[self._slot(leading[:, 0])] = leading
+        self.first = np.cumsum(np.bincount(self._slot(others[:, 0]) + 1, minlength=(1 << self.bits) + 1), dtype=np.int32)
+
+    def __getstate__(self) -> tuple:
+        """Only rows are sent to the tasks."""
+        return self.bits, self.leading[self.leading[:, 0] >= 0], self.others
+
+    def __setstate__(self, state: tuple) -> None:
+        self.bits, leading, others = state
+        self._place(leading, others)
 
     def _slot(self, gram: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -393,19 +410,20 @@ class Table:
 
     def _find(self, gram: np.ndarray, logs: np.ndarray, held: np.ndarray) -> None:
         slot = self._slot(gram)
-        at = self.first[slot]
-        same = self.gram[at] == gram
+        row = self.leading.take(slot, axis=0)
+        same = row[:, 0] == gram
         held[:] = same
-        logs[:] = np.where(same, self.log10p[at], 0.0)
+        logs[:] = np.where(same, row[:, 1].view(np.float64), 0.0)
         rows = np.flatnonzero(~same)
-        at, end, wanted = at[rows] + 1, self.first[slot[rows] + 1], gram[rows]
+        at, end, wanted = self.first[slot[rows]], self.first[slot[rows] + 1], gram[rows]
         more = at < end
-        rows, at, end, wanted = rows[more], at[more], end[more], wanted[more]
-        while len(rows):
-            same = self.gram[at] == wanted
-            logs[rows[same]], held[rows[same]] = self.log10p[at[same]], True
-            more = ~same & (at + 1 < end)
-            rows, at, end, wanted = rows[more], at[more] + 1, end[more], wanted[more]
+        while more.any():
+            rows, at, end, wanted = rows[more], at[more], end[more], wanted[more]
+            row = self.others[at]
+            same = row[:, 0] == wanted
+            logs[rows[same]], held[rows[same]] = row[same, 1].view(np.float64), True
+            at += 1
+            more = ~same & (at < end)
 
 
 def frequent(scored: DataFrame, most: int) -> Table:
@@ -419,8 +437,9 @@ def frequent(scored: DataFrame, most: int) -> Table:
         least, left = at, left - n
     if least is None:
         return Table(np.empty(0, np.int64), np.empty(0))
-    rows = scored.filter(size >= least).select("gram", "log10p").toArrow()
-    return Table(rows.column("gram").to_numpy(), rows.column("log10p").to_numpy())
+    rows = scored.filter(size >= least).select("gram", "seen", "log10p").toArrow()
+    by = np.argsort(-rows.column("seen").to_numpy(), kind="stable")
+    return Table(rows.column("gram").to_numpy()[by], rows.column("log10p").to_numpy()[by])
 
 
 def text_logs(texts: list[bytes], table: Table, order: int) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:

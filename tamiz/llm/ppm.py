@@ -97,10 +97,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     counted = stored(byte_contexts.count_grams(docs, text, outside, lines_of, order, parts), "grams")
     scored = stored(byte_contexts.scored_grams(counted, order, unit_grams, parts), "scored-grams")
     common = words.filter(F.octet_length("word") <= SHARED_BYTES).orderBy(F.desc("c"), "word").limit(shared_words).toArrow()
-    table = {w: (c > 0, float(np.log10(c + 1))) for w, c in zip(
-        common.column("word").to_pylist(), common.column("c").to_pylist())}
+    # A word was learned if this is above 0.
+    table = {w: float(np.log10(c + 1)) for w, c in zip(common.column("word").to_pylist(), common.column("c").to_pylist())}
     end = words.filter(F.col("word") == F.lit(END)).first()
-    table[END] = (end["c"] > 0, float(np.log10(end["c"] + 1))) if end else (False, 0.0)
+    table[END] = float(np.log10(end["c"] + 1)) if end else 0.0
     shared = docs.sparkSession.sparkContext.broadcast((table, byte_contexts.frequent(scored, shared_grams)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,17 +109,17 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
             out: list[list] = [[], [], [], []]
             texts = []
             for value in batch.column(2).cast(pa.binary()):
-                end_ = known_words[END]
-                n, known, base, rare = 1, int(end_[0]), end_[1], []
+                base = known_words[END]
+                n, known, rare = 1, int(base > 0), []
                 lines = lines_of(value.as_py())
                 for line in lines:
                     for word in line:
-                        entry = known_words.get(word)
-                        if entry is None:
+                        log = known_words.get(word)
+                        if log is None:
                             rare.append(word)
                         else:
-                            known += entry[0]
-                            base += entry[1]
+                            known += log > 0
+                            base += log
                     n += len(line)
                 texts.append(byte_contexts.running_text(lines, order))
                 for column, v in zip(out, (n, known, base, rare)):
