@@ -367,6 +367,27 @@ def scored_grams(counted: DataFrame, order: int, most: int = UNIT_GRAMS, parts:
             .mapInArrow(coded(names, lambda columns: columns[3] * 8 + columns[4], split), schema))
 
 
+def slots(gram: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((gram.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def slot_bits(size: int) -> int:
+    return max(4, (2 * size).bit_length())
+
+
+class Shared:
+    """The rows of a table by slot, which become one in the tasks they are sent to: the driver needs none."""
+
+    def __init__(self, gram: np.ndarray, log10p: np.ndarray):
+        """``gram``: the most frequent first, as the first of a slot is found at once."""
+        by_slot = np.argsort(slots(gram, slot_bits(len(gram))), kind="stable")
+        self.rows = gram[by_slot], log10p[by_slot]
+
+    def __reduce__(self) -> tuple:
+        return Table, self.rows
+
+
 class Table:
     """Scores of the most frequent grams, found by hash: a bounded table handed to every task.
 
@@ -374,31 +395,18 @@ class Table:
     """
 
     def __init__(self, gram: np.ndarray, log10p: np.ndarray):
-        """``gram``: the most frequent first, as the first of a slot is found at once."""
-        self.bits = max(4, int(2 * len(gram)).bit_length())
-        slot = self._slot(gram)
-        by_slot = np.argsort(slot, kind="stable")
-        rows = np.stack([gram, log10p.view(np.int64)], 1)[by_slot]
-        leads = np.diff(slot[by_slot], prepend=-1) != 0
-        self._place(rows[leads], rows[~leads])
-
-    def _place(self, leading: np.ndarray, others: np.ndarray) -> None:
-        self.leading, self.others = np.zeros((1 << self.bits, 2), np.int64), others
+        """Rows by slot."""
+        self.bits = slot_bits(len(gram))
+        slot = slots(gram, self.bits)
+        leads = np.diff(slot, prepend=-1) != 0
+        counts = np.bincount(slot[~leads] + 1, minlength=(1 << self.bits) + 1)
+        self.first = np.cumsum(counts, dtype=np.int32)
+        del counts
+        self.others = np.stack([gram[~leads], log10p[~leads].view(np.int64)], 1)
+        self.leading = np.zeros((1 << self.bits, 2), np.int64)
         self.leading[:, 0] = -1
-        self.leading[self._slot(leading[:, 0])] = leading
-        self.first = np.cumsum(np.bincount(self._slot(others[:, 0]) + 1, minlength=(1 << self.bits) + 1), dtype=np.int32)
-
-    def __getstate__(self) -> tuple:
-        """Only rows are sent to the tasks."""
-        return self.bits, self.leading[self.leading[:, 0] >= 0], self.others
-
-    def __setstate__(self, state: tuple) -> None:
-        self.bits, leading, others = state
-        self._place(leading, others)
-
-    def _slot(self, gram: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((gram.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - self.bits)).astype(np.int64)
+        place = slot[leads]
+        self.leading[place, 0], self.leading[place, 1] = gram[leads], log10p[leads].view(np.int64)
 
     def find(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Score of each gram, 0 if it isn't held, and whether it is held."""
@@ -409,7 +417,7 @@ class Table:
         return logs, held
 
     def _find(self, gram: np.ndarray, logs: np.ndarray, held: np.ndarray) -> None:
-        slot = self._slot(gram)
+        slot = slots(gram, self.bits)
         row = self.leading.take(slot, axis=0)
         same = row[:, 0] == gram
         held[:] = same
@@ -426,7 +434,7 @@ class Table:
             more = ~same & (at < end)
 
 
-def frequent(scored: DataFrame, most: int) -> Table:
+def frequent(scored: DataFrame, most: int) -> Shared:
     """The grams seen most often, at most ``most``: as many whole classes of frequency as fit."""
     size = F.floor(F.log2(F.col("seen").cast("double")) * 4).cast("int")
     classes = sorted(((r["size"], r["count"]) for r in scored.groupBy(size.alias("size")).count().collect()), reverse=True)
@@ -436,10 +444,10 @@ def frequent(scored: DataFrame, most: int) -> Table:
             break
         least, left = at, left - n
     if least is None:
-        return Table(np.empty(0, np.int64), np.empty(0))
-    rows = scored.filter(size >= least).select("gram", "seen", "log10p").toArrow()
-    by = np.argsort(-rows.column("seen").to_numpy(), kind="stable")
-    return Table(rows.column("gram").to_numpy()[by], rows.column("log10p").to_numpy()[by])
+        return Shared(np.empty(0, np.int64), np.empty(0))
+    rows = scored.filter(size >= least).select("gram", "log10p", size.cast("short").alias("size")).toArrow()
+    by = np.argsort(-rows.column("size").to_numpy(), kind="stable")
+    return Shared(rows.column("gram").to_numpy()[by], rows.column("log10p").to_numpy()[by])
 
 
 def text_logs(texts: list[bytes], table: Table, order: int) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:

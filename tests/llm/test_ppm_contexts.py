@@ -187,16 +187,14 @@ def test_texts_held_out_cost_their_own_words_only(spark):
 
 @pytest.mark.parametrize("size", [0, 1, 7, 5000])
 def test_table_finds_its_grams_only(size):
-    """Also when it has been sent, and that its rows alone are sent."""
+    """Its rows alone are sent, and it is made of them where they arrive."""
     import pickle
 
     rng = np.random.default_rng(size)
     every = rng.permutation(np.unique(rng.integers(0, 1 << 56, 3 * size + 50)))
     gram, logs = every[:size], -rng.random(size)
-    table = byte_contexts.Table(gram, logs)
-    sent = pickle.dumps(table)
+    sent = pickle.dumps(byte_contexts.Shared(gram, logs))
     assert len(sent) < 16 * size + 2000
-    for t in (table, pickle.loads(sent)):
-        found, held = t.find(every)
-        assert held.tolist() == [True] * size + [False] * (len(every) - size)
-        assert found[:size].tolist() == logs.tolist() and not found[size:].any()
+    found, held = pickle.loads(sent).find(every)
+    assert held.tolist() == [True] * size + [False] * (len(every) - size)
+    assert found[:size].tolist() == logs.tolist() and not found[size:].any()
