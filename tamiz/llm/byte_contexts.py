@@ -27,7 +27,7 @@ START, TEXT_END, SYMBOLS = 0xFE, 0xFF, 256
 SHARED_GRAMS = 1 << 21
 #: Bytes taken apart at once, grams held by a task before it folds them, distinct ones before it sends them on, and
 #: grams coded at once. Folding takes some 60 bytes for each gram held.
-TAKEN, COUNTED, SENT, CODED = 1 << 20, 7 << 19, 5 << 19, 200_000
+TAKEN, COUNTED, SENT, CODED = 1 << 20, 3 << 20, 9 << 18, 200_000
 #: Bytes of text after which a task sends its grams, however few: their counts stay below 2 ** 32.
 COUNTED_BYTES = 1 << 30
 #: Grams looked up at once: what they touch stays in a core's cache.
@@ -373,7 +373,7 @@ def slots(gram: np.ndarray, bits: int) -> np.ndarray:
 
 
 def slot_bits(size: int) -> int:
-    return max(4, (2 * size).bit_length())
+    return max(4, size.bit_length())
 
 
 class Shared:
